@@ -1,5 +1,11 @@
 """Registry: every analysis as a callable ``(spark, sf_dir) -> DataFrame`` over the
-driver's test tables, with the fixture windows as parameters."""
+driver's test tables, with the fixture windows as parameters.
+
+Each callable reads the nested day-sharded table that Spark derives from the
+driver's ``events``/``customer``/``nation`` (written once per input into the shared
+checkpoint folder, see ``nested_event_table``), so every analysis runs over the
+whole input through the same read path as production data.
+"""
 
 from __future__ import annotations
 
@@ -14,18 +20,18 @@ from webevents.sources.fixtures import (
     FIXTURE_DAY,
     FIXTURE_END,
     FIXTURE_START,
-    fixture_events,
+    fixture_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _window_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_events(spark, sf_dir, FIXTURE_START, FIXTURE_END)
+    return fixture_table(spark, sf_dir, FIXTURE_START, FIXTURE_END)
 
 
 def _day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture_events(spark, sf_dir, FIXTURE_DAY, FIXTURE_DAY)
+    return fixture_table(spark, sf_dir, FIXTURE_DAY, FIXTURE_DAY)
 
 
 def _windowed(analysis: Callable[..., DataFrame], **params) -> Query:

@@ -60,13 +60,17 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Point ``checkpoint()`` at the folder the cluster names in ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for derived tables and ``checkpoint()``.
 
-    The setting is read from the session and never replaced; ``local_session`` sets a
-    private folder only because a local test session has none.
+    It is the folder the cluster names in ``spark.checkpoint.dir`` (read from the
+    session, never replaced). Only a session without one -- a local test session --
+    gets a private folder of its own.
     """
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="webevents-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
     return folder

@@ -10,11 +10,16 @@ the same mapping in SQL. Everything is one narrow projection plus a left join fo
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from webevents.sources.schema import EVENT_SCHEMA, SUFFIX_COLUMN
+from webevents.session import ensure_checkpoint_dir
+from webevents.sources.events import read_events, write_events
+from webevents.sources.schema import EVENT_PARAM, EVENT_SCHEMA, SUFFIX_COLUMN
 
 # --- fixed values of the fixture mapping (FIXTURES.md section 3) ---------------------
 # traffic_source.medium by mi = 0..8 (mi = 7 has no medium)
@@ -41,11 +46,13 @@ def _suffix_to_date(suffix: str) -> dt.date:
 
 
 def _param(key: str, present: Column, string_value: Column | None = None, int_value: Column | None = None) -> Column:
+    """A one-element parameter array when ``present`` is true, else an empty one."""
     value = F.struct(
         (string_value if string_value is not None else F.lit(None)).cast("string").alias("string_value"),
         (int_value if int_value is not None else F.lit(None)).cast("long").alias("int_value"),
     )
-    return F.when(present, F.struct(F.lit(key).alias("key"), value.alias("value")))
+    item = F.array(F.struct(F.lit(key).alias("key"), value.alias("value")))
+    return F.when(present, item).otherwise(F.array().cast(T.ArrayType(EVENT_PARAM)))
 
 
 def fixture_events(
@@ -67,18 +74,34 @@ def fixture_events(
         upper = _suffix_to_date(end) + dt.timedelta(days=1)
         raw = raw.filter(F.col("ts") < F.lit(dt.datetime.combine(upper, dt.time())))
 
-    k = F.get_json_object("props", "$.k").cast("long")
+    # Stage 1: parse the JSON property and derive the small integer keys once, so
+    # that later expressions reference columns instead of re-parsing the JSON.
+    base = raw.select(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        "value",
+        F.get_json_object("props", "$.k").cast("long").alias("k"),
+        # epoch micros of the zone-less ts, independent of the session time zone
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("micros"),
+    )
+    k = F.col("k")
     bucket = k % 20
     event_id = F.col("event_id")
-    mi = (F.col("user_id") + bucket + F.expr("event_id div 5") % 2) % 9
     odd = event_id % 2 == 1
-    # epoch micros of the zone-less ts, independent of the session time zone
-    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-
     name = F.col("event_type")
     for event_type, (odd_name, even_name) in EVENT_NAME_BY_TYPE.items():
         name = F.when(F.col("event_type") == event_type, F.when(odd, odd_name).otherwise(even_name)).otherwise(name)
+    keyed = base.select(
+        "*",
+        bucket.alias("bucket"),
+        ((F.col("user_id") + bucket + F.expr("event_id div 5") % 2) % 9).alias("mi"),
+        name.alias("event_name"),
+    )
 
+    # Stage 2: the nested columns.
+    mi, bucket, name, micros = F.col("mi"), F.col("bucket"), F.col("event_name"), F.col("micros")
     medium = F.lit(None).cast("string")
     for i, m in enumerate(MEDIUM_BY_MI):
         if m is not None:
@@ -92,10 +115,37 @@ def fixture_events(
     for i, c in enumerate(DEVICE_CATEGORIES):
         category = F.when(bucket % 3 == i, F.lit(c)).otherwise(category)
 
-    flat = raw.select(
+    # Present parameters only, in a fixed order. Built as a concatenation of
+    # zero-or-one element arrays, which stays inside generated code (a lambda
+    # filter over a fixed array would be evaluated row by row by the interpreter).
+    params = F.concat(
+        _param(
+            "ga_session_id",
+            F.col("event_type") != "error",
+            int_value=F.floor((F.floor(micros / 1_000_000) + SESSION_OFFSET_SECONDS) / 86400),
+        ),
+        _param(
+            "session_engaged",
+            F.col("value") >= 20,
+            int_value=F.when(F.col("value") >= 50, 1).otherwise(0),
+        ),
+        _param(
+            "page_location",
+            name == "page_view",
+            string_value=F.concat(F.lit(PAGE_URL_PREFIX), k.cast("string")),
+        ),
+        _param("engagement_time_msec", name == "page_view", int_value=k * 100),
+        _param(
+            "medium",
+            (name == "first_visit") & (k % 3 == 0),
+            string_value=F.concat(F.lit("m"), bucket.cast("string")),
+        ),
+    )
+
+    flat = keyed.select(
         F.date_format("ts", "yyyyMMdd").alias(SUFFIX_COLUMN),
         micros.alias("event_timestamp"),
-        name.alias("event_name"),
+        "event_name",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), bucket.cast("string")).alias("user_pseudo_id"),
         F.col("user_id"),
         F.struct(
@@ -110,31 +160,7 @@ def fixture_events(
         F.struct(
             F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase_revenue")
         ).alias("ecommerce"),
-        F.array_compact(
-            F.array(
-                _param(
-                    "ga_session_id",
-                    F.col("event_type") != "error",
-                    int_value=F.floor((F.floor(micros / 1_000_000) + SESSION_OFFSET_SECONDS) / 86400),
-                ),
-                _param(
-                    "session_engaged",
-                    F.col("value") >= 20,
-                    int_value=F.when(F.col("value") >= 50, 1).otherwise(0),
-                ),
-                _param(
-                    "page_location",
-                    name == "page_view",
-                    string_value=F.concat(F.lit(PAGE_URL_PREFIX), k.cast("string")),
-                ),
-                _param("engagement_time_msec", name == "page_view", int_value=k * 100),
-                _param(
-                    "medium",
-                    (name == "first_visit") & (k % 3 == 0),
-                    string_value=F.concat(F.lit("m"), bucket.cast("string")),
-                ),
-            )
-        ).alias("event_params"),
+        params.alias("event_params"),
     )
 
     # geo comes from customer -> nation. customer is reduced to one row per key first,
@@ -169,3 +195,45 @@ def fixture_events(
         SUFFIX_COLUMN,
     )
     return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+
+
+FIXTURE_INPUTS = ("events", "customer", "nation")
+
+
+def _input_stamp(sf_dir: str) -> str:
+    """Identify the inputs by path, size and modification time."""
+    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+    for name in FIXTURE_INPUTS:
+        p = os.path.join(sf_dir, f"{name}.parquet")
+        if os.path.exists(p):
+            st = os.stat(p)
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
+        return True
+    except Exception:  # missing folder or marker: not written (or not finished)
+        return False
+
+
+def nested_event_table(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the day-sharded nested event table derived from ``sf_dir``.
+
+    The table is written once by Spark (``fixture_events`` over the whole input, then
+    ``write_events``) into the session's shared checkpoint folder and reused by every
+    later analysis; a write that did not finish has no ``_SUCCESS`` marker and is
+    redone. Analyses then read it like the production table: day-shard pruning,
+    nested-column pruning, parallel file splits.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(sf_dir)}"
+    if not _is_complete(spark, path):
+        write_events(fixture_events(spark, sf_dir), path)
+    return path
+
+
+def fixture_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The derived nested table of ``sf_dir``, narrowed to suffixes ``start..end``."""
+    return read_events(spark, nested_event_table(spark, sf_dir), start, end)
