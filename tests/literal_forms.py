@@ -1,0 +1,144 @@
+"""Straightforward forms of four analyses, kept only to check and time the Spark-first
+forms of the library against them: distinct counts per step (A9), anchor table joined
+to activity (A12, A13), ranked first touch joined to per-user revenue (A15)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from webevents.functions import (
+    channel5,
+    event_day,
+    money,
+    money_sum,
+    pct,
+    pct_nullif,
+    safe_pct,
+    safe_ratio,
+    week_of,
+)
+from webevents.operators import date_window
+
+U = "user_pseudo_id"
+
+
+def _users_with(event: str):
+    return F.count_distinct(F.when(F.col("event_name") == event, F.col(U)))
+
+
+def funnel_overall_distinct(events: DataFrame, start: str, end: str) -> DataFrame:
+    steps = ["session_start", "view_item", "add_to_cart", "begin_checkout", "purchase"]
+    names = ["step_1_sessions", "step_2_view_item", "step_3_add_to_cart", "step_4_checkout", "step_5_purchase"]
+    counts = date_window(events, start, end).agg(*[_users_with(e).alias(n) for e, n in zip(steps, names)])
+    s = [F.col(n) for n in names]
+    return counts.select(
+        *names,
+        pct_nullif(s[1], s[0], 1).alias("pct_to_view_item"),
+        pct_nullif(s[2], s[1], 1).alias("pct_view_to_cart"),
+        pct_nullif(s[3], s[2], 1).alias("pct_cart_to_checkout"),
+        pct_nullif(s[4], s[3], 1).alias("pct_checkout_to_purchase"),
+        pct(s[4], s[0], 2).alias("overall_conversion_rate_pct"),
+    )
+
+
+def retention_cohorts_join(events: DataFrame, start: str, end: str, min_cohort: int = 20) -> DataFrame:
+    w = date_window(events, start, end)
+    first = (
+        w.filter(F.col("event_name") == "session_start")
+        .groupBy(U)
+        .agg(week_of(F.min(event_day("event_date"))).alias("cohort_week"))
+    )
+    activity = w.select(U, week_of(event_day("event_date")).alias("activity_week")).distinct()
+    f, a = first.alias("f"), activity.alias("a")
+    joined = f.join(
+        a, (F.col(f"f.{U}") == F.col(f"a.{U}")) & (F.col("a.activity_week") >= F.col("f.cohort_week")), "left"
+    )
+    per = joined.groupBy(
+        F.col("f.cohort_week").alias("cohort_week"),
+        (F.datediff("a.activity_week", "f.cohort_week") / 7).cast("long").alias("k"),
+    ).agg(F.count_distinct(F.col(f"f.{U}")).alias("size"), F.count_distinct(F.col(f"a.{U}")).alias("kept"))
+
+    def at(col: str, k: int):
+        return F.max(F.when(F.col("k") == k, F.col(col)))
+
+    return (
+        per.groupBy("cohort_week")
+        .agg(
+            at("size", 0).alias("cohort_size"),
+            *[pct_nullif(at("kept", k), at("size", 0), 1).alias(f"w{k}_pct") for k in range(5)],
+        )
+        .filter(F.col("cohort_size") >= min_cohort)
+        .orderBy("cohort_week")
+    )
+
+
+def purchase_cohorts_join(events: DataFrame, start: str, end: str, min_cohort: int = 10) -> DataFrame:
+    w = date_window(events, start, end).filter(F.col("event_name") == "purchase")
+    first = w.groupBy(U).agg(week_of(F.min(event_day("event_date"))).alias("first_purchase_week"))
+    buys = w.select(U, week_of(event_day("event_date")).alias("purchase_week")).distinct()
+    f, p = first.alias("f"), buys.alias("p")
+    joined = f.join(
+        p, (F.col(f"f.{U}") == F.col(f"p.{U}")) & (F.col("p.purchase_week") > F.col("f.first_purchase_week")), "left"
+    )
+    k = (F.datediff("p.purchase_week", "f.first_purchase_week") / 7).cast("long")
+    size = F.count_distinct(F.col(f"f.{U}"))
+
+    def kept(cond):
+        return F.count_distinct(F.when(cond, F.col(f"p.{U}")))
+
+    r1, r2, rm = kept(k == 1), kept(k == 2), kept(k.between(1, 4))
+    return (
+        joined.groupBy(F.col("f.first_purchase_week").alias("first_purchase_week"))
+        .agg(
+            size.alias("cohort_size"),
+            r1.alias("retained_w1"),
+            pct_nullif(r1, size, 1).alias("w1_pct"),
+            r2.alias("retained_w2"),
+            pct_nullif(r2, size, 1).alias("w2_pct"),
+            rm.alias("retained_month1"),
+            pct_nullif(rm, size, 1).alias("month1_retention_pct"),
+        )
+        .filter(F.col("cohort_size") >= min_cohort)
+        .orderBy("first_purchase_week")
+    )
+
+
+def ltv_by_channel_join(events: DataFrame, start: str, end: str) -> DataFrame:
+    w = date_window(events, start, end)
+    ranked = w.filter(F.col("event_name") == "first_visit").select(
+        U,
+        channel5().alias("first_channel"),
+        F.row_number()
+        .over(Window.partitionBy(U).orderBy(F.asc_nulls_first("event_timestamp"), channel5()))
+        .alias("rn"),
+    )
+    first = ranked.filter(F.col("rn") == 1).drop("rn")
+    revenue = w.groupBy(U).agg(
+        money(money_sum("ecommerce.purchase_revenue")).alias("total_revenue"),
+        F.count_if(F.col("event_name") == "purchase").alias("total_purchases"),
+    )
+    c, r = first.alias("c"), revenue.alias("r")
+    joined = c.join(r, F.col(f"c.{U}") == F.col(f"r.{U}"), "left")
+    users = F.count_distinct(F.col(f"c.{U}"))
+    paying = F.count_distinct(F.when(F.col("r.total_purchases") > 0, F.col(f"c.{U}")))
+    total = money_sum("r.total_revenue")
+    return (
+        joined.groupBy(F.col("c.first_channel").alias("first_channel"))
+        .agg(
+            users.alias("total_users"),
+            paying.alias("paying_users"),
+            safe_pct(paying, users, 1).alias("paying_rate_pct"),
+            safe_ratio(total.cast("double"), F.nullif(paying, F.lit(0)), 2).alias("avg_ltv_proxy"),
+            money(total).alias("channel_total_revenue"),
+        )
+        .orderBy(F.desc_nulls_last("channel_total_revenue"), "first_channel")
+    )
+
+
+PAIRS = {
+    "funnel_overall": funnel_overall_distinct,
+    "retention_cohorts": retention_cohorts_join,
+    "purchase_cohorts": purchase_cohorts_join,
+    "ltv_by_channel": ltv_by_channel_join,
+}

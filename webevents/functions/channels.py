@@ -28,6 +28,9 @@ DIRECT = "Direct"
 OTHER = "Other"
 # --------------------------------------------------------------------------------------
 
+CHANNEL7_LABELS = [ORGANIC_SEARCH, PAID_SEARCH, REFERRAL, EMAIL, SOCIAL, DIRECT, OTHER]
+CHANNEL5_LABELS = [ORGANIC_SEARCH, PAID_SEARCH, REFERRAL, DIRECT, OTHER]
+
 
 def _channel(source: Column, medium: Column, with_email_social: bool) -> Column:
     out = (

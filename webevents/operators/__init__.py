@@ -1,9 +1,14 @@
 """DataFrame-level operators shared by the analyses."""
 
 from webevents.operators.cohorts import cohort_activity, cohort_members
-from webevents.operators.funnel import event_is, funnel_counts, user_step_flags
+from webevents.operators.funnel import event_is, funnel_counts, has_step, step_mask, user_step_flags
 from webevents.operators.sessions import sessions
-from webevents.operators.users import first_touch, first_touch_value, user_event_counts
+from webevents.operators.users import (
+    first_touch,
+    first_touch_label,
+    first_touch_value,
+    user_event_counts,
+)
 from webevents.operators.window import date_window, single_day
 
 __all__ = [
@@ -12,10 +17,13 @@ __all__ = [
     "date_window",
     "event_is",
     "first_touch",
+    "first_touch_label",
     "first_touch_value",
     "funnel_counts",
+    "has_step",
     "sessions",
     "single_day",
+    "step_mask",
     "user_event_counts",
     "user_step_flags",
 ]

@@ -3,9 +3,9 @@
 Steps are not time-ordered: a user counts for every step they have an event of.
 Instead of one COUNT(DISTINCT CASE ...) per step (which Spark plans as an Expand with
 one copy of every row per step), users are first reduced to one row per
-(dims, user) with a boolean flag per step -- a single shuffle with map-side partial
-aggregation, so a hot user collapses to one row per task -- and the flags are then
-counted per dimension. Rows of NULL users keep their dimension but never count,
+(dims, user) holding a bitmask of the steps they did -- a single shuffle with
+map-side partial aggregation, so a hot user collapses to one row per task -- and the
+bits are then counted per dimension. Rows of NULL users keep their dimension but never count,
 exactly like COUNT(DISTINCT) ignoring NULL.
 """
 
@@ -17,22 +17,40 @@ from pyspark.sql import functions as F
 USER = "user_pseudo_id"
 
 
+MAX_STEPS = 62
+
+
+def step_mask(steps: list[Column]) -> Column:
+    """Per-event bitmask: bit i is set when the event matches step i."""
+    if len(steps) > MAX_STEPS:
+        raise ValueError(f"at most {MAX_STEPS} funnel steps")
+    mask = F.lit(0).cast("long")
+    for i, cond in enumerate(steps):
+        mask = mask.bitwiseOR(F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    return mask
+
+
+def has_step(mask: str | Column, i: int) -> Column:
+    m = F.col(mask) if isinstance(mask, str) else mask
+    return m.bitwiseAND(F.lit(1 << i)) != 0
+
+
 def user_step_flags(
     events: DataFrame,
     steps: dict[str, Column],
     dims: dict[str, Column] | None = None,
     user: str = USER,
 ) -> DataFrame:
-    """One row per (dims, user): a boolean per step (did the user do it)."""
+    """One row per (dims, user) with ``_steps``: the OR of the step bitmasks of the
+    user's events (bit i = the user did step i). A single fixed-width long per group
+    keeps both the hash-aggregation buffer and the shuffled row minimal."""
     dims = dims or {}
     projected = events.select(
         *[expr.alias(name) for name, expr in dims.items()],
         F.col(user).alias(user),
-        *[cond.alias(f"_step_{name}") for name, cond in steps.items()],
-    )
-    return projected.groupBy(*dims, user).agg(
-        *[F.bool_or(F.col(f"_step_{name}")).alias(name) for name in steps]
+        step_mask(list(steps.values())).alias("_mask"),
     )
+    return projected.groupBy(*dims, user).agg(F.bit_or("_mask").alias("_steps"))
 
 
 def funnel_counts(
@@ -44,7 +62,8 @@ def funnel_counts(
     """Per dims (or one global row): distinct non-NULL users having each step."""
     dims = dims or {}
     flags = user_step_flags(events, steps, dims, user)
-    counts = [F.count_if(F.col(user).isNotNull() & F.col(name)).alias(name) for name in steps]
+    known = F.col(user).isNotNull()
+    counts = [F.count_if(known & has_step("_steps", i)).alias(name) for i, name in enumerate(steps)]
     if dims:
         return flags.groupBy(*dims).agg(*counts)
     return flags.agg(*counts)

@@ -1,9 +1,15 @@
 """Per-user roll-ups.
 
-``first_touch`` takes, per user, the value on the earliest matching event. It is an
-ordinary aggregate (min over a (timestamp, value) struct) rather than a ranked window,
-so it combines map-side and never sorts a user's events; ties on the timestamp go to
-the smallest value, which makes the result deterministic.
+First touch -- per user, the value on the earliest matching event -- is an ordinary
+aggregate rather than a ranked window, so it combines map-side and never sorts a
+user's events. Ties on the timestamp go to the smallest value and NULL timestamps
+come first (ascending order with NULLs first), which makes the result deterministic.
+
+``first_touch_label`` is the form for values from a known list of labels (channel
+names): the timestamp and the label's rank are packed into one long, so the
+aggregation buffer is fixed-width and Spark uses a hash aggregate. The general
+``first_touch_value`` takes the minimum of a (timestamp, value) struct, which Spark
+can only run as a sort-based aggregate.
 """
 
 from __future__ import annotations
@@ -16,6 +22,22 @@ from webevents.functions.dates import event_day
 USER = "user_pseudo_id"
 
 
+def first_touch_label(
+    condition: Column, label: Column, labels: list[str], order: str = "event_timestamp"
+) -> Column:
+    """Aggregate expression: ``label`` (one of ``labels``) of the earliest event
+    satisfying ``condition``; NULL when the user has none."""
+    ranked = sorted(set(labels))
+    width = len(ranked) + 1
+    domain = F.array(*[F.lit(v) for v in ranked])
+    rank = F.array_position(domain, label)  # 1-based; 0 if not a known label
+    ts = F.col(order)
+    packed = F.min(F.when(condition & ts.isNotNull(), ts * width + rank))
+    null_first = F.min(F.when(condition & ts.isNull(), rank))
+    chosen = F.coalesce(null_first, F.pmod(packed, F.lit(width)))
+    return F.get(domain, (chosen - 1).cast("int"))
+
+
 def first_touch_value(condition: Column, value: Column, order: str = "event_timestamp") -> Column:
     """Aggregate expression: ``value`` of the earliest event satisfying ``condition``
     (NULL when the user has none). Use inside ``groupBy(user).agg``."""

@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webevents.functions.channels import channel5
+from webevents.functions.channels import CHANNEL5_LABELS, channel5
 from webevents.functions.dates import days_between, event_day, week_of
 from webevents.functions.ratios import money, money_sum, safe_pct, safe_ratio
 from webevents.functions.stages import funnel_stage
-from webevents.operators.funnel import event_is
-from webevents.operators.users import first_touch_value, user_event_counts
+from webevents.operators.funnel import event_is, has_step, step_mask
+from webevents.operators.users import first_touch_label, user_event_counts
 from webevents.operators.window import date_window
 
 USER = "user_pseudo_id"
@@ -26,24 +26,17 @@ def weekly_growth(events: DataFrame, start: str, end: str) -> DataFrame:
         .select(
             week_of(event_day("event_date")).alias("week"),
             USER,
-            event_is("session_start").alias("_ss"),
-            event_is("first_visit").alias("_fv"),
-            event_is("purchase").alias("_p"),
+            step_mask([event_is("session_start"), event_is("first_visit"), event_is("purchase")]).alias("_mask"),
             F.col("ecommerce.purchase_revenue").alias("_rev"),
         )
         .groupBy("week", USER)
-        .agg(
-            F.bool_or("_ss").alias("_ss"),
-            F.bool_or("_fv").alias("_fv"),
-            F.bool_or("_p").alias("_p"),
-            money_sum("_rev").alias("_rev"),
-        )
+        .agg(F.bit_or("_mask").alias("_steps"), money_sum("_rev").alias("_rev"))
     )
     has_user = F.col(USER).isNotNull()
     weekly = weekly_user.groupBy("week").agg(
-        F.count_if(has_user & F.col("_ss")).alias("new_sessions"),
-        F.count_if(has_user & F.col("_fv")).alias("new_users"),
-        F.count_if(has_user & F.col("_p")).alias("converting_users"),
+        F.count_if(has_user & has_step("_steps", 0)).alias("new_sessions"),
+        F.count_if(has_user & has_step("_steps", 1)).alias("new_users"),
+        F.count_if(has_user & has_step("_steps", 2)).alias("converting_users"),
         money(F.sum("_rev")).alias("revenue"),
     )
     # one row per week: an unpartitioned window over a result bounded by the
@@ -79,7 +72,7 @@ def ltv_by_channel(events: DataFrame, start: str, end: str) -> DataFrame:
         date_window(events, start, end)
         .groupBy(USER)
         .agg(
-            first_touch_value(event_is("first_visit"), channel5()).alias("first_channel"),
+            first_touch_label(event_is("first_visit"), channel5(), CHANNEL5_LABELS).alias("first_channel"),
             F.max(event_is("first_visit")).alias("_has_fv"),
             money(money_sum("ecommerce.purchase_revenue")).alias("total_revenue"),
             F.count_if(event_is("purchase")).alias("total_purchases"),
