@@ -45,6 +45,23 @@ def _suffix_to_date(suffix: str) -> dt.date:
     return dt.datetime.strptime(suffix, "%Y%m%d").date()
 
 
+def _epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a zone-less timestamp read as UTC.
+
+    Built from date and time-of-day fields, which do not depend on the session time
+    zone (a cast to TIMESTAMP would shift by the session zone's offset).
+    """
+    day = F.unix_date(F.to_date(ts)).cast("long")
+    seconds_in_day = F.hour(ts) * 3600 + F.minute(ts) * 60
+    fraction = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return day * 86_400_000_000 + seconds_in_day.cast("long") * 1_000_000 + fraction
+
+
+def _day_suffix(ts: Column) -> Column:
+    """'YYYYMMDD' of a zone-less timestamp, independent of the session time zone."""
+    return F.regexp_replace(F.to_date(ts).cast("string"), "-", "")
+
+
 def _param(key: str, present: Column, string_value: Column | None = None, int_value: Column | None = None) -> Column:
     """A one-element parameter array when ``present`` is true, else an empty one."""
     value = F.struct(
@@ -83,8 +100,8 @@ def fixture_events(
         "event_type",
         "value",
         F.get_json_object("props", "$.k").cast("long").alias("k"),
-        # epoch micros of the zone-less ts, independent of the session time zone
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("micros"),
+        _epoch_micros(F.col("ts")).alias("micros"),
+        _day_suffix(F.col("ts")).alias("suffix"),
     )
     k = F.col("k")
     bucket = k % 20
@@ -143,7 +160,7 @@ def fixture_events(
     )
 
     flat = keyed.select(
-        F.date_format("ts", "yyyyMMdd").alias(SUFFIX_COLUMN),
+        F.col("suffix").alias(SUFFIX_COLUMN),
         micros.alias("event_timestamp"),
         "event_name",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), bucket.cast("string")).alias("user_pseudo_id"),
@@ -198,11 +215,13 @@ def fixture_events(
 
 
 FIXTURE_INPUTS = ("events", "customer", "nation")
+# bump when the mapping changes, so an older derived table is never reused
+MAPPING_VERSION = 2
 
 
 def _input_stamp(sf_dir: str) -> str:
     """Identify the inputs by path, size and modification time."""
-    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+    parts = [f"v{MAPPING_VERSION}", os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for name in FIXTURE_INPUTS:
         p = os.path.join(sf_dir, f"{name}.parquet")
         if os.path.exists(p):
