@@ -72,3 +72,11 @@ def test_partial_aggregation_before_every_shuffle(spark):
 def test_top_k_is_take_ordered(spark):
     plan = plan_of(queries()["session_conversion"](spark, SF01))
     assert "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_all_aggregates_are_hash_based(spark, name):
+    # a variable-width aggregation buffer (e.g. min over a struct of strings) makes
+    # Spark fall back to sorting every input row
+    plan = plan_of(queries()[name](spark, SF01))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, name

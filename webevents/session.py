@@ -70,6 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage for "
+                "derived tables and checkpoints (a machine-local folder is not visible "
+                "to other executors)"
+            )
         folder = tempfile.mkdtemp(prefix="webevents-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
