@@ -17,15 +17,16 @@ def retention_cohorts(
     """cohort = Monday week of a user's first session_start; active = any event.
     Per cohort week: cohort size and the share active in weeks 0..``weeks``."""
     activity = cohort_activity(date_window(events, start, end), anchor=event_is("session_start"))
-    # (user, activity_week) is unique, so a row count is a distinct-user count
-    per_offset = activity.groupBy("cohort_week", "weeks_since").agg(F.count(F.lit(1)).alias("_users"))
 
+    # (user, activity_week) is unique, so counting rows at an offset counts distinct
+    # users; an offset nobody reached is NULL (as a MAX over no rows is), not 0
     def at(k: int):
-        return F.max(F.when(F.col("weeks_since") == k, F.col("_users")))
+        n = F.count_if(F.col("weeks_since") == k)
+        return F.when(n > 0, n)
 
     size = at(0)
     return (
-        per_offset.groupBy("cohort_week")
+        activity.groupBy("cohort_week")
         .agg(
             size.alias("cohort_size"),
             *[pct_nullif(at(k), size, 1).alias(f"w{k}_pct") for k in range(weeks + 1)],

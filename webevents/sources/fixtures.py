@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,8 +231,11 @@ def _input_stamp(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-# derived tables already verified (or written) by this Spark application
+# derived tables already verified (or written) by this Spark application, and one
+# lock per table so that concurrent callers in one process write it once
 _VERIFIED: set[tuple[str, str]] = set()
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:
@@ -254,9 +258,12 @@ def nested_event_table(spark: SparkSession, sf_dir: str) -> str:
     nested-column pruning, parallel file splits.
     """
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(sf_dir)}"
-    if not _is_complete(spark, path):
-        write_events(fixture_events(spark, sf_dir), path)
-    _VERIFIED.add((spark.sparkContext.applicationId, path))
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not _is_complete(spark, path):
+            write_events(fixture_events(spark, sf_dir), path)
+        _VERIFIED.add((spark.sparkContext.applicationId, path))
     return path
 
 
