@@ -60,23 +60,40 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running Spark application."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for derived tables and ``checkpoint()``.
 
     It is the folder the cluster names in ``spark.checkpoint.dir`` (read from the
-    session, never replaced). Only a session without one -- a local test session --
-    gets a private folder of its own.
+    session, never replaced). Only a local session without one -- a test session --
+    gets a private folder of its own; a cluster session without one is an error,
+    since a machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and sc is not None:
+        folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder on shared storage for "
                 "derived tables and checkpoints (a machine-local folder is not visible "
                 "to other executors)"
             )
         folder = tempfile.mkdtemp(prefix="webevents-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

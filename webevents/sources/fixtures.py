@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webevents.session import ensure_checkpoint_dir
+from webevents.session import ensure_checkpoint_dir, session_id
 from webevents.sources.events import read_events, write_events
 from webevents.sources.schema import EVENT_PARAM, EVENT_SCHEMA, SUFFIX_COLUMN
 
@@ -239,7 +239,7 @@ _LOCKS_GUARD = threading.Lock()
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:
-    if (spark.sparkContext.applicationId, path) in _VERIFIED:
+    if (session_id(spark), path) in _VERIFIED:
         return True
     try:
         spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
@@ -263,7 +263,7 @@ def nested_event_table(spark: SparkSession, sf_dir: str) -> str:
     with lock:
         if not _is_complete(spark, path):
             write_events(fixture_events(spark, sf_dir), path)
-        _VERIFIED.add((spark.sparkContext.applicationId, path))
+        _VERIFIED.add((session_id(spark), path))
     return path
 
 
