@@ -6,7 +6,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from eventrows import collect, event, events_df
 from webevents.functions import channel5, channel7, event_param, week_of, weeks_between

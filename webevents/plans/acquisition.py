@@ -11,9 +11,12 @@ from webevents.functions.params import event_param
 from webevents.functions.ratios import money_sum, money, pct, safe_pct, safe_ratio
 from webevents.operators.sessions import sessions
 from webevents.operators.window import date_window
+from webevents.plans.defaults import DEFAULT_END, DEFAULT_START
 
 
-def channel_performance(events: DataFrame, start: str, end: str) -> DataFrame:
+def channel_performance(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """Session rows at grain (user, session, date, channel, source, medium,
     is_engaged), then per channel: sessions, users, conversions and rates."""
     rows = sessions(
@@ -46,7 +49,9 @@ def channel_performance(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def top_sources(events: DataFrame, start: str, end: str, min_sessions: int = 50, n: int = 20) -> DataFrame:
+def top_sources(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, min_sessions: int = 50, n: int = 20
+) -> DataFrame:
     """Session rows at grain (user, session, source, medium), then per
     (source, medium) with at least ``min_sessions`` rows; the ``n`` best by
     conversion rate (source, medium break ties)."""
@@ -80,7 +85,9 @@ def top_sources(events: DataFrame, start: str, end: str, min_sessions: int = 50,
     )
 
 
-def new_vs_returning(events: DataFrame, start: str, end: str) -> DataFrame:
+def new_vs_returning(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """Per five-way channel -- first_visit events carrying a 'medium' parameter,
     distinct users, distinct purchasing users and their rate."""
     windowed = date_window(events, start, end)

@@ -9,6 +9,7 @@ from webevents.functions.dates import event_day
 from webevents.functions.params import event_param
 from webevents.operators.sessions import sessions
 from webevents.operators.window import date_window, single_day
+from webevents.plans.defaults import DEFAULT_DAY, DEFAULT_END, DEFAULT_START
 
 def _preview_columns() -> list:
     return [
@@ -27,7 +28,7 @@ def _preview_columns() -> list:
     ]
 
 
-def event_preview(events: DataFrame, day: str, n: int = 10) -> DataFrame:
+def event_preview(events: DataFrame, day: str = DEFAULT_DAY, n: int = 10) -> DataFrame:
     """A1: ``n`` raw events of one day shard with their nested fields flattened.
 
     The source takes any ``n`` rows; here the earliest ones (then every output column)
@@ -38,7 +39,7 @@ def event_preview(events: DataFrame, day: str, n: int = 10) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
-def page_view_params(events: DataFrame, day: str, n: int = 20) -> DataFrame:
+def page_view_params(events: DataFrame, day: str = DEFAULT_DAY, n: int = 20) -> DataFrame:
     """A2: page_view events of one day with three parameters pulled out of the array."""
     rows = (
         single_day(events, day)
@@ -57,7 +58,9 @@ def page_view_params(events: DataFrame, day: str, n: int = 20) -> DataFrame:
     return rows.orderBy(*order).limit(n).drop("event_timestamp")
 
 
-def event_inventory(events: DataFrame, start: str, end: str) -> DataFrame:
+def event_inventory(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """A3: per event name -- events, distinct users, first and last date."""
     day = event_day("event_date")
     return (
@@ -73,7 +76,9 @@ def event_inventory(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def daily_activity(events: DataFrame, start: str, end: str) -> DataFrame:
+def daily_activity(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """A4: per date -- events, active users, session_start events, purchase events."""
     return (
         date_window(events, start, end)
@@ -88,7 +93,9 @@ def daily_activity(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def session_conversion(events: DataFrame, start: str, end: str, n: int = 100) -> DataFrame:
+def session_conversion(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, n: int = 100
+) -> DataFrame:
     """A5: sessions (user, session id, date, source, medium, device, country) with
     event count, conversion flag and revenue; the first ``n`` by date, then revenue
     descending (remaining keys break ties). Top-n plans as TakeOrderedAndProject."""

@@ -9,13 +9,16 @@ from webevents.functions.channels import channel5
 from webevents.functions.ratios import pct, pct_nullif
 from webevents.operators.funnel import event_is, funnel_counts
 from webevents.operators.window import date_window
+from webevents.plans.defaults import DEFAULT_END, DEFAULT_START
 
 # --- fixed values: the funnel steps of the source, in order ---------------------------
 FUNNEL_EVENTS = ["session_start", "view_item", "add_to_cart", "begin_checkout", "purchase"]
 # --------------------------------------------------------------------------------------
 
 
-def funnel_overall(events: DataFrame, start: str, end: str) -> DataFrame:
+def funnel_overall(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """One row -- distinct users per step and step-to-step rates."""
     steps = dict(zip(
         ["step_1_sessions", "step_2_view_item", "step_3_add_to_cart", "step_4_checkout", "step_5_purchase"],
@@ -33,7 +36,9 @@ def funnel_overall(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def funnel_by_channel(events: DataFrame, start: str, end: str) -> DataFrame:
+def funnel_by_channel(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """A10: per five-way channel of the event -- distinct users per step."""
     steps = dict(zip(
         ["sessions", "viewed_item", "added_to_cart", "started_checkout", "purchased"],
@@ -47,7 +52,9 @@ def funnel_by_channel(events: DataFrame, start: str, end: str) -> DataFrame:
     ).orderBy(F.desc("sessions"), F.asc_nulls_first("channel"))
 
 
-def funnel_by_device(events: DataFrame, start: str, end: str) -> DataFrame:
+def funnel_by_device(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """Per device category -- session_start, add_to_cart and purchase users."""
     steps = {
         "sessions": event_is("session_start"),

@@ -14,11 +14,14 @@ from webevents.functions.stages import funnel_stage
 from webevents.operators.funnel import event_is, has_step, step_mask
 from webevents.operators.users import first_touch_label, user_event_counts
 from webevents.operators.window import date_window
+from webevents.plans.defaults import DEFAULT_AS_OF, DEFAULT_END, DEFAULT_START
 
 USER = "user_pseudo_id"
 
 
-def weekly_growth(events: DataFrame, start: str, end: str) -> DataFrame:
+def weekly_growth(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """Per Monday week -- distinct users with session_start / first_visit /
     purchase, revenue, and week-over-week growth against the previous row."""
     weekly_user = (
@@ -59,7 +62,9 @@ def weekly_growth(events: DataFrame, start: str, end: str) -> DataFrame:
     ).orderBy("week")
 
 
-def ltv_by_channel(events: DataFrame, start: str, end: str) -> DataFrame:
+def ltv_by_channel(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
     """Users with a first_visit in the window, by the five-way channel of their
     earliest first_visit; paying share, revenue per paying user, channel revenue.
 
@@ -97,7 +102,9 @@ def ltv_by_channel(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def funnel_stage_dropoff(events: DataFrame, start: str, end: str, as_of: str) -> DataFrame:
+def funnel_stage_dropoff(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, as_of: str = DEFAULT_AS_OF
+) -> DataFrame:
     """Users by the deepest funnel stage they reached, with their share and the
     average days between their last activity and ``as_of`` ('YYYY-MM-DD')."""
     per_user = user_event_counts(

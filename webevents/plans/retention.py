@@ -9,10 +9,11 @@ from webevents.functions.ratios import pct_nullif
 from webevents.operators.cohorts import cohort_activity
 from webevents.operators.funnel import event_is
 from webevents.operators.window import date_window
+from webevents.plans.defaults import DEFAULT_END, DEFAULT_START
 
 
 def retention_cohorts(
-    events: DataFrame, start: str, end: str, min_cohort: int = 20, weeks: int = 4
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, min_cohort: int = 20, weeks: int = 4
 ) -> DataFrame:
     """cohort = Monday week of a user's first session_start; active = any event.
     Per cohort week: cohort size and the share active in weeks 0..``weeks``."""
@@ -36,7 +37,9 @@ def retention_cohorts(
     )
 
 
-def purchase_cohorts(events: DataFrame, start: str, end: str, min_cohort: int = 10) -> DataFrame:
+def purchase_cohorts(
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, min_cohort: int = 10
+) -> DataFrame:
     """cohort = Monday week of a user's first purchase; retained = purchased
     again 1 week, 2 weeks, or 1-4 weeks later. Every first purchaser counts in the
     cohort size, repeat buyer or not."""
