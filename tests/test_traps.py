@@ -312,3 +312,11 @@ def test_funnel_stage_labels_and_recency(spark):
     # days since last visit: 5 and 7 -> average 6
     assert bounced["avg_days_since_last_visit"] == 6.0
     assert sum(r["user_count"] for r in out) == 6
+
+
+@pytest.mark.parametrize("analysis", [daily_activity, session_conversion, channel_performance])
+def test_malformed_event_date_raises(spark, analysis):
+    good = event(date="20240105")
+    bad = ("2024-01-05",) + good[1:]  # the shard suffix stays valid, the date text is not
+    with pytest.raises(PySparkException):
+        analysis(events_df(spark, [good, bad]), S, E).collect()
