@@ -267,6 +267,20 @@ def nested_event_table(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+# the derived table never changes once written, so one resolved relation (whose file
+# listing is done when it is created) serves every analysis of the application
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def fixture_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """The derived nested table of ``sf_dir``, narrowed to suffixes ``start..end``."""
-    return read_events(spark, nested_event_table(spark, sf_dir), start, end)
+    path = nested_event_table(spark, sf_dir)
+    key = (session_id(spark), path)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = read_events(spark, path)
+    table = _RELATIONS[key]
+    if start is not None:
+        table = table.filter(F.col(SUFFIX_COLUMN) >= F.lit(start))
+    if end is not None:
+        table = table.filter(F.col(SUFFIX_COLUMN) <= F.lit(end))
+    return table
