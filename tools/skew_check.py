@@ -8,6 +8,9 @@ folder, and reads the per-task shuffle records back from that log. Partition
 coalescing is off so the raw hash distribution is visible. For contrast it also runs a
 plain ``repartition(user)`` of the events, which has no map-side aggregation.
 
+The same is done for the day-sharded writer with one day holding a third of all events:
+``write_events`` (range on day and timestamp) against a hash repartition on the day.
+
 Prints one JSON object: per analysis, the worst shuffle stage's largest task share of
 the stage's records and its max/mean ratio.
 """
@@ -81,6 +84,18 @@ def main() -> None:
     for name, make in runs.items():
         spark.sparkContext.setJobDescription(name)
         make().collect()
+
+    # the writer: a third of all events moved onto one day
+    hot_day = F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(3)) == 0
+    crowded = base.withColumn(
+        "table_suffix", F.when(hot_day, F.lit(DAY)).otherwise(F.col("table_suffix"))
+    ).withColumn("event_date", F.col("table_suffix"))
+    spark.sparkContext.setJobDescription("write_events with a hot day (range on day, timestamp)")
+    write_events(crowded, os.path.join(scratch, "crowded"))
+    spark.sparkContext.setJobDescription("contrast: write after repartition(day)")
+    crowded.repartition(8, "table_suffix").write.partitionBy("table_suffix").parquet(
+        os.path.join(scratch, "crowded-hash")
+    )
     spark.sparkContext.setJobDescription(None)
     spark.stop()
 
