@@ -12,6 +12,7 @@ stream's checkpoint (in the shared checkpoint folder) records which files were d
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +65,11 @@ def start_daily_refresh(
 ) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and stops (the
     scheduled-job mode); otherwise it keeps watching for new shards."""
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-daily-refresh"
+    if checkpoint_location is None:
+        # one stream state per (source, output) pair
+        pair = hashlib.sha1(f"{events_path}|{out_path}".encode()).hexdigest()[:16]
+        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-daily-refresh/{pair}"
+    location = checkpoint_location
     stream = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
