@@ -177,3 +177,82 @@ def ltv_by_channel(events):
             "channel_total_revenue": total,
         }
     return out
+
+
+def _params(e):
+    return {k: (v[1] if v[1] is not None else v[0]) for k, v in (e[8] or [])}
+
+
+def channel7(source, medium):
+    # email and social are single media values, so testing them first is the same
+    # as testing them after the search and referral media
+    if medium == "email":
+        return "Email"
+    if medium == "social":
+        return "Social"
+    return channel5(source, medium)
+
+
+def channel_performance(events):
+    sessions = defaultdict(lambda: {"n": 0, "converted": False, "revenue": []})
+    for raw in events:
+        e, p = _fields(raw), _params(raw)
+        sid = p.get("ga_session_id")
+        if sid is None:
+            continue
+        key = (e["user"], sid, e["day"], channel7(e["source"], e["medium"]), e["source"],
+               e["medium"], p.get("session_engaged"))
+        s = sessions[key]
+        s["n"] += 1
+        s["converted"] |= e["name"] == "purchase"
+        s["revenue"].append(e["revenue"])
+    channels = defaultdict(list)
+    for key, s in sessions.items():
+        channels[key[3]].append((key, s["converted"], money(s["revenue"])))
+    out = {}
+    for c, rows in channels.items():
+        total = len(rows)
+        conv = sum(1 for _, cv, _ in rows if cv)
+        revs = [r for _, _, r in rows if r is not None]
+        rev_sum = sum(Decimal(repr(r)) for r in revs) if revs else None
+        engaged = sum(1 for k, _, _ in rows if k[6] == 1)
+        out[c] = {
+            "total_sessions": total,
+            "unique_users": len({k[0] for k, _, _ in rows if k[0] is not None}),
+            "conversions": conv,
+            "conversion_rate_pct": rnd(conv / total * 100, 2),
+            "total_revenue": money(revs),
+            "avg_order_value": rnd(float(rev_sum) / conv, 2) if conv and rev_sum is not None else None,
+            "engagement_rate_pct": rnd(engaged / total * 100, 1),
+        }
+    return out
+
+
+def weekly_growth(events):
+    weeks = defaultdict(lambda: {"ss": set(), "fv": set(), "p": set(), "rev": []})
+    for e in map(_fields, events):
+        w = weeks[_monday(e["day"])]
+        w["rev"].append(e["revenue"])
+        if e["user"] is not None:
+            for tag, name in (("ss", "session_start"), ("fv", "first_visit"), ("p", "purchase")):
+                if e["name"] == name:
+                    w[tag].add(e["user"])
+    out, prev = {}, None
+    for week in sorted(weeks):
+        w = weeks[week]
+        nu, conv, rev = len(w["fv"]), len(w["p"]), money(w["rev"])
+        row = {
+            "new_sessions": len(w["ss"]), "new_users": nu, "converting_users": conv, "revenue": rev,
+            "user_cvr_pct": rnd(conv / nu * 100, 2) if nu else None,
+            "avg_revenue_per_converter": rnd(rev / conv, 2) if conv and rev is not None else None,
+            "prev_week_users": prev["new_users"] if prev else None,
+            "prev_week_revenue": prev["revenue"] if prev else None,
+        }
+        pu, pr = row["prev_week_users"], row["prev_week_revenue"]
+        row["user_growth_wow_pct"] = rnd((nu - pu) / pu * 100, 1) if pu else None
+        row["revenue_growth_wow_pct"] = (
+            rnd((rev - pr) / pr * 100, 1) if pr and rev is not None else None
+        )
+        out[week] = row
+        prev = row
+    return out

@@ -16,9 +16,18 @@ S, E, AS_OF = "20240101", "20240131", "2024-02-01"
 NAMES = ["session_start", "view_item", "add_to_cart", "begin_checkout", "purchase",
          "first_visit", "page_view"]
 
+PARAMS = [
+    (),
+    (("ga_session_id", 1),),
+    (("ga_session_id", 2),),
+    (("ga_session_id", 1), ("session_engaged", 1)),
+    (("ga_session_id", 2), ("session_engaged", 0)),
+    (("session_engaged", 1),),
+]
+
 events_strategy = st.lists(
     st.builds(
-        lambda name, user, day, ts, medium, source, revenue: event(
+        lambda name, user, day, ts, medium, source, revenue, params: event(
             name=name,
             user=user,
             date=(dt.date(2024, 1, 1) + dt.timedelta(days=day)).strftime("%Y%m%d"),
@@ -26,6 +35,7 @@ events_strategy = st.lists(
             medium=medium,
             source=source,
             revenue=revenue,
+            params=params,
         ),
         st.sampled_from(NAMES),
         st.sampled_from([None, "a", "b", "c", "d", "e"]),
@@ -34,6 +44,7 @@ events_strategy = st.lists(
         st.sampled_from(["organic", "cpc", "referral", "email", "(none)", None]),
         st.sampled_from(["(direct)", "s", None]),
         st.sampled_from([None, None, 1.005, 2.5, 0.01, 10.0]),
+        st.sampled_from(PARAMS),
     ),
     min_size=1,
     max_size=40,
@@ -74,3 +85,11 @@ def test_cohorts_match_brute_force(spark, rows):
 def test_ltv_matches_brute_force(spark, rows):
     df = events_df(spark, rows)
     assert _by(plans.ltv_by_channel(df, S, E), "first_channel") == brute.ltv_by_channel(rows)
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_channel_performance_and_weekly_growth_match_brute_force(spark, rows):
+    df = events_df(spark, rows)
+    assert _by(plans.channel_performance(df, S, E), "channel") == brute.channel_performance(rows)
+    assert _by(plans.weekly_growth(df, S, E), "week") == brute.weekly_growth(rows)
