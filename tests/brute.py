@@ -256,3 +256,70 @@ def weekly_growth(events):
         out[week] = row
         prev = row
     return out
+
+
+def _session_rows(events, key_of):
+    rows = defaultdict(lambda: {"n": 0, "converted": False, "revenue": []})
+    for raw in events:
+        e, p = _fields(raw), _params(raw)
+        if p.get("ga_session_id") is None:
+            continue
+        s = rows[key_of(e, p, raw)]
+        s["n"] += 1
+        s["converted"] |= e["name"] == "purchase"
+        s["revenue"].append(e["revenue"])
+    return rows
+
+
+def session_conversion(events):
+    rows = _session_rows(
+        events,
+        lambda e, p, raw: (e["user"], p["ga_session_id"], e["day"], e["source"], e["medium"],
+                           e["category"], raw[5][0]),
+    )
+    return {k: {"events_in_session": s["n"], "converted": s["converted"],
+                "session_revenue": money(s["revenue"])} for k, s in rows.items()}
+
+
+def top_sources(events, min_sessions):
+    rows = _session_rows(events, lambda e, p, raw: (e["user"], p["ga_session_id"], e["source"], e["medium"]))
+    groups = defaultdict(list)
+    for k, s in rows.items():
+        groups[(k[2], k[3])].append((k[0], s["converted"], money(s["revenue"])))
+    out = {}
+    for g, ss in groups.items():
+        total = len(ss)
+        if total < min_sessions:
+            continue
+        conv = sum(1 for _, c, _ in ss if c)
+        out[g] = {
+            "sessions": total,
+            "unique_users": len({u for u, _, _ in ss if u is not None}),
+            "conversions": conv,
+            "conversion_rate_pct": rnd(conv / total * 100, 2),
+            "revenue": money([r for _, _, r in ss]),
+        }
+    return out
+
+
+def new_vs_returning(events):
+    """Per five-way channel; raises ZeroDivisionError where the source's bare
+    division would (a channel whose only users are NULL)."""
+    rows = defaultdict(lambda: {"new": 0, "users": set(), "buyers": set()})
+    for raw in events:
+        e, p = _fields(raw), _params(raw)
+        r = rows[channel5(e["source"], e["medium"])]
+        r["new"] += p.get("medium") is not None and e["name"] == "first_visit"
+        if e["user"] is not None:
+            r["users"].add(e["user"])
+            if e["name"] == "purchase":
+                r["buyers"].add(e["user"])
+    return {
+        c: {
+            "new_user_events": r["new"],
+            "total_users": len(r["users"]),
+            "converting_users": len(r["buyers"]),
+            "user_conversion_rate_pct": rnd(len(r["buyers"]) / len(r["users"]) * 100, 2),
+        }
+        for c, r in rows.items()
+    }

@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -23,6 +26,8 @@ PARAMS = [
     (("ga_session_id", 1), ("session_engaged", 1)),
     (("ga_session_id", 2), ("session_engaged", 0)),
     (("session_engaged", 1),),
+    (("ga_session_id", 1), ("medium", "m1")),
+    (("medium", "m2"),),
 ]
 
 events_strategy = st.lists(
@@ -93,3 +98,27 @@ def test_channel_performance_and_weekly_growth_match_brute_force(spark, rows):
     df = events_df(spark, rows)
     assert _by(plans.channel_performance(df, S, E), "channel") == brute.channel_performance(rows)
     assert _by(plans.weekly_growth(df, S, E), "week") == brute.weekly_growth(rows)
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_session_rows_sources_and_new_users_match_brute_force(spark, rows):
+    df = events_df(spark, rows)
+    got = {
+        (r.user_pseudo_id, r.session_id, r.session_date, r.source, r.medium, r.device, r.country):
+        {"events_in_session": r.events_in_session, "converted": r.converted, "session_revenue": r.session_revenue}
+        for r in plans.session_conversion(df, S, E).collect()
+    }
+    assert got == brute.session_conversion(rows)
+    got = {
+        (r.source, r.medium): {k: v for k, v in r.asDict().items() if k not in ("source", "medium")}
+        for r in plans.top_sources(df, S, E, min_sessions=1).collect()
+    }
+    assert got == brute.top_sources(rows, 1)
+    try:
+        want = brute.new_vs_returning(rows)
+    except ZeroDivisionError:
+        with pytest.raises(PySparkException):
+            plans.new_vs_returning(df, S, E).collect()
+    else:
+        assert _by(plans.new_vs_returning(df, S, E), "channel") == want
