@@ -1,6 +1,7 @@
-"""Straightforward forms of four analyses, kept only to check and time the Spark-first
-forms of the library against them: distinct counts per step (A9), anchor table joined
-to activity (A12, A13), ranked first touch joined to per-user revenue (A15)."""
+"""Straightforward forms of the analyses the library rewrites, kept only to check and
+time the Spark-first forms against them: COUNT(DISTINCT CASE ...) per step (A8-A11,
+A14), anchor table joined to activity (A12, A13), ranked first touch joined to per-user
+revenue (A15)."""
 
 from __future__ import annotations
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from webevents.functions import (
     channel5,
     event_day,
+    event_param,
     money,
     money_sum,
     pct,
@@ -136,7 +138,77 @@ def ltv_by_channel_join(events: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def new_vs_returning_distinct(events: DataFrame, start: str, end: str) -> DataFrame:
+    new = event_param("medium", "string_value").isNotNull() & (F.col("event_name") == "first_visit")
+    users = F.count_distinct(U)
+    buyers = _users_with("purchase")
+    return (
+        date_window(events, start, end)
+        .groupBy(channel5().alias("channel"))
+        .agg(
+            F.count_if(new).alias("new_user_events"),
+            users.alias("total_users"),
+            buyers.alias("converting_users"),
+            pct(buyers, users, 2).alias("user_conversion_rate_pct"),
+        )
+    )
+
+
+def funnel_by_channel_distinct(events: DataFrame, start: str, end: str) -> DataFrame:
+    steps = ["session_start", "view_item", "add_to_cart", "begin_checkout", "purchase"]
+    names = ["sessions", "viewed_item", "added_to_cart", "started_checkout", "purchased"]
+    return (
+        date_window(events, start, end)
+        .groupBy(channel5().alias("channel"))
+        .agg(
+            *[_users_with(e).alias(n) for e, n in zip(steps, names)],
+            pct_nullif(_users_with("purchase"), _users_with("session_start"), 2).alias("end_to_end_cvr_pct"),
+        )
+    )
+
+
+def funnel_by_device_distinct(events: DataFrame, start: str, end: str) -> DataFrame:
+    return (
+        date_window(events, start, end)
+        .groupBy(F.col("device.category").alias("device_category"))
+        .agg(
+            _users_with("session_start").alias("sessions"),
+            _users_with("add_to_cart").alias("add_to_cart"),
+            _users_with("purchase").alias("purchases"),
+            pct_nullif(_users_with("purchase"), _users_with("session_start"), 2).alias("conversion_rate_pct"),
+        )
+    )
+
+
+def weekly_growth_distinct(events: DataFrame, start: str, end: str) -> DataFrame:
+    weekly = (
+        date_window(events, start, end)
+        .groupBy(week_of(event_day("event_date")).alias("week"))
+        .agg(
+            _users_with("session_start").alias("new_sessions"),
+            _users_with("first_visit").alias("new_users"),
+            _users_with("purchase").alias("converting_users"),
+            money(money_sum("ecommerce.purchase_revenue")).alias("revenue"),
+        )
+    )
+    w = Window.orderBy("week")
+    pu, pr = F.lag("new_users").over(w), F.lag("revenue").over(w)
+    return weekly.select(
+        "week", "new_sessions", "new_users", "converting_users", "revenue",
+        safe_pct("converting_users", "new_users", 2).alias("user_cvr_pct"),
+        safe_ratio("revenue", "converting_users", 2).alias("avg_revenue_per_converter"),
+        pu.alias("prev_week_users"),
+        F.round(F.try_divide(F.col("new_users") - pu, pu) * 100, 1).alias("user_growth_wow_pct"),
+        pr.alias("prev_week_revenue"),
+        F.round(F.try_divide(F.col("revenue") - pr, pr) * 100, 1).alias("revenue_growth_wow_pct"),
+    )
+
+
 PAIRS = {
+    "new_vs_returning": new_vs_returning_distinct,
+    "funnel_by_channel": funnel_by_channel_distinct,
+    "funnel_by_device": funnel_by_device_distinct,
+    "weekly_growth": weekly_growth_distinct,
     "funnel_overall": funnel_overall_distinct,
     "retention_cohorts": retention_cohorts_join,
     "purchase_cohorts": purchase_cohorts_join,

@@ -32,9 +32,14 @@ def _time(make, repeat=5):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    """Usage: compare_forms.py [sf_dir | --table PATH]"""
     spark = local_session(app_name="webevents-forms")
-    events = fixture_table(spark, sf_dir)
+    if len(sys.argv) > 2 and sys.argv[1] == "--table":
+        from webevents.sources import read_events
+
+        events = read_events(spark, sys.argv[2])
+    else:
+        events = fixture_table(spark, sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
     out = {}
     for name, literal in PAIRS.items():
         fast = getattr(plans, name)

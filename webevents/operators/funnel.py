@@ -43,12 +43,17 @@ def user_step_flags(
 ) -> DataFrame:
     """One row per (dims, user) with ``_steps``: the OR of the step bitmasks of the
     user's events (bit i = the user did step i). A single fixed-width long per group
-    keeps both the hash-aggregation buffer and the shuffled row minimal."""
+    keeps both the hash-aggregation buffer and the shuffled row minimal.
+
+    Events that match no step are grouped under a NULL user: they only have to keep
+    their dimension value present (with zero counts), so they fold into one row per
+    dimension value and task instead of one row per user."""
     dims = dims or {}
+    mask = step_mask(list(steps.values()))
     projected = events.select(
         *[expr.alias(name) for name, expr in dims.items()],
-        F.col(user).alias(user),
-        step_mask(list(steps.values())).alias("_mask"),
+        F.when(mask != 0, F.col(user)).alias(user),
+        mask.alias("_mask"),
     )
     return projected.groupBy(*dims, user).agg(F.bit_or("_mask").alias("_steps"))
 

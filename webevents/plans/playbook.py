@@ -24,12 +24,15 @@ def weekly_growth(
 ) -> DataFrame:
     """Per Monday week -- distinct users with session_start / first_visit /
     purchase, revenue, and week-over-week growth against the previous row."""
+    mask = step_mask([event_is("session_start"), event_is("first_visit"), event_is("purchase")])
     weekly_user = (
         date_window(events, start, end)
         .select(
             week_of(event_day("event_date")).alias("week"),
-            USER,
-            step_mask([event_is("session_start"), event_is("first_visit"), event_is("purchase")]).alias("_mask"),
+            # events of none of the three kinds only add revenue: one NULL-user row
+            # per week and task carries it instead of one row per user
+            F.when(mask != 0, F.col(USER)).alias(USER),
+            mask.alias("_mask"),
             F.col("ecommerce.purchase_revenue").alias("_rev"),
         )
         .groupBy("week", USER)
