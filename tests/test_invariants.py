@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from webevents import plans
-from webevents.functions import channel7, event_day, event_param
+from webevents.functions import event_day, event_param
 from webevents.operators import sessions
 from webevents.sources.fixtures import FIXTURE_AS_OF, FIXTURE_END, FIXTURE_START, fixture_table
 
@@ -39,7 +39,6 @@ def test_channel_sessions_sum_to_session_rows(events):
             "user_pseudo_id": F.col("user_pseudo_id"),
             "session_id": event_param("ga_session_id", "int_value"),
             "session_date": event_day("event_date"),
-            "channel": channel7(),
             "source": F.col("traffic_source.source"),
             "medium": F.col("traffic_source.medium"),
             "is_engaged": event_param("session_engaged", "int_value"),

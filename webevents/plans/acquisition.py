@@ -25,12 +25,14 @@ def channel_performance(
             "user_pseudo_id": F.col("user_pseudo_id"),
             "session_id": event_param("ga_session_id", "int_value"),
             "session_date": event_day("event_date"),
-            "channel": channel7(),
             "source": F.col("traffic_source.source"),
             "medium": F.col("traffic_source.medium"),
             "is_engaged": event_param("session_engaged", "int_value"),
         },
     )
+    # the channel is a function of (source, medium), both already in the grain, so it
+    # is labelled once per session row instead of being a grouping key per event
+    rows = rows.withColumn("channel", channel7("source", "medium"))
     total = F.count(F.lit(1))
     conversions = F.count_if("converted")
     revenue = money_sum("session_revenue")
