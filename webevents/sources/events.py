@@ -32,15 +32,16 @@ def read_events(
 def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write events as day shards under ``path`` (shared storage on a cluster).
 
-    Rows are range-partitioned on (suffix, timestamp): each task receives a contiguous
-    slice of time, so it writes one or two day folders, and a day holding a large
-    share of all events is cut into many similar-sized tasks instead of landing in
-    one (which hash-partitioning on the day would do).
+    Rows are rebalanced on the day (``rebalance`` hint): hash-partitioned by suffix, with
+    adaptive execution splitting any partition larger than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` -- a day holding a large share of
+    all events is cut into several similar-sized tasks -- and merging small ones, so each
+    day lands in few files. Unlike a range partitioning it needs no sampling pass over
+    the input. Inside each task rows are sorted by time, so row groups carry tight
+    ``event_timestamp`` statistics (and the writer's per-day ordering is already met).
     """
     (
-        events.repartitionByRange(F.col(SUFFIX_COLUMN), F.col("event_timestamp"))
-        # time order inside each file: the writer's per-day ordering is already met and
-        # every row group carries tight event_timestamp min/max statistics
+        events.hint("rebalance", SUFFIX_COLUMN)
         .sortWithinPartitions(SUFFIX_COLUMN, "event_timestamp")
         .write.mode(mode)
         .partitionBy(SUFFIX_COLUMN)
