@@ -8,6 +8,11 @@ shards -- and written over the same day partitions of the output (dynamic partit
 overwrite). Distinct-user counts therefore stay exact even when a day arrives in
 several pieces, a rerun of a batch after a failure rewrites the same rows, and the
 stream's checkpoint (in the shared checkpoint folder) records which files were done.
+
+Daily activity groups by ``event_date`` while shards are keyed by ``table_suffix``;
+recomputing the changed shards is exact when every event's date is its shard's day, as
+in the export layout this table models. If dates and shards could disagree, pass an
+``analysis`` keyed by the suffix instead.
 """
 
 from __future__ import annotations
