@@ -323,3 +323,42 @@ def new_vs_returning(events):
         }
         for c, r in rows.items()
     }
+
+
+def event_inventory(events):
+    per = defaultdict(lambda: {"n": 0, "users": set(), "days": []})
+    for e in map(_fields, events):
+        r = per[e["name"]]
+        r["n"] += 1
+        r["days"].append(e["day"])
+        if e["user"] is not None:
+            r["users"].add(e["user"])
+    return {k: {"event_count": r["n"], "unique_users": len(r["users"]),
+                "first_seen": min(r["days"]), "last_seen": max(r["days"])} for k, r in per.items()}
+
+
+def daily_activity(events):
+    per = defaultdict(lambda: {"n": 0, "users": set(), "ss": 0, "p": 0})
+    for e in map(_fields, events):
+        r = per[e["day"]]
+        r["n"] += 1
+        r["ss"] += e["name"] == "session_start"
+        r["p"] += e["name"] == "purchase"
+        if e["user"] is not None:
+            r["users"].add(e["user"])
+    return {d: {"total_events": r["n"], "daily_active_users": len(r["users"]),
+                "sessions": r["ss"], "purchases": r["p"]} for d, r in per.items()}
+
+
+def funnel_by_device(events):
+    per = defaultdict(lambda: {s: set() for s in ("session_start", "add_to_cart", "purchase")})
+    for e in map(_fields, events):
+        r = per[e["category"]]
+        if e["user"] is not None and e["name"] in r:
+            r[e["name"]].add(e["user"])
+    out = {}
+    for d, r in per.items():
+        s, a, p = len(r["session_start"]), len(r["add_to_cart"]), len(r["purchase"])
+        out[d] = {"sessions": s, "add_to_cart": a, "purchases": p,
+                  "conversion_rate_pct": rnd(p / s * 100, 2) if s else None}
+    return out

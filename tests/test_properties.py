@@ -32,8 +32,9 @@ PARAMS = [
 
 events_strategy = st.lists(
     st.builds(
-        lambda name, user, day, ts, medium, source, revenue, params: event(
+        lambda name, user, day, ts, medium, source, revenue, params, category: event(
             name=name,
+            category=category,
             user=user,
             date=(dt.date(2024, 1, 1) + dt.timedelta(days=day)).strftime("%Y%m%d"),
             ts=ts,
@@ -50,6 +51,7 @@ events_strategy = st.lists(
         st.sampled_from(["(direct)", "s", None]),
         st.sampled_from([None, None, 1.005, 2.5, 0.01, 10.0]),
         st.sampled_from(PARAMS),
+        st.sampled_from(["desktop", "mobile", None]),
     ),
     min_size=1,
     max_size=40,
@@ -122,3 +124,12 @@ def test_session_rows_sources_and_new_users_match_brute_force(spark, rows):
             plans.new_vs_returning(df, S, E).collect()
     else:
         assert _by(plans.new_vs_returning(df, S, E), "channel") == want
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_inventory_daily_and_device_funnel_match_brute_force(spark, rows):
+    df = events_df(spark, rows)
+    assert _by(plans.event_inventory(df, S, E), "event_name") == brute.event_inventory(rows)
+    assert _by(plans.daily_activity(df, S, E), "date") == brute.daily_activity(rows)
+    assert _by(plans.funnel_by_device(df, S, E), "device_category") == brute.funnel_by_device(rows)
