@@ -3,7 +3,7 @@
 Usage: python tools/skew_check.py [sf_dir]
 
 Derives a skewed copy of the nested table (every third event, by hash, re-assigned to
-one user), runs every analysis on it with Spark's event log written to a fresh scratch
+one user; then the same third with a NULL user), runs every analysis on it with Spark's event log written to a fresh scratch
 folder, and reads the per-task shuffle records back from that log. Partition
 coalescing is off so the raw hash distribution is visible. For contrast it also runs a
 plain ``repartition(user)`` of the events, which has no map-side aggregation.
@@ -86,6 +86,23 @@ def main() -> None:
         spark.sparkContext.setJobDescription(name)
         make().collect()
 
+    # a third of all events without a user id (NULL is a group of its own in GROUP BY)
+    nulls = read_events(spark, path).withColumn(
+        "user_pseudo_id", F.when(F.col("user_pseudo_id") == "hot-user", F.lit(None).cast("string"))
+        .otherwise(F.col("user_pseudo_id"))
+    )
+    null_runs = {
+        "NULL user: funnel_overall": lambda: plans.funnel_overall(nulls, S, E),
+        "NULL user: retention_cohorts": lambda: plans.retention_cohorts(nulls, S, E),
+        "NULL user: ltv_by_channel": lambda: plans.ltv_by_channel(nulls, S, E),
+        "NULL user: funnel_stage_dropoff": lambda: plans.funnel_stage_dropoff(nulls, S, E, AS_OF),
+        "NULL user: weekly_growth": lambda: plans.weekly_growth(nulls, S, E),
+        "NULL user: channel_performance": lambda: plans.channel_performance(nulls, S, E),
+    }
+    for name, make in null_runs.items():
+        spark.sparkContext.setJobDescription(name)
+        make().collect()
+
     # the writer: a third of all events moved onto one day
     hot_day = F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(3)) == 0
     crowded = base.withColumn(
