@@ -41,6 +41,8 @@ def local_session(
         .config("spark.driver.memory", os.environ.get("WEBEVENTS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # size post-shuffle partitions by bytes, not by the core count
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     )
     # spark.checkpoint.dir is left as the environment configures it; a session without
     # one gets a private folder from ensure_checkpoint_dir (local sessions only).
