@@ -80,3 +80,36 @@ def test_all_aggregates_are_hash_based(spark, name):
     # Spark fall back to sorting every input row
     plan = plan_of(queries()[name](spark, SF01))
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, name
+
+
+def _tree(plan_text: str):
+    """(depth, operator) pairs of a physical plan's tree text."""
+    nodes = []
+    for line in plan_text.splitlines():
+        stripped = line.lstrip(" :+-")
+        if not stripped or stripped.startswith("("):
+            continue
+        depth = len(line) - len(stripped)
+        nodes.append((depth, stripped.split("(")[0].split(" [")[0].strip()))
+    return nodes
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_event_rows_are_aggregated_before_any_shuffle(spark, name):
+    # below every Exchange, the path down to the scan must pass a HashAggregate
+    # (a map-side partial aggregate), so raw event rows are never shuffled
+    nodes = _tree(plan_of(queries()[name](spark, SF01)))
+    for i, (depth, op) in enumerate(nodes):
+        if not op.startswith("Exchange"):
+            continue
+        seen_aggregate = False
+        for d, below in nodes[i + 1:]:
+            if d <= depth:
+                break
+            if below.startswith(("Exchange", "ShuffleQueryStage")):
+                break
+            if below.startswith("HashAggregate"):
+                seen_aggregate = True
+            if below.startswith(("FileScan", "Scan parquet", "BatchScan")):
+                assert seen_aggregate, f"{name}: an Exchange reads event rows without a partial aggregate"
+                break
