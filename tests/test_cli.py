@@ -23,3 +23,12 @@ def test_every_analysis_runs_from_a_path(spark):
         df = run(spark, name, table, "20240101", "20240131", day="20240103", as_of="2024-02-01")
         assert df.columns, name
         df.limit(1).collect()
+
+
+def test_cli_writes_nested_columns_to_csv_as_json(spark, tmp_path):
+    table = nested_event_table(spark, SF001)
+    out = str(tmp_path / "preview")
+    main(["event_preview", "--events", table, "--day", "20240103", "--out", out, "--format", "csv"])
+    report = spark.read.option("header", "true").csv(out)
+    assert report.count() == 10
+    assert report.first()["event_params"].startswith("[")

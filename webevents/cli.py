@@ -12,6 +12,9 @@ from __future__ import annotations
 import argparse
 import inspect
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from webevents import plans
 from webevents.session import local_session
 from webevents.sources import read_events
@@ -51,6 +54,13 @@ def main(argv: list[str] | None = None) -> None:
     params = {k: getattr(args, k) for k in ("day", "as_of", "min_sessions", "min_cohort")}
     df = run(spark, args.analysis, args.events, args.start, args.end, **params)
     if args.out:
+        if args.format == "csv":
+            # CSV holds no arrays or structs: such columns are written as JSON text
+            df = df.select(*[
+                F.to_json(f.name).alias(f.name) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
+                else F.col(f.name)
+                for f in df.schema.fields
+            ])
         writer = df.write.mode("overwrite")
         if args.format == "csv":
             writer = writer.option("header", "true")
