@@ -113,3 +113,16 @@ def test_event_rows_are_aggregated_before_any_shuffle(spark, name):
             if below.startswith(("FileScan", "Scan parquet", "BatchScan")):
                 assert seen_aggregate, f"{name}: an Exchange reads event rows without a partial aggregate"
                 break
+
+
+# previews (A1, A2) and top-k reports (A5, A7) are the only analyses whose result is cut
+LIMITED = {"event_preview", "page_view_params", "session_conversion", "top_sources", "top_sources_min900"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_only_previews_and_top_k_reports_limit_rows(spark, name):
+    plan = plan_of(queries()[name](spark, SF01))
+    limited = any(op in plan for op in ("TakeOrderedAndProject", "GlobalLimit", "CollectLimit", "LocalLimit"))
+    assert limited == (name in LIMITED), name
+    # and nothing samples or filters the input down to a subset
+    assert "Sample" not in plan, name
