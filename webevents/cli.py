@@ -27,9 +27,9 @@ def run(spark, name: str, events_path: str, start: str | None, end: str | None,
     fn = ANALYSES[name]
     accepted = inspect.signature(fn).parameters
     if "day" in accepted:
-        day = params.pop("day", None) or start
+        day = params.pop("day", None) or start or accepted["day"].default
         events = read_events(spark, events_path, day, day)
-        return fn(events, day, **{k: v for k, v in params.items() if k in accepted})
+        return fn(events, day, **{k: v for k, v in params.items() if k in accepted and v is not None})
     events = read_events(spark, events_path, start, end)
     return fn(events, start, end, **{k: v for k, v in params.items() if k in accepted and v is not None})
 
