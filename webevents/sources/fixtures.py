@@ -221,7 +221,8 @@ MAPPING_VERSION = 5
 
 
 def _input_stamp(sf_dir: str) -> str:
-    """Identify the inputs by path, size and modification time."""
+    """Identify the inputs by path, size and modification time (remote inputs: by
+    path only), plus the mapping version."""
     parts = [f"v{MAPPING_VERSION}", os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for name in FIXTURE_INPUTS:
         p = os.path.join(sf_dir, f"{name}.parquet")
