@@ -3,7 +3,8 @@
 Usage: python tools/skew_check.py [sf_dir]
 
 Derives a skewed copy of the nested table (every third event, by hash, re-assigned to
-one user; then the same third with a NULL user), runs every analysis on it with Spark's event log written to a fresh scratch
+one user; then the same third with a NULL user, then from one traffic source), runs
+every analysis on it with Spark's event log written to a fresh scratch
 folder, and reads the per-task shuffle records back from that log. Partition
 coalescing is off so the raw hash distribution is visible. For contrast it also runs a
 plain ``repartition(user)`` of the events, which has no map-side aggregation.
@@ -103,6 +104,24 @@ def main() -> None:
         spark.sparkContext.setJobDescription(name)
         make().collect()
 
+    # a third of all events from one traffic source / medium
+    hot_src = base.withColumn(
+        "traffic_source",
+        F.when(
+            hot,
+            F.col("traffic_source").withField("source", F.lit("hot-src")).withField("medium", F.lit("cpc")),
+        ).otherwise(F.col("traffic_source")),
+    )
+    src_runs = {
+        "hot source: top_sources": lambda: plans.top_sources(hot_src, S, E),
+        "hot source: channel_performance": lambda: plans.channel_performance(hot_src, S, E),
+        "hot source: funnel_by_channel": lambda: plans.funnel_by_channel(hot_src, S, E),
+        "hot source: new_vs_returning": lambda: plans.new_vs_returning(hot_src, S, E),
+    }
+    for name, make in src_runs.items():
+        spark.sparkContext.setJobDescription(name)
+        make().collect()
+
     # the writer: a third of all events moved onto one day
     hot_day = F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(3)) == 0
     crowded = base.withColumn(
