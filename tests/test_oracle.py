@@ -1,5 +1,5 @@
 """Every registered query against its independent DuckDB statement (the driver's gate),
-at sf0.01, plus the smoke entry point."""
+at sf0.01 and sf0.001, plus the smoke entry point."""
 
 from __future__ import annotations
 
@@ -9,30 +9,37 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF01
+from conftest import SF001, SF01
 from tools.check import TABLES, digest
 
 
-@pytest.fixture(scope="module")
-def duck():
+def _duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
-        p = Path(SF01) / f"{t}.parquet"
+        p = Path(sf_dir) / f"{t}.parquet"
         if p.exists():
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    yield con
-    con.close()
+    return con
+
+
+@pytest.fixture(scope="module")
+def ducks():
+    cons = {sf: _duck(sf) for sf in (SF001, SF01)}
+    yield cons
+    for con in cons.values():
+        con.close()
 
 
 def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
+@pytest.mark.parametrize("sf_dir", [SF001, SF01])
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF01)
+def test_query_matches_oracle(spark, ducks, name, sf_dir):
+    df = queries()[name](spark, sf_dir)
     spark_rows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(oracle_sql()[name])
+    rel = ducks[sf_dir].sql(oracle_sql()[name])
     duck_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(spark_rows) == len(duck_rows)
