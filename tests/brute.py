@@ -362,3 +362,19 @@ def funnel_by_device(events):
         out[d] = {"sessions": s, "add_to_cart": a, "purchases": p,
                   "conversion_rate_pct": rnd(p / s * 100, 2) if s else None}
     return out
+
+
+def page_view_params(events, day, n=20):
+    """Ordered rows: earliest first, then every output column, NULLs first."""
+    def key(v):
+        return (v is not None, v if v is not None else 0)
+
+    rows = []
+    for raw in events:
+        e, p = _fields(raw), _params(raw)
+        if raw[9] != day or e["name"] != "page_view":
+            continue
+        out = (raw[0], e["name"], e["user"], p.get("page_location"), p.get("ga_session_id"),
+               p.get("engagement_time_msec"))
+        rows.append(((key(e["ts"]),) + tuple(key(v) if not isinstance(v, str) else (True, v) for v in out), out))
+    return [out for _, out in sorted(rows, key=lambda r: r[0])[:n]]

@@ -133,3 +133,14 @@ def test_inventory_daily_and_device_funnel_match_brute_force(spark, rows):
     assert _by(plans.event_inventory(df, S, E), "event_name") == brute.event_inventory(rows)
     assert _by(plans.daily_activity(df, S, E), "date") == brute.daily_activity(rows)
     assert _by(plans.funnel_by_device(df, S, E), "device_category") == brute.funnel_by_device(rows)
+
+
+@SETTINGS
+@given(rows=events_strategy)
+def test_page_view_preview_order_matches_brute_force(spark, rows):
+    # every other event becomes a page view, so the preview has rows to order
+    rows = [r[:2] + ("page_view",) + r[3:] if i % 2 else r for i, r in enumerate(rows)]
+    df = events_df(spark, rows)
+    day = rows[0][9]  # a day that has events
+    got = [tuple(r) for r in plans.page_view_params(df, day, n=5).collect()]
+    assert got == brute.page_view_params(rows, day, n=5)
