@@ -8,9 +8,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF001, SF01
+from oracle_sql import SQL
 from tools.check import TABLES, digest
+from webevents.plans.catalog import QUERIES
 
 
 def _duck(sf_dir):
@@ -31,15 +33,15 @@ def ducks():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("sf_dir", [SF001, SF01])
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, ducks, name, sf_dir):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     spark_rows = [tuple(r) for r in df.collect()]
-    rel = ducks[sf_dir].sql(oracle_sql()[name])
+    rel = ducks[sf_dir].sql(SQL[name])
     duck_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(spark_rows) == len(duck_rows)

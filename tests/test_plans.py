@@ -7,7 +7,7 @@ import io
 
 import pytest
 
-from __spark_entry__ import queries
+from webevents.plans.catalog import QUERIES
 from conftest import SF01
 
 
@@ -26,9 +26,9 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_scan_prunes_shards_and_stays_in_the_jvm(spark, name):
-    df = queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     plan = plan_of(df)
     assert "PartitionFilters: [isnotnull(table_suffix" in plan, name
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
@@ -43,20 +43,20 @@ def test_scan_prunes_shards_and_stays_in_the_jvm(spark, name):
 def test_flag_funnels_do_not_expand_rows(spark, name):
     # one COUNT(DISTINCT CASE ...) per step would plan an Expand (a copy of every row
     # per step); the per-user flag form never does
-    assert "Expand" not in optimized(queries()[name](spark, SF01))
+    assert "Expand" not in optimized(QUERIES[name](spark, SF01))
 
 
 @pytest.mark.parametrize(
     "name", ["retention_cohorts", "purchase_cohorts", "ltv_by_channel", "funnel_stage_dropoff"]
 )
 def test_single_scan_forms_have_no_join(spark, name):
-    plan = optimized(queries()[name](spark, SF01))
+    plan = optimized(QUERIES[name](spark, SF01))
     assert "Join" not in plan, name
     assert plan.count("Relation [") == 1, name
 
 
 def test_nested_fields_are_pruned(spark):
-    plan = formatted(queries()["channel_performance"](spark, SF01))
+    plan = formatted(QUERIES["channel_performance"](spark, SF01))
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "geo" not in read_schema and "device" not in read_schema
     assert "string_value" not in read_schema  # only the int slot of event_params is read
@@ -64,21 +64,21 @@ def test_nested_fields_are_pruned(spark):
 
 
 def test_partial_aggregation_before_every_shuffle(spark):
-    plan = plan_of(queries()["ltv_by_channel"](spark, SF01))
+    plan = plan_of(QUERIES["ltv_by_channel"](spark, SF01))
     # a map-side partial aggregate runs below the first exchange
     assert "partial_min" in plan or "partial_count" in plan
 
 
 def test_top_k_is_take_ordered(spark):
-    plan = plan_of(queries()["session_conversion"](spark, SF01))
+    plan = plan_of(QUERIES["session_conversion"](spark, SF01))
     assert "TakeOrderedAndProject" in plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_all_aggregates_are_hash_based(spark, name):
     # a variable-width aggregation buffer (e.g. min over a struct of strings) makes
     # Spark fall back to sorting every input row
-    plan = plan_of(queries()[name](spark, SF01))
+    plan = plan_of(QUERIES[name](spark, SF01))
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, name
 
 
@@ -94,11 +94,11 @@ def _tree(plan_text: str):
     return nodes
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_event_rows_are_aggregated_before_any_shuffle(spark, name):
     # below every Exchange, the path down to the scan must pass a HashAggregate
     # (a map-side partial aggregate), so raw event rows are never shuffled
-    nodes = _tree(plan_of(queries()[name](spark, SF01)))
+    nodes = _tree(plan_of(QUERIES[name](spark, SF01)))
     for i, (depth, op) in enumerate(nodes):
         if not op.startswith("Exchange"):
             continue
@@ -119,9 +119,9 @@ def test_event_rows_are_aggregated_before_any_shuffle(spark, name):
 LIMITED = {"event_preview", "page_view_params", "session_conversion", "top_sources", "top_sources_min900"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_only_previews_and_top_k_reports_limit_rows(spark, name):
-    plan = plan_of(queries()[name](spark, SF01))
+    plan = plan_of(QUERIES[name](spark, SF01))
     limited = any(op in plan for op in ("TakeOrderedAndProject", "GlobalLimit", "CollectLimit", "LocalLimit"))
     assert limited == (name in LIMITED), name
     # and nothing samples or filters the input down to a subset
