@@ -16,7 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webevents.llm.common import SPACES
+from webevents.llm.common import SPACES, stored
 
 #: Dropped positions are kept per block of so many lines, so that looking one up
 #: stays cheap in a document of millions of lines.
@@ -41,15 +41,18 @@ def dedup_lines(
     doc_id: str = "doc_id",
     min_chars: int = 20,
     min_docs: int = 3,
+    counts: tuple[str, str] | None = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """``docs`` with ``text`` replaced by its kept lines, plus ``n_lines`` and ``n_dropped``.
+    """``docs`` with ``text`` replaced by its kept lines, plus the counts of lines and of dropped ones
+    under the names ``counts`` (None: without them).
 
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents
     loses all its lines except those of the largest document id that holds it.
 
     Keys travel as 128 bits of hash, never as text; the text itself is shuffled once, to
     meet its document's dropped positions. A key that every document holds is combined
-    before its shuffle, and its lines join one row, which adaptive execution can split.
+    before its shuffle, and its lines join one row of the table of common keys, which
+    adaptive execution broadcasts if it is small and else splits.
     """
     # every own name starts with _ld_, so that no column of the input can clash
     rows = docs.select(
@@ -68,12 +71,15 @@ def dedup_lines(
             F.xxhash64(F.lit(1), F.col("_ld_key")).alias("_ld_k2"),
         )
     )
+    keys = stored(keys, "line-keys")  # read twice
     common = (
         keys.groupBy("_ld_k1", "_ld_k2")
         .agg(F.count_distinct("_ld_doc").alias("_ld_docs"), F.max("_ld_doc").alias("_ld_keep"))
         .where(F.col("_ld_docs") >= min_docs)
         .select("_ld_k1", "_ld_k2", "_ld_keep")
     )
+    # a table of its own, so that a common key's lines meet it in a join that can be split
+    common = stored(common, "line-common")
     blocks = (
         keys.join(common, ["_ld_k1", "_ld_k2"])
         .where(F.col("_ld_doc") < F.col("_ld_keep"))
@@ -104,8 +110,10 @@ def dedup_lines(
         .withColumn("_ld_kept", kept)
         .select(
             *others,
-            F.size(lines_of(F.col("_ld_text"))).cast("long").alias("n_lines"),
-            F.coalesce("_ld_n", F.lit(0)).cast("long").alias("n_dropped"),
+            *([] if counts is None else [
+                F.size(lines_of(F.col("_ld_text"))).cast("long").alias(counts[0]),
+                F.coalesce("_ld_n", F.lit(0)).cast("long").alias(counts[1]),
+            ]),
         )
     )
 

@@ -2,12 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from webevents.llm import (
+    bpe_two_tier,
+    curriculum_mix,
+    isolation_rules,
+    line_dedup,
+    simhash_ring,
+)
 from webevents.llm.common import table
-from webevents.llm import curriculum_mix, line_dedup
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op3_isolation_rules(spark, sf_dir):
+    return isolation_rules.op3_isolation_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_simhash_ring(spark, sf_dir):
+    return simhash_ring.op5_simhash_ring(table(spark, sf_dir, "documents"))
+
+
+def op6_curriculum_mix(spark, sf_dir):
+    return curriculum_mix.op6_curriculum_mix(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe_two_tier(spark, sf_dir):
+    return bpe_two_tier.op7_bpe_two_tier(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+def op8_line_dedup(spark, sf_dir):
+    return line_dedup.op8_line_dedup(table(spark, sf_dir, "documents"))
+
 
 QUERIES = {
-    "op6_curriculum_mix": lambda spark, d: curriculum_mix.op6_curriculum_mix(table(spark, d, "documents")),
-    "op8_line_dedup": lambda spark, d: line_dedup.op8_line_dedup(table(spark, d, "documents")),
+    f.__name__: f
+    for f in (op3_isolation_rules, op5_simhash_ring, op6_curriculum_mix, op7_bpe_two_tier, op8_line_dedup)
 }
 
 SQL = {
