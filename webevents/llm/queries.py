@@ -9,11 +9,18 @@ from webevents.llm import (
     curriculum_mix,
     isolation_rules,
     line_dedup,
+    repair_grammar,
     simhash_ring,
+    warc_zstd,
 )
 from webevents.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_repair_tokens(spark, sf_dir):
+    return repair_grammar.op2_repair_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op3_isolation_rules(spark, sf_dir):
@@ -36,12 +43,20 @@ def op8_line_dedup(spark, sf_dir):
     return line_dedup.op8_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_zstd(spark, sf_dir):
+    return warc_zstd.op10_warc_zstd(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_isolation_rules, op5_simhash_ring, op6_curriculum_mix, op7_bpe_two_tier, op8_line_dedup)
+    for f in (
+        op2_repair_tokens, op3_isolation_rules, op5_simhash_ring, op6_curriculum_mix, op7_bpe_two_tier,
+        op8_line_dedup, op10_warc_zstd,
+    )
 }
 
 SQL = {
     "op6_curriculum_mix": curriculum_mix.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op10_warc_zstd": warc_zstd.SQL,
 }
