@@ -9,6 +9,7 @@ from webevents.llm import (
     curriculum_mix,
     isolation_rules,
     line_dedup,
+    radix_windows,
     repair_grammar,
     simhash_ring,
     warc_zstd,
@@ -27,6 +28,10 @@ def op3_isolation_rules(spark, sf_dir):
     return isolation_rules.op3_isolation_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_radix_windows(spark, sf_dir):
+    return radix_windows.op4_radix_windows(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_ring(spark, sf_dir):
     return simhash_ring.op5_simhash_ring(table(spark, sf_dir, "documents"))
 
@@ -50,8 +55,8 @@ def op10_warc_zstd(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_repair_tokens, op3_isolation_rules, op5_simhash_ring, op6_curriculum_mix, op7_bpe_two_tier,
-        op8_line_dedup, op10_warc_zstd,
+        op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring, op6_curriculum_mix,
+        op7_bpe_two_tier, op8_line_dedup, op10_warc_zstd,
     )
 }
 
