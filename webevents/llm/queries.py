@@ -9,6 +9,7 @@ from webevents.llm import (
     curriculum_mix,
     isolation_rules,
     line_dedup,
+    multiprobe,
     radix_windows,
     repair_grammar,
     simhash_ring,
@@ -48,6 +49,10 @@ def op8_line_dedup(spark, sf_dir):
     return line_dedup.op8_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_multiprobe(spark, sf_dir):
+    return multiprobe.op9_multiprobe(table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc_zstd(spark, sf_dir):
     return warc_zstd.op10_warc_zstd(table(spark, sf_dir, "pages"))
 
@@ -56,7 +61,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring, op6_curriculum_mix,
-        op7_bpe_two_tier, op8_line_dedup, op10_warc_zstd,
+        op7_bpe_two_tier, op8_line_dedup, op9_multiprobe, op10_warc_zstd,
     )
 }
 
