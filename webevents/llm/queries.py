@@ -10,6 +10,7 @@ from webevents.llm import (
     isolation_rules,
     line_dedup,
     multiprobe,
+    quality_cotrain,
     radix_windows,
     repair_grammar,
     simhash_ring,
@@ -21,6 +22,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_cotrain(spark, sf_dir):
+    return quality_cotrain.op1_quality_cotrain(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_repair_tokens(spark, sf_dir):
     return repair_grammar.op2_repair_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -60,8 +65,8 @@ def op10_warc_zstd(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring, op6_curriculum_mix,
-        op7_bpe_two_tier, op8_line_dedup, op9_multiprobe, op10_warc_zstd,
+        op1_quality_cotrain, op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring,
+        op6_curriculum_mix, op7_bpe_two_tier, op8_line_dedup, op9_multiprobe, op10_warc_zstd,
     )
 }
 
