@@ -18,7 +18,7 @@ import base64
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Chunks remembered per worker (about 200 bytes each); a full table starts anew.
-MEMORY = 400_000
+#: Chunks and pre-tokens in one generation of a worker's memory (about 200 bytes each).
+MEMORY = 200_000
 #: Rows put into one output batch.
 ROWS = 500
 
@@ -99,6 +99,22 @@ class Vocabulary:
         return self.ranks[i] if self.keys[i] == piece else None
 
 
+class Memory:
+    """What was met lately: a full generation becomes the old one, and the one before it goes."""
+
+    def __init__(self, compute):
+        self.compute, self.known, self.old = compute, {}, {}
+
+    def all(self, keys: list[str]) -> Iterable[bytes]:
+        if len(self.known) > MEMORY:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        for key in set(keys).difference(known):
+            value = old.get(key)
+            known[key] = self.compute(key) if value is None else value
+        return map(known.__getitem__, keys)
+
+
 class Encoder:
     """Encodes whole texts; ids are little-endian unsigned 32-bit integers in bytes."""
 
@@ -118,7 +134,8 @@ class Encoder:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         }
-        self.known: dict[str, bytes] = {}
+        self.chunks = Memory(self.chunk)
+        self.tokens = Memory(self.token)
 
     def merge(self, piece: bytes) -> list[int]:
         """Second tier, for a piece that is no token: a heap of pairs over linked bytes."""
@@ -147,37 +164,28 @@ class Encoder:
                 push(heap, (new, h, end))
         return [parts[i] for i in range(n) if after[i] >= 0]
 
+    def token(self, match: str) -> bytes:
+        """Ids of one pre-token."""
+        piece = match.encode()
+        r = self.whole(piece)
+        return array("I", self.merge(piece) if r is None else (r,)).tobytes()
+
     def pieces(self, text: str) -> bytes:
         """Ids of all pre-tokens of ``text``."""
-        ids: list[int] = []
-        for match in self.split(text):
-            piece = match.encode()
-            r = self.whole(piece)
-            if r is None:
-                ids += self.merge(piece)
-            else:
-                ids.append(r)
-        return array("I", ids).tobytes()
+        return b"".join(self.tokens.all(self.split(text)))
+
+    def chunk(self, chunk: str) -> bytes:
+        return self.pieces(chunk if chunk[:1] == "\n" else " " + chunk)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        known = self.known
         if self.UNEVEN.search(text):
-            head, chunks = b"", self.split(text)
-        else:
-            # no pre-token crosses a lone space or line feed: cut there, keep it in front
-            first, *rest = text.replace("\n", " \n").split(" ")
-            head = self.pieces(first)
-            chunks = [c if c[:1] == "\n" else " " + c for c in rest]
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) > MEMORY:
-                known.clear()
-                new = set(chunks)
-            for chunk in new:
-                known[chunk] = self.pieces(chunk)
-        return head + b"".join(map(known.__getitem__, chunks))
+            return self.pieces(text)
+        # no pre-token crosses a lone space or line feed: cut there; a chunk stands for itself
+        # with the space before it, or begins with its line feed
+        first, *chunks = text.replace("\n", " \n").split(" ")
+        return self.pieces(first) + b"".join(self.chunks.all(chunks))
 
 
 _encoders: dict[int, Encoder] = {}
@@ -191,44 +199,63 @@ def encoder_of(vocabulary: Vocabulary) -> Encoder:
     return _encoders[vocabulary.name]
 
 
-def _with_column(df: DataFrame, column: str, into: str, function) -> DataFrame:
-    """``df`` plus the binary column ``into``, ``function`` of each value of ``column``."""
-    at = df.columns.index(column)
-    schema = T.StructType([*df.schema.fields, T.StructField(into, T.BinaryType())])
+def _with_column(df: DataFrame, column: str, into: str, function, keep: list[str] | None) -> DataFrame:
+    """The columns ``keep`` of ``df`` (None: all) and the binary column ``into``, ``function``
+    of each batch of ``column``."""
+    keep = df.columns if keep is None else keep
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(into, T.BinaryType())])
+    read = list(dict.fromkeys([*keep, column]))
+    at = read.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = function()
         for whole in batches:
             for begin in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(begin, ROWS)
-                values = pa.array([apply(v.as_py()) for v in batch.column(at)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, values], names=schema.names)
+                values = pa.array([apply(v) for v in batch.column(at).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], values], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in read]).mapInArrow(run, schema)
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", into: str = "ids") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", into: str = "ids", keep: list[str] | None = None
+) -> DataFrame:
     """``docs`` plus the ids of each whole text, as little-endian unsigned 32-bit integers."""
-    return _with_column(docs, text, into, lambda: encoder_of(vocabulary).encode)
+    return _with_column(docs, text, into, lambda: encoder_of(vocabulary).encode, keep)
 
 
-def decode_documents(rows: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
+def decode_documents(
+    rows: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", into: str = "decoded", keep: list[str] | None = None
+) -> DataFrame:
     """``rows`` plus the bytes that the ids stand for."""
 
     def decoder():
-        of = vocabulary.by_rank.__getitem__
-        return lambda data: b"".join(map(of, np.frombuffer(data, "<u4").tolist()))
+        size = max(vocabulary.by_rank) + 1
+        tokens = [vocabulary.by_rank.get(r, b"") for r in range(size)]
+        lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        all_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+        def decode(data: bytes | None) -> bytes:
+            ranks = np.frombuffer(data or b"", "<u4")
+            sizes = lengths[ranks]
+            ends = np.cumsum(sizes)
+            # byte i of the text is byte i - (its token's begin in the text) of that token
+            shift = np.repeat(starts[ranks] - ends + sizes, sizes)
+            return all_bytes[shift + np.arange(len(shift))].tobytes()
+
+        return decode
 
-    return _with_column(rows, ids, into, decoder)
+    return _with_column(rows, ids, into, decoder, keep)
 
 
 def op7_bpe_two_tier(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Length and digests of every document's ids and of what they decode to."""
     vocabulary = Vocabulary.read(ranks_path, pattern)
-    encoded = encode_documents(docs.select("doc_id", "text"), vocabulary).drop("text")
-    return decode_documents(encoded, vocabulary).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    encoded = encode_documents(docs.select("doc_id", "text"), vocabulary, keep=["doc_id"]).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
     )
+    return decode_documents(encoded, vocabulary, keep=["doc_id", "n_tokens", "ids_sha256"]).withColumn(
+        "decoded_sha256", F.sha2("decoded", 256)
+    ).drop("decoded")
