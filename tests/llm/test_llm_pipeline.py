@@ -1,0 +1,43 @@
+"""The pipeline against the operators' plain-Python versions, stage by stage."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import brute_corpus as brute
+import numpy as np
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from conftest import SF001
+from webevents.llm import isolation_rules
+from webevents.llm.queries import QUERIES, SQL
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    model = isolation_rules.fit_rules(docs, spark.read.parquet(f"{SF001}/labels.parquet"))
+    rows = []
+    for r in docs.collect():
+        counts = np.array([isolation_rules.rule_counts(r["text"])])
+        score = model.forest.score(isolation_rules.statistics(counts))[0]
+        if not brute.rule_row(r["text"])[-1] and score <= model.threshold:
+            rows.append((r["doc_id"], r["source"], r["text"]))
+    assert 0 < len(rows) < docs.count()
+    lines = {d: t for d, _, _, t in brute.dedup_lines([(d, t) for d, _, t in rows])}
+    assert any(lines[d] != t for d, _, t in rows)
+    groups = brute.near_groups(lines.items())
+    rows = [(d, s, lines[d]) for d, s, _ in rows if groups[d][1] == d]
+    encoding, expected = brute.tiktoken_encoding(), Counter()
+    for d, s, t, copies in brute.mix(rows):
+        for words in copies:
+            ids = np.array(encoding.encode_ordinary(brute.first_words(t, words)), "<u4").tobytes()
+            expected[d, s, len(ids) // 4, hashlib.sha256(ids).hexdigest()] += 1
+    assert Counter(map(tuple, corpus_pipeline.pipeline_query(spark, SF001).collect())) == expected
+
+
+def test_registered_with_the_driver():
+    assert {*QUERIES, "pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "simhash_near_dedup", "curriculum_mix", "bpe_encode"]
