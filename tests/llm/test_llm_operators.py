@@ -18,6 +18,7 @@ from conftest import SF001, SF01
 from tools.check import TABLES, digest
 from webevents.llm import (
     bpe_two_tier,
+    common,
     curriculum_mix,
     isolation_rules,
     line_dedup,
@@ -326,7 +327,7 @@ def test_perfect_hash_is_minimal():
 
 
 def test_memory_forgets_and_stays_right(monkeypatch):
-    monkeypatch.setattr(bpe_two_tier, "MEMORY", 50)
+    monkeypatch.setattr(common, "MEMORY", 50)
     vocabulary = bpe_two_tier.Vocabulary.read(RANKS, public_tokenizers.PATTERN)
     encoder, encoding, rng = bpe_two_tier.Encoder(vocabulary), brute.tiktoken_encoding(), random.Random(4)
     for _ in range(300):

@@ -18,7 +18,7 @@ import base64
 import heapq
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Chunks and pre-tokens in one generation of a worker's memory (about 200 bytes each).
-MEMORY = 200_000
+from webevents.llm.common import Memory
+
 #: Rows put into one output batch.
 ROWS = 500
 
@@ -99,22 +99,6 @@ class Vocabulary:
         return self.ranks[i] if self.keys[i] == piece else None
 
 
-class Memory:
-    """What was met lately: a full generation becomes the old one, and the one before it goes."""
-
-    def __init__(self, compute):
-        self.compute, self.known, self.old = compute, {}, {}
-
-    def all(self, keys: list[str]) -> Iterable[bytes]:
-        if len(self.known) > MEMORY:
-            self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        for key in set(keys).difference(known):
-            value = old.get(key)
-            known[key] = self.compute(key) if value is None else value
-        return map(known.__getitem__, keys)
-
-
 class Encoder:
     """Encodes whole texts; ids are little-endian unsigned 32-bit integers in bytes."""
 
@@ -134,8 +118,8 @@ class Encoder:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         }
-        self.chunks = Memory(self.chunk)
-        self.tokens = Memory(self.token)
+        self.chunks = Memory(lambda chunks: map(self.chunk, chunks))
+        self.tokens = Memory(lambda tokens: map(self.token, tokens))
 
     def merge(self, piece: bytes) -> list[int]:
         """Second tier, for a piece that is no token: a heap of pairs over linked bytes."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +17,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Entries in one generation of a worker's memory (about 200 bytes each for ids of words).
+MEMORY = 200_000
+
+
+class Memory:
+    """Values of keys met lately, for a function that takes many keys at once.
+
+    When a generation is full it becomes the old one, and the one before it is forgotten."""
+
+    def __init__(self, compute: Callable[[list], Iterable], size: int | None = None):
+        self.compute, self.size, self.known, self.old = compute, size or MEMORY, {}, {}
+
+    def all(self, keys: list) -> Iterable:
+        """The value of every key, in order."""
+        if len(self.known) > self.size:
+            self.known, self.old = {}, self.known
+        known, old, new = self.known, self.old, []
+        for key in set(keys).difference(known):
+            value = old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                known[key] = value
+        if new:
+            known.update(zip(new, self.compute(new)))
+        return map(known.__getitem__, keys)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that all executors share (``spark.checkpoint.dir``)."""
     return f"{ensure_checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
@@ -70,6 +98,13 @@ def global_rank(df: DataFrame, order: list[Column], name: str, label: str) -> Da
     )
 
 
+def spread(df: DataFrame, key: str, most: int = 10_000) -> DataFrame:
+    """Small rows that stand for much work (files to read), one partition each up to ``most``.
+
+    A stated number of partitions is one that adaptive execution doesn't merge by size."""
+    return df.repartition(max(1, min(df.count(), most)), key)
+
+
 def hash_share(rows: int, keep: int, *columns: Column | str, seed: int = 0) -> Column:
     """Filter that keeps about ``keep`` of ``rows`` rows, chosen by a hash of ``columns``.
 

@@ -20,6 +20,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,20 +31,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webevents.llm.common import batch_of, new_path, stored
+from webevents.llm.common import Memory, batch_of, new_path, spread, stored
 from webevents.llm.files import new_file, open_input, open_output
 
 END_ID = 0
 #: A shard is closed at so many ids; a longer document has a shard to itself.
 SHARD_IDS = 2_000_000
 #: Pairs replaced in one turn, turns at most, and occurrences a pair needs.
-PAIRS = 2048
-TURNS = 6
+PAIRS = 4096
+TURNS = 3
 MIN_COUNT = 8
 #: A turn that shortens the shard by less than this share is the last.
 MIN_GAIN = 0.03
-#: Chunks of text remembered per worker; a full table starts anew.
-MEMORY = 400_000
+
+#: Chunks of text in one generation of a worker's memory (about 200 bytes each).
+MEMORY = 500_000
 
 MAGIC = b"RPG1"
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, bytes per symbol, documents, symbols, ids, rules, first nonterminal
@@ -65,22 +67,24 @@ def frequent_pairs(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def occurrences(symbols: np.ndarray, last: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a pair is to be replaced, left to right without overlap, and which pair."""
-    left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    left, row = np.unique((pairs >> np.uint64(32)).astype(np.int64), return_inverse=True)
+    right, column = np.unique((pairs & np.uint64(0xFFFFFFFF)).astype(np.int64), return_inverse=True)
+    # a small table of the pairs, over the symbols that occur in any
+    table = np.full((len(left), len(right)), -1, dtype=np.int16)
+    table[row, column] = np.arange(len(pairs))
     size = int(symbols.max()) + 1
-    is_left, is_right = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
-    is_left[left] = is_right[right] = True
-    at = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]] & ~last[:-1])
-    here = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-    which = np.searchsorted(pairs, here)
-    found = which < len(pairs)
-    found[found] = pairs[which[found]] == here[found]
-    at, which = at[found], which[found]
+    of_left, of_right = np.full(size, -1, dtype=np.int16), np.full(size, -1, dtype=np.int16)
+    of_left[left], of_right[right] = np.arange(len(left)), np.arange(len(right))
+    row, column = of_left[symbols[:-1]], of_right[symbols[1:]]
+    at = np.flatnonzero((row >= 0) & (column >= 0) & ~last[:-1])
+    which = table[row[at], column[at]]
+    at, which = at[which >= 0], which[which >= 0]
     if not len(at):
         return at, which
     # of neighbouring places (which overlap) every second one is taken, from the first
     begins = np.concatenate(([True], np.diff(at) > 1))
     start = np.maximum.accumulate(np.where(begins, at, 0))
-    taken = (at - start) % 2 == 0
+    taken = (at - start) & 1 == 0
     return at[taken], which[taken]
 
 
@@ -96,6 +100,7 @@ class Shard:
     rules: np.ndarray  # (n, 2) uint32
     lengths: np.ndarray  # ids each rule expands to
     first_rule: int
+    _unfolded: tuple[np.ndarray, np.ndarray] | None = None
 
     @staticmethod
     def build(doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray, terminals: int) -> Shard:
@@ -165,17 +170,31 @@ class Shard:
             rules.reshape(-1, 2), lengths.astype(np.int64), first,
         )
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids of a run of symbols; a rule refers to earlier turns only, so a few passes do."""
-        symbols = symbols.astype(np.uint32)
-        while len(symbols) and (inner := symbols >= self.first_rule).any():
-            at = np.cumsum(1 + inner) - 1 - inner  # where each symbol's expansion begins
-            out = np.empty(len(symbols) + int(inner.sum()), dtype=np.uint32)
-            out[at[~inner]] = symbols[~inner]
-            pairs = self.rules[symbols[inner] - self.first_rule]
+    def unfolded(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all terminals and rules in a row, and where each begins. Rules refer to earlier
+        turns only, so a few passes unfold them all."""
+        ids = np.arange(self.first_rule, self.first_rule + len(self.rules), dtype=np.uint32)
+        while (inner := ids >= self.first_rule).any():
+            at = np.cumsum(1 + inner) - 1 - inner
+            out = np.empty(len(ids) + int(inner.sum()), dtype=np.uint32)
+            out[at[~inner]] = ids[~inner]
+            pairs = self.rules[ids[inner] - self.first_rule]
             out[at[inner]], out[at[inner] + 1] = pairs[:, 0], pairs[:, 1]
-            symbols = out
-        return symbols
+            ids = out
+        ids = np.concatenate([np.arange(self.first_rule, dtype=np.uint32), ids])
+        starts = np.concatenate([np.arange(self.first_rule), self.first_rule + np.cumsum(self.lengths) - self.lengths])
+        return ids, starts
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of a run of symbols."""
+        if self._unfolded is None:
+            self._unfolded = self.unfolded()
+        ids, starts = self._unfolded
+        sizes = np.concatenate([np.ones(self.first_rule, dtype=np.int64), self.lengths])[symbols]
+        ends = np.cumsum(sizes)
+        # id i of the run is id i - (its symbol's begin in the run) of that symbol
+        shift = np.repeat(starts[symbols] - ends + sizes, sizes)
+        return ids[shift + np.arange(len(shift))]
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document, from its own symbols only."""
@@ -207,27 +226,20 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.chunks = Memory(lambda chunks: self.ids([c if c[:1] == "\n" else " " + c for c in chunks]), MEMORY)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.UNEVEN.search(text):
             return self.ids([text])[0]
-        first, *rest = text.replace("\n", " \n").split(" ")
-        chunks = [c if c[:1] == "\n" else " " + c for c in rest]
-        new = set(chunks).difference(self.known)
-        if new:
-            if len(self.known) > MEMORY:
-                self.known.clear()
-                new = set(chunks)
-            new = list(new)
-            self.known.update(zip(new, self.ids(new)))
-        return (self.ids([first])[0] if first else b"") + b"".join(map(self.known.__getitem__, chunks))
+        # a chunk stands for itself with the space before it, or begins with its line feed
+        first, *chunks = text.replace("\n", " \n").split(" ")
+        return (self.ids([first])[0] if first else b"") + b"".join(self.chunks.all(chunks))
 
 
 _encoders: dict[int, TextEncoder] = {}
@@ -316,7 +328,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 )
 
     return (
-        shard_starts(shards).select("path", "start").repartition("path")
+        spread(shard_starts(shards).select("path", "start"), "path")
         .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webevents.llm.common import batch_of, hash_share, new_path, stored
+from webevents.llm.common import batch_of, hash_share, new_path, spread, stored
 from webevents.llm.files import new_file, open_input, open_output
 
 #: Payloads of fewer bytes are always written in full.
@@ -307,7 +307,7 @@ def read_archives(archives: DataFrame, *, payloads: bool = False, rows: int = 20
                             found = []
         yield batch()
 
-    return archives.select("path").repartition("path").mapInArrow(
+    return spread(archives.select("path"), "path").mapInArrow(
         run, READ_SCHEMA + (", payload binary" if payloads else "")
     )
 
