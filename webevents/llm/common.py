@@ -21,28 +21,28 @@ SPACES = " \t\n\x0b\x0c\r"
 MEMORY = 200_000
 
 
-class Memory:
-    """Values of keys met lately, for a function that takes many keys at once.
+class Memory(dict):
+    """Values of keys met lately, for a function of one key.
 
     When a generation is full it becomes the old one, and the one before it is forgotten."""
 
-    def __init__(self, compute: Callable[[list], Iterable], size: int | None = None):
-        self.compute, self.size, self.known, self.old = compute, size or MEMORY, {}, {}
+    def __init__(self, compute: Callable, size: int | None = None):
+        super().__init__()
+        self.compute, self.size, self.old = compute, size or MEMORY, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
 
     def all(self, keys: list) -> Iterable:
         """The value of every key, in order."""
-        if len(self.known) > self.size:
-            self.known, self.old = {}, self.known
-        known, old, new = self.known, self.old, []
-        for key in set(keys).difference(known):
-            value = old.get(key)
-            if value is None:
-                new.append(key)
-            else:
-                known[key] = value
-        if new:
-            known.update(zip(new, self.compute(new)))
-        return map(known.__getitem__, keys)
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        return map(self.__getitem__, keys)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -211,6 +211,15 @@ class Shard:
         return self.expand(self.symbols[a:b])[begin - starts[a] : end - starts[a]]
 
 
+# How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+#: Marks that end words (an apostrophe would begin a pre-token of its own, were letters to follow).
+MARKS = ".,!?;:#%&*$|()-\""
+
+
 class TextEncoder:
     """Encodes whole texts with the tokenizers library.
 
@@ -226,20 +235,37 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.chunks = Memory(lambda chunks: self.ids([c if c[:1] == "\n" else " " + c for c in chunks]), MEMORY)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        self.model = self.tokenizer.model
+        self.chunks = Memory(self.chunk, MEMORY)
+
+    def ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, word: str) -> bytes:
+        """Ids of a pre-token, from the library's model alone."""
+        spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk. Letters, with the space before them, are one pre-token, and so are the marks
+        that follow them; anything else goes through the library as a whole."""
+        word = chunk.rstrip(MARKS)
+        if word.isalpha():
+            if word == chunk:
+                return self.letters(" " + word)
+            return self.chunks[word] + self.letters(chunk[len(word) :])
+        if chunk[:1] == "\n" and chunk[1:].isalpha():
+            return self.letters("\n") + self.letters(chunk[1:])
+        return self.ids(chunk if chunk[:1] == "\n" else " " + chunk)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.UNEVEN.search(text):
-            return self.ids([text])[0]
+            return self.ids(text)
         # a chunk stands for itself with the space before it, or begins with its line feed
         first, *chunks = text.replace("\n", " \n").split(" ")
-        return (self.ids([first])[0] if first else b"") + b"".join(self.chunks.all(chunks))
+        return (self.ids(first) if first else b"") + b"".join(self.chunks.all(chunks))
 
 
 _encoders: dict[int, TextEncoder] = {}
