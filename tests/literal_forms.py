@@ -131,7 +131,7 @@ def ltv_by_channel_join(events: DataFrame, start: str, end: str) -> DataFrame:
             users.alias("total_users"),
             paying.alias("paying_users"),
             safe_pct(paying, users, 1).alias("paying_rate_pct"),
-            safe_ratio(total.cast("double"), F.nullif(paying, F.lit(0)), 2).alias("avg_ltv_proxy"),
+            safe_ratio(money(total), F.nullif(paying, F.lit(0)), 2).alias("avg_ltv_proxy"),
             money(total).alias("channel_total_revenue"),
         )
         .orderBy(F.desc_nulls_last("channel_total_revenue"), "first_channel")

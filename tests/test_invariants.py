@@ -66,5 +66,6 @@ def test_inventory_and_daily_totals_agree(events):
 def test_weekly_revenue_equals_session_revenue_total(events):
     weekly = sum(r.revenue or 0 for r in plans.weekly_growth(events, S, E).collect())
     channels = sum(r.total_revenue or 0 for r in plans.channel_performance(events, S, E).collect())
-    # per-week and per-session rounding are both to cents of cent-valued inputs
-    assert round(weekly, 2) == round(channels, 2)
+    # one rounds every week, the other every session row, to cents: half a cent each at most
+    rounded = events.where("ecommerce.purchase_revenue IS NOT NULL").count() + 5
+    assert abs(weekly - channels) <= 0.005 * rounded

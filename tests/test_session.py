@@ -1,13 +1,21 @@
-"""Shared folders: the session's checkpoint setting is used as is, and a derived table
-whose write never finished is written again."""
+"""Shared folders and derived tables: the session's checkpoint setting is used as is; a
+derived table follows its inputs, is published whole, and holds the days asked for."""
 
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
-from conftest import SF001
+import pytest
+
+from conftest import SF01, SF001
 from webevents.session import ensure_checkpoint_dir
-from webevents.sources.fixtures import _input_stamp, fixture_table, nested_event_table
+from webevents.plans import event_inventory
+from webevents.sources import fixtures
+from webevents.sources.fixtures import FIXTURE_DAY, FIXTURE_END, FIXTURE_START, fixture_table, nested_event_table
 
 
 def test_checkpoint_folder_is_stable_and_from_the_session(spark):
@@ -18,16 +26,67 @@ def test_checkpoint_folder_is_stable_and_from_the_session(spark):
         assert first == configured
 
 
-def test_unfinished_derived_table_is_rewritten(spark, tmp_path):
-    # a copy of the inputs gives a path of its own, so the test does not touch the
-    # table the other tests share
-    src = tmp_path / "sf"
-    src.mkdir()
+@pytest.fixture
+def inputs(tmp_path):
+    """Copies of the inputs: a path of its own, so the shared derived table stays as it is."""
+    folder = tmp_path / "sf"
+    folder.mkdir()
     for name in ("events", "customer", "nation"):
-        os.symlink(os.path.join(SF001, f"{name}.parquet"), src / f"{name}.parquet")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(str(src))}"
-    local = path.replace("file:", "")
-    os.makedirs(os.path.join(local, "_temporary"), exist_ok=True)  # a write cut short
-    assert nested_event_table(spark, str(src)) == path
-    assert os.path.exists(os.path.join(local, "_SUCCESS"))
-    assert fixture_table(spark, str(src)).count() == fixture_table(spark, SF001).count()
+        shutil.copy(f"{SF001}/{name}.parquet", folder)
+    return folder
+
+
+def total(spark, sf_dir):
+    events = fixture_table(spark, sf_dir, FIXTURE_START, FIXTURE_END)
+    return sum(r["event_count"] for r in event_inventory(events, FIXTURE_START, FIXTURE_END).collect())
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_replaced_input_changes_the_answer(spark, inputs, scheme):
+    assert total(spark, f"{scheme}{inputs}") == 1_000
+    shutil.copy(f"{SF01}/events.parquet", inputs)
+    assert total(spark, f"{scheme}{inputs}") == 10_000
+
+
+def test_a_preview_derives_one_day(spark, inputs):
+    path = nested_event_table(spark, str(inputs), FIXTURE_DAY, FIXTURE_DAY).replace("file:", "")
+    assert [d.name for d in Path(path).iterdir() if d.is_dir()] == [f"table_suffix={FIXTURE_DAY}"]
+    whole = fixture_table(spark, str(inputs), FIXTURE_START, FIXTURE_END)
+    assert fixture_table(spark, str(inputs), FIXTURE_DAY, FIXTURE_DAY).count() == whole.where(f"table_suffix = '{FIXTURE_DAY}'").count()
+
+
+def test_moved_days_are_derived_in_their_new_week(spark, inputs):
+    whole = fixture_table(spark, str(inputs))
+    for day in ("20240114", "20240115", "20240121", "20240122", "20240128", "20240129"):
+        part = fixture_table(spark, str(inputs), day, day)
+        assert part.count() == whole.where(f"table_suffix = '{day}'").count()
+    assert whole.where("table_suffix BETWEEN '20240115' AND '20240121'").count() == 0
+    assert whole.count() == 1_000
+
+
+def test_an_unpublished_attempt_is_never_read(spark, inputs):
+    path = Path(nested_event_table(spark, str(inputs)).replace("file:", ""))
+    (path.parent / "attempt-00cut-short" / "_temporary").mkdir(parents=True)
+    fixtures._PUBLISHED.clear()
+    assert nested_event_table(spark, str(inputs)).replace("file:", "") == str(path)
+
+
+def test_a_repeated_key_is_refused(spark):
+    with pytest.raises(ValueError, match="c_custkey 1"):
+        fixtures.assert_unique(spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "c_custkey long"), "c_custkey")
+
+
+def test_two_applications_agree_on_one_table(inputs, tmp_path):
+    code = (
+        "from webevents.session import local_session\n"
+        "from webevents.sources.fixtures import fixture_table, nested_event_table\n"
+        f"spark = local_session('local[2]', 2, extra_conf={{'spark.checkpoint.dir': '{tmp_path}/shared'}})\n"
+        f"n = fixture_table(spark, '{inputs}').count()\n"
+        f"print('FOUND', n, nested_event_table(spark, '{inputs}'))\n"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    both = [subprocess.Popen([sys.executable, "-c", code], cwd=root, stdout=subprocess.PIPE, text=True) for _ in range(2)]
+    found = [next(x for x in p.communicate(timeout=240)[0].splitlines() if x.startswith("FOUND")) for p in both]
+    assert all(f.split()[1] == "1000" for f in found)
+    late = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=240)
+    assert next(x for x in late.stdout.splitlines() if x.startswith("FOUND")).split()[2] in {f.split()[2] for f in found}

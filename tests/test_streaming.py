@@ -36,5 +36,17 @@ def test_daily_refresh_tracks_arriving_shards(spark, tmp_path):
     start_daily_refresh(spark, source, out, checkpoint_location=ckpt).awaitTermination()
     got = spark.read.parquet(out).select(*cols)
     want = daily_activity(events, "20240101", "20240131").select(*cols)
-    assert got.count() == want.count() == 30
+    assert got.count() == want.count() == 23
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_an_event_dated_another_day_counts_in_its_shard(spark, tmp_path):
+    source, out, ckpt = str(tmp_path / "events"), str(tmp_path / "daily"), str(tmp_path / "ckpt")
+    events = fixture_table(spark, SF001)
+    first = events.filter(f"{SUFFIX_COLUMN} = '20240102'")
+    stray = events.filter(f"{SUFFIX_COLUMN} = '20240103'").withColumn("event_date", F.lit("20240102"))
+    for arrival in (first, stray):
+        write_events(arrival, source, mode="append")
+        start_daily_refresh(spark, source, out, checkpoint_location=ckpt).awaitTermination()
+    got = {str(r["date"]): r["total_events"] for r in spark.read.parquet(out).collect()}
+    assert got == {"2024-01-02": first.count(), "2024-01-03": stray.count()}

@@ -30,6 +30,8 @@ def run(spark, name: str, events_path: str, start: str | None, end: str | None,
         day = params.pop("day", None) or start or accepted["day"].default
         events = read_events(spark, events_path, day, day)
         return fn(events, day, **{k: v for k, v in params.items() if k in accepted and v is not None})
+    # an omitted bound is the analysis's default, not an open window
+    start, end = start or accepted["start"].default, end or accepted["end"].default
     events = read_events(spark, events_path, start, end)
     return fn(events, start, end, **{k: v for k, v in params.items() if k in accepted and v is not None})
 

@@ -5,20 +5,15 @@ Three division guards appear in the source and are kept distinct:
 ``pct_nullif`` is ``/ NULLIF(d, 0)`` and ``safe_pct`` / ``safe_ratio`` are
 ``SAFE_DIVIDE`` (NULL on zero). Integer counts divide as doubles.
 
-Money is summed exactly: revenue is cast to a fixed-point decimal inside the sum,
-rounded to cents in decimal and only then turned back into a double. The total is
-therefore independent of partitioning and summation order (a plain double sum is
-not), which keeps reports reproducible on any cluster size.
+Money is a FLOAT64 in the source and is summed as one: no value is cut, and NaN, Infinity
+and very large values behave as doubles do. The last bits of a total may depend on the
+order of summation; rounding to cents hides that except within an ulp of a tie.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
-
-# Exact accumulator for money: 6 decimals, up to 10^18 per value before summing.
-MONEY = DecimalType(24, 6)
 
 
 def _c(c: str | Column) -> Column:
@@ -46,15 +41,15 @@ def safe_ratio(n: str | Column, d: str | Column, digits: int) -> Column:
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact SUM of a money column (decimal result; NULL when all inputs are NULL)."""
-    return F.sum(_c(c).cast(MONEY))
+    """SUM of a money column (NULL when all inputs are NULL)."""
+    return F.sum(_c(c).cast("double"))
 
 
 def money(c: str | Column, digits: int = 2) -> Column:
-    """Round an exact money value and hand it back as a double."""
-    return F.round(_c(c), digits).cast("double")
+    """A money value rounded to cents."""
+    return F.round(_c(c), digits)
 
 
 def rounded_money_sum(c: str | Column, digits: int = 2) -> Column:
-    """ROUND(SUM(c), digits) for money, computed exactly."""
+    """ROUND(SUM(c), digits) for money."""
     return money(money_sum(c), digits)

@@ -23,14 +23,13 @@ def cohort_activity(
     events: DataFrame,
     anchor: Column,
     activity: Column | None = None,
-    strict: bool = False,
     user: str = USER,
 ) -> DataFrame:
     """Rows (user, cohort_week, activity_week, weeks_since) for non-NULL users.
 
     ``anchor``: events that define the cohort (first such week). ``activity``: events
-    that count as activity (all events when None). ``strict`` keeps only weeks after
-    the cohort week; otherwise the cohort week itself is offset 0.
+    that count as activity (all events when None). The cohort
+    week itself is offset 0; callers that want later weeks only filter on the offset.
     Users with no anchor event do not appear.
     """
     source = events if activity is None else events.filter(activity | anchor)
@@ -49,24 +48,10 @@ def cohort_activity(
     anchored = weekly.withColumn(
         "cohort_week", F.min(F.when(F.col("_anchor"), F.col("activity_week"))).over(by_user)
     ).filter(F.col("cohort_week").isNotNull() & F.col("_active"))
-    keep = (
-        F.col("activity_week") > F.col("cohort_week")
-        if strict
-        else F.col("activity_week") >= F.col("cohort_week")
-    )
-    return anchored.filter(keep).select(
+    return anchored.filter(F.col("activity_week") >= F.col("cohort_week")).select(
         user,
         "cohort_week",
         "activity_week",
         weeks_between("activity_week", "cohort_week").alias("weeks_since"),
     )
 
-
-def cohort_members(events: DataFrame, anchor: Column, user: str = USER) -> DataFrame:
-    """(user, cohort_week) for every non-NULL user with an anchor event."""
-    return (
-        events.filter(anchor & F.col(user).isNotNull())
-        .groupBy(user)
-        .agg(F.min(event_day("event_date")).alias("_first_day"))
-        .select(user, week_of("_first_day").alias("cohort_week"))
-    )

@@ -6,10 +6,10 @@ user's events. Ties on the timestamp go to the smallest value and NULL timestamp
 come first (ascending order with NULLs first), which makes the result deterministic.
 
 ``first_touch_label`` is the form for values from a known list of labels (channel
-names): the timestamp and the label's rank are packed into one long, so the
-aggregation buffer is fixed-width and Spark uses a hash aggregate. The general
-``first_touch_value`` takes the minimum of a (timestamp, value) struct, which Spark
-can only run as a sort-based aggregate.
+names): the earliest timestamp of each label is a fixed-width long, so Spark uses a hash
+aggregate, and any INT64 timestamp is in range. The general ``first_touch_value`` takes
+the minimum of a (timestamp, value) struct, which Spark can only run as a sort-based
+aggregate.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webevents.functions.dates import event_day
+from webevents.functions.ratios import rounded_money_sum
 
 USER = "user_pseudo_id"
 
@@ -25,17 +26,23 @@ USER = "user_pseudo_id"
 def first_touch_label(
     condition: Column, label: Column, labels: list[str], order: str = "event_timestamp"
 ) -> Column:
-    """Aggregate expression: ``label`` (one of ``labels``) of the earliest event
-    satisfying ``condition``; NULL when the user has none."""
+    """Aggregate expression: ``label`` (one of ``labels``, or NULL) of the earliest event
+    satisfying ``condition``; NULL when the user has none. A label outside the list raises."""
     ranked = sorted(set(labels))
-    width = len(ranked) + 1
-    domain = F.array(*[F.lit(v) for v in ranked])
-    rank = F.array_position(domain, label)  # 1-based; 0 if not a known label
+    known = label.isNull() | label.isin(ranked)
+    label = F.when(known, label).otherwise(F.raise_error(F.concat(F.lit("label not listed: "), label)))
+    values = [None, *ranked]  # NULL first on ties, as in the order of the source
     ts = F.col(order)
-    packed = F.min(F.when(condition & ts.isNotNull(), ts * width + rank))
-    null_first = F.min(F.when(condition & ts.isNull(), rank))
-    chosen = F.coalesce(null_first, F.pmod(packed, F.lit(width)))
-    return F.get(domain, (chosen - 1).cast("int"))
+    has = [condition & label.eqNullSafe(F.lit(v)) for v in values]
+    undated = [F.bool_or(h & ts.isNull()) for h in has]  # NULL timestamps come first
+    earliest = [F.min(F.when(h, ts)) for h in has]
+    first = F.least(*earliest)
+    chosen = F.lit(None).cast("string")
+    for v, t in reversed(list(zip(values, earliest))):
+        chosen = F.when(t == first, F.lit(v)).otherwise(chosen)
+    for v, n in reversed(list(zip(values, undated))):
+        chosen = F.when(n, F.lit(v)).otherwise(chosen)
+    return chosen
 
 
 def first_touch_value(condition: Column, value: Column, order: str = "event_timestamp") -> Column:
@@ -73,3 +80,25 @@ def user_event_counts(
     if last_seen:
         aggs.append(F.max(event_day("event_date")).alias(last_seen))
     return events.groupBy(user).agg(*aggs)
+
+
+def user_value(
+    events: DataFrame,
+    revenue: str = "ecommerce.purchase_revenue",
+    purchase: str = "purchase",
+    user: str = USER,
+) -> DataFrame:
+    """Per user (the NULL user is one): total_revenue rounded to cents, active_days (distinct
+    event dates) and total_purchases, from one pass.
+
+    Days are first combined per (user, day), where a hot user has a row per day and task,
+    so the exact distinct count needs no Expand."""
+    daily = events.groupBy(F.col(user).alias(user), event_day("event_date").alias("_day")).agg(
+        F.sum(F.col(revenue).cast("double")).alias("_revenue"),
+        F.count_if(F.col("event_name") == purchase).alias("_purchases"),
+    )
+    return daily.groupBy(user).agg(
+        rounded_money_sum("_revenue").alias("total_revenue"),
+        F.count("_day").alias("active_days"),
+        F.sum("_purchases").alias("total_purchases"),
+    )

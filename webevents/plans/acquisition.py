@@ -15,19 +15,20 @@ from webevents.plans.defaults import DEFAULT_END, DEFAULT_START
 
 
 def channel_performance(
-    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, strict: bool = False
 ) -> DataFrame:
     """Session rows at grain (user, session, date, channel, source, medium,
-    is_engaged), then per channel: sessions, users, conversions and rates."""
+    is_engaged), then per channel: sessions, users, conversions and rates.
+    ``strict=True`` raises on a repeated parameter."""
     rows = sessions(
         date_window(events, start, end),
         {
             "user_pseudo_id": F.col("user_pseudo_id"),
-            "session_id": event_param("ga_session_id", "int_value"),
+            "session_id": event_param("ga_session_id", "int_value", strict),
             "session_date": event_day("event_date"),
             "source": F.col("traffic_source.source"),
             "medium": F.col("traffic_source.medium"),
-            "is_engaged": event_param("session_engaged", "int_value"),
+            "is_engaged": event_param("session_engaged", "int_value", strict),
         },
     )
     # the channel is a function of (source, medium), both already in the grain, so it
@@ -35,7 +36,7 @@ def channel_performance(
     rows = rows.withColumn("channel", channel7("source", "medium"))
     total = F.count(F.lit(1))
     conversions = F.count_if("converted")
-    revenue = money_sum("session_revenue")
+    revenue = money_sum("session_revenue")  # of cents: rounding takes off the sum's last bits only
     return (
         rows.groupBy("channel")
         .agg(
@@ -44,7 +45,7 @@ def channel_performance(
             conversions.alias("conversions"),
             pct(conversions, total, 2).alias("conversion_rate_pct"),
             money(revenue).alias("total_revenue"),
-            safe_ratio(revenue.cast("double"), conversions, 2).alias("avg_order_value"),
+            safe_ratio(money(revenue), conversions, 2).alias("avg_order_value"),
             pct(F.count_if(F.col("is_engaged") == 1), total, 1).alias("engagement_rate_pct"),
         )
         .orderBy(F.desc("total_sessions"), F.asc_nulls_first("channel"))
@@ -52,7 +53,8 @@ def channel_performance(
 
 
 def top_sources(
-    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, min_sessions: int = 50, n: int = 20
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, min_sessions: int = 50, n: int = 20,
+    strict: bool = False,
 ) -> DataFrame:
     """Session rows at grain (user, session, source, medium), then per
     (source, medium) with at least ``min_sessions`` rows; the ``n`` best by
@@ -61,7 +63,7 @@ def top_sources(
         date_window(events, start, end),
         {
             "user_pseudo_id": F.col("user_pseudo_id"),
-            "session_id": event_param("ga_session_id", "int_value"),
+            "session_id": event_param("ga_session_id", "int_value", strict),
             "source": F.col("traffic_source.source"),
             "medium": F.col("traffic_source.medium"),
         },
@@ -88,12 +90,12 @@ def top_sources(
 
 
 def new_vs_returning(
-    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, strict: bool = False
 ) -> DataFrame:
     """Per five-way channel -- first_visit events carrying a 'medium' parameter,
     distinct users, distinct purchasing users and their rate."""
     windowed = date_window(events, start, end)
-    new_user_event = event_param("medium", "string_value").isNotNull() & (F.col("event_name") == "first_visit")
+    new_user_event = event_param("medium", "string_value", strict).isNotNull() & (F.col("event_name") == "first_visit")
     per_user = windowed.select(
         channel5().alias("channel"),
         "user_pseudo_id",

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webevents.operators.users import user_value
 from webevents.plans import acquisition, explore, funnel, playbook, retention
 from webevents.sources.fixtures import (
     FIXTURE_AS_OF,
@@ -46,14 +47,19 @@ def _windowed(analysis: Callable[..., DataFrame], **params) -> Query:
 def event_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 as registered for comparison: the parameter array is carried as JSON text
     (all fields, NULLs included) so that an SQL engine can state the same value."""
-    rows = explore.event_preview(_day_events(spark, sf_dir), FIXTURE_DAY)
+    rows = explore.event_preview(_day_events(spark, sf_dir), FIXTURE_DAY, ordered=True)
     return rows.withColumn(
         "event_params", F.to_json("event_params", {"ignoreNullFields": "false"})
     )
 
 
 def page_view_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.page_view_params(_day_events(spark, sf_dir), FIXTURE_DAY)
+    return explore.page_view_params(_day_events(spark, sf_dir), FIXTURE_DAY, ordered=True)
+
+
+def user_value_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue, active days and purchases of every user."""
+    return user_value(_window_events(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -64,7 +70,8 @@ QUERIES: dict[str, Query] = {
     "session_conversion": _windowed(explore.session_conversion),
     "channel_performance": _windowed(acquisition.channel_performance),
     "top_sources": _windowed(acquisition.top_sources),
-    "top_sources_min900": _windowed(acquisition.top_sources, min_sessions=900),
+    "top_sources_best5": _windowed(acquisition.top_sources, n=5),
+    "top_sources_min860": _windowed(acquisition.top_sources, min_sessions=860),
     "new_vs_returning": _windowed(acquisition.new_vs_returning),
     "funnel_overall": _windowed(funnel.funnel_overall),
     "funnel_by_channel": _windowed(funnel.funnel_by_channel),
@@ -72,7 +79,9 @@ QUERIES: dict[str, Query] = {
     "retention_cohorts": _windowed(retention.retention_cohorts),
     "retention_cohorts_min100": _windowed(retention.retention_cohorts, min_cohort=100),
     "purchase_cohorts": _windowed(retention.purchase_cohorts),
+    "purchase_cohorts_min250": _windowed(retention.purchase_cohorts, min_cohort=250),
     "weekly_growth": _windowed(playbook.weekly_growth),
     "ltv_by_channel": _windowed(playbook.ltv_by_channel),
     "funnel_stage_dropoff": _windowed(playbook.funnel_stage_dropoff, as_of=FIXTURE_AS_OF),
+    "user_value_rollup": user_value_rollup,
 }

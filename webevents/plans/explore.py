@@ -28,19 +28,26 @@ def _preview_columns() -> list:
     ]
 
 
-def event_preview(events: DataFrame, day: str = DEFAULT_DAY, n: int = 10) -> DataFrame:
+def event_preview(events: DataFrame, day: str = DEFAULT_DAY, n: int = 10, ordered: bool = False) -> DataFrame:
     """A1: ``n`` raw events of one day shard with their nested fields flattened.
 
-    The source takes any ``n`` rows; here the earliest ones (then every output column)
-    so the preview is reproducible. Plans as a per-task top-n heap (no full sort).
+    Any ``n`` rows, as in the source: the read stops as soon as it has them. ``ordered=True``
+    reads the whole day for a reproducible preview, the smallest rows over all columns
+    (the parameters as JSON text).
     """
     rows = single_day(events, day).select(*_preview_columns())
-    order = [F.asc_nulls_first(c) for c in rows.columns if c != "event_params"]
-    return rows.orderBy(*order).limit(n)
+    if ordered:
+        params = F.to_json("event_params", {"ignoreNullFields": "false"})
+        rows = rows.orderBy(*[F.asc_nulls_first(c) for c in rows.columns if c != "event_params"], params.asc_nulls_first())
+    return rows.limit(n)
 
 
-def page_view_params(events: DataFrame, day: str = DEFAULT_DAY, n: int = 20) -> DataFrame:
-    """A2: page_view events of one day with three parameters pulled out of the array."""
+def page_view_params(
+    events: DataFrame, day: str = DEFAULT_DAY, n: int = 20, ordered: bool = False, strict: bool = False
+) -> DataFrame:
+    """A2: page_view events of one day with three parameters pulled out of the array; any
+    ``n`` of them, or with ``ordered=True`` the smallest. ``strict=True`` raises on a
+    repeated parameter."""
     rows = (
         single_day(events, day)
         .filter(F.col("event_name") == "page_view")
@@ -49,13 +56,14 @@ def page_view_params(events: DataFrame, day: str = DEFAULT_DAY, n: int = 20) ->
             "event_date",
             "event_name",
             "user_pseudo_id",
-            event_param("page_location", "string_value").alias("page_location"),
-            event_param("ga_session_id", "int_value").alias("session_id"),
-            event_param("engagement_time_msec", "int_value").alias("engagement_time_msec"),
+            event_param("page_location", "string_value", strict).alias("page_location"),
+            event_param("ga_session_id", "int_value", strict).alias("session_id"),
+            event_param("engagement_time_msec", "int_value", strict).alias("engagement_time_msec"),
         )
     )
-    order = [F.asc_nulls_first(c) for c in rows.columns]
-    return rows.orderBy(*order).limit(n).drop("event_timestamp")
+    if ordered:
+        rows = rows.orderBy(*[F.asc_nulls_first(c) for c in rows.columns])
+    return rows.limit(n).drop("event_timestamp")
 
 
 def event_inventory(
@@ -97,16 +105,17 @@ def daily_activity(
 
 
 def session_conversion(
-    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, n: int = 100
+    events: DataFrame, start: str = DEFAULT_START, end: str = DEFAULT_END, n: int = 100, strict: bool = False
 ) -> DataFrame:
     """A5: sessions (user, session id, date, source, medium, device, country) with
     event count, conversion flag and revenue; the first ``n`` by date, then revenue
-    descending (remaining keys break ties). Top-n plans as TakeOrderedAndProject."""
+    descending (remaining keys break ties). Top-n plans as TakeOrderedAndProject. ``strict=True``
+    raises on a repeated parameter."""
     rows = sessions(
         date_window(events, start, end),
         {
             "user_pseudo_id": F.col("user_pseudo_id"),
-            "session_id": event_param("ga_session_id", "int_value"),
+            "session_id": event_param("ga_session_id", "int_value", strict),
             "session_date": F.col("event_date"),  # parsed per session row below
             "source": F.col("traffic_source.source"),
             "medium": F.col("traffic_source.medium"),

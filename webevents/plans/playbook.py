@@ -91,14 +91,14 @@ def ltv_by_channel(
     revenue = F.when(has_user, F.col("total_revenue"))
     paying = F.count_if(has_user & (F.col("total_purchases") > 0))
     users = F.count(USER)
-    channel_revenue = money_sum(revenue)
+    channel_revenue = money_sum(revenue)  # of cents: rounding takes off the sum's last bits only
     return (
         per_user.groupBy("first_channel")
         .agg(
             users.alias("total_users"),
             paying.alias("paying_users"),
             safe_pct(paying, users, 1).alias("paying_rate_pct"),
-            safe_ratio(channel_revenue.cast("double"), F.nullif(paying, F.lit(0)), 2).alias("avg_ltv_proxy"),
+            safe_ratio(money(channel_revenue), F.nullif(paying, F.lit(0)), 2).alias("avg_ltv_proxy"),
             money(channel_revenue).alias("channel_total_revenue"),
         )
         .orderBy(F.desc_nulls_last("channel_total_revenue"), F.asc_nulls_first("first_channel"))

@@ -45,7 +45,7 @@ def purchase_cohorts(
     cohort size, repeat buyer or not."""
     purchases = event_is("purchase")
     later = cohort_activity(
-        date_window(events, start, end), anchor=purchases, activity=purchases, strict=False
+        date_window(events, start, end), anchor=purchases, activity=purchases
     )
     per_user = later.groupBy("user_pseudo_id", "cohort_week").agg(
         F.bool_or(F.col("weeks_since") == 1).alias("_w1"),

@@ -7,6 +7,7 @@ bench and the command line; on a cluster, pass the cluster's own session.
 
 from __future__ import annotations
 
+import getpass
 import os
 import tempfile
 
@@ -45,7 +46,7 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     )
     # spark.checkpoint.dir is left as the environment configures it; a session without
-    # one gets a private folder from ensure_checkpoint_dir (local sessions only).
+    # one gets the user's own folder from ensure_checkpoint_dir (local sessions only).
     for key, value in {**REQUIRED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -54,13 +55,6 @@ def local_session(
     return spark
 
 
-def apply_required_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL options the analyses assume on an existing session."""
-    for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:
@@ -74,40 +68,28 @@ def session_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-_PRIVATE_FOLDERS: dict[str, str] = {}
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for derived tables and ``checkpoint()``.
 
     It is the folder the cluster names in ``spark.checkpoint.dir`` (read from the
-    session, never replaced). Only a local session without one -- a test session --
-    gets a private folder of its own, the same one for every call; a cluster session
-    without one is an error, since a machine-local folder is not visible to other
-    executors.
+    session, never replaced). Only a local session without one -- a test session -- gets
+    one folder for all such sessions of the user, so that derived tables are found again;
+    a cluster session without one is an error, since a machine-local folder is not visible
+    to other executors.
     """
     sc = _context(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and sc is not None:
         folder = sc.getConf().get("spark.checkpoint.dir", None)
-    if folder:
-        if sc is not None and sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(folder)
-        return folder
-    key = session_id(spark)
-    if key not in _PRIVATE_FOLDERS:
-        if sc is not None and sc.getCheckpointDir():
-            _PRIVATE_FOLDERS[key] = sc.getCheckpointDir()
-        else:
-            master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
-            if not master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir is not set: name a folder on shared storage for "
-                    "derived tables and checkpoints (a machine-local folder is not visible "
-                    "to other executors)"
-                )
-            private = tempfile.mkdtemp(prefix="webevents-ckpt-")
-            if sc is not None:
-                sc.setCheckpointDir(private)
-            _PRIVATE_FOLDERS[key] = private
-    return _PRIVATE_FOLDERS[key]
+    if not folder:
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage for "
+                "derived tables and checkpoints (a machine-local folder is not visible "
+                "to other executors)"
+            )
+        folder = os.path.join(tempfile.gettempdir(), f"webevents-{getpass.getuser()}")
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder

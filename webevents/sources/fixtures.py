@@ -3,17 +3,18 @@
 The driver ships ``events(event_id, ts, user_id, event_type, value, props)`` plus the
 TPC-H style ``customer`` and ``nation``. The rules below turn them into the nested
 event model with integer arithmetic and CASE only, so that a DuckDB oracle can state
-the same mapping in SQL. Everything is one narrow projection plus a left join for
-``geo``; Catalyst prunes the join away for analyses that never read ``geo``.
+the same mapping in SQL. Everything is one narrow projection plus the left joins for
+``geo``: events with the customer table, then with nation.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 import threading
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,14 @@ EVENT_NAME_BY_TYPE = {
 DEVICE_CATEGORIES = ["desktop", "mobile", "tablet"]
 PAGE_URL_PREFIX = "https://shop.example/p/"
 SESSION_OFFSET_SECONDS = 21600
+# events of this week (Monday to Sunday) are dated a week later, so one week is empty
+EMPTY_WEEK = (dt.date(2024, 1, 15), dt.date(2024, 1, 21))
+# first visits are stamped with the begin of their block of so many microseconds: ties
+TIE_MICROS = 864_000_000_000 * 10
+NULL_USER_MI, NULL_USER_EVERY = 4, 97
+REPEATED_KEY_EVERY = 50
+NULL_COUNTRY_EVERY = 11
+REVENUE_FACTOR = 1.0007  # revenue below a cent
 # Windows of the fixture data (the analyses default to the original ones, plans/defaults.py).
 FIXTURE_START = "20240101"
 FIXTURE_END = "20240131"
@@ -46,6 +55,10 @@ def _suffix_to_date(suffix: str) -> dt.date:
     return dt.datetime.strptime(suffix, "%Y%m%d").date()
 
 
+def _midnight(day: dt.date) -> Column:
+    return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+
+
 def _epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 of a zone-less timestamp read as UTC.
 
@@ -86,11 +99,18 @@ def fixture_events(
     pruning day shards. Analyses still apply their own suffix window on top.
     """
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    day, ts = dt.timedelta(days=1), F.col("ts")
+    moved = (ts >= _midnight(EMPTY_WEEK[0])) & (ts < _midnight(EMPTY_WEEK[1] + day))
+    staying, moving = ~moved, moved
     if start is not None:
-        raw = raw.filter(F.col("ts") >= F.lit(dt.datetime.combine(_suffix_to_date(start), dt.time())))
+        staying = staying & (ts >= _midnight(_suffix_to_date(start)))
+        moving = moving & (ts >= _midnight(_suffix_to_date(start) - 7 * day))
     if end is not None:
-        upper = _suffix_to_date(end) + dt.timedelta(days=1)
-        raw = raw.filter(F.col("ts") < F.lit(dt.datetime.combine(upper, dt.time())))
+        staying = staying & (ts < _midnight(_suffix_to_date(end) + day))
+        moving = moving & (ts < _midnight(_suffix_to_date(end) - 6 * day))
+    if start is not None or end is not None:
+        raw = raw.filter(staying | moving)
+    raw = raw.withColumn("ts", F.when(moved, ts + F.expr("INTERVAL 7 DAYS")).otherwise(ts))
 
     # Stage 1: parse the JSON property and derive the small integer keys once, so
     # that later expressions reference columns instead of re-parsing the JSON.
@@ -142,6 +162,11 @@ def fixture_events(
             F.col("event_type") != "error",
             int_value=F.expr(f"(micros div 1000000 + {SESSION_OFFSET_SECONDS}) div 86400"),
         ),
+        _param(
+            "ga_session_id",  # again, with another value: the first one counts
+            (F.col("event_type") != "error") & (F.col("event_id") % REPEATED_KEY_EVERY == 0),
+            int_value=F.expr(f"(micros div 1000000 + {SESSION_OFFSET_SECONDS}) div 86400 + 1"),
+        ),
         _param(
             "session_engaged",
             F.col("value") >= 20,
@@ -162,9 +187,12 @@ def fixture_events(
 
     flat = keyed.select(
         F.col("suffix").alias(SUFFIX_COLUMN),
-        micros.alias("event_timestamp"),
+        F.when(name == "first_visit", micros - micros % TIE_MICROS).otherwise(micros).alias("event_timestamp"),
         "event_name",
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), bucket.cast("string")).alias("user_pseudo_id"),
+        F.when(
+            (mi != NULL_USER_MI) & (F.col("event_id") % NULL_USER_EVERY != 0),
+            F.concat(F.col("user_id").cast("string"), F.lit("-"), bucket.cast("string")),
+        ).alias("user_pseudo_id"),
         F.col("user_id"),
         F.struct(
             source.alias("source"),
@@ -176,27 +204,19 @@ def fixture_events(
             F.concat(F.lit("os"), (bucket % 2).cast("string")).alias("operating_system"),
         ).alias("device"),
         F.struct(
-            F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase_revenue")
+            F.when(F.col("event_type") == "purchase", F.col("value") * REVENUE_FACTOR).alias("purchase_revenue")
         ).alias("ecommerce"),
         params.alias("event_params"),
     )
 
-    # geo comes from customer -> nation. customer is reduced to one row per key first,
-    # which tells Catalyst the right side is unique, so an analysis that never reads
-    # geo loses the join entirely; when geo is read, the join is sized by Spark
-    # (broadcast under the threshold from file statistics, else sort-merge with AQE).
-    nation = (
-        spark.read.parquet(f"{sf_dir}/nation.parquet")
-        .groupBy("n_nationkey")
-        .agg(F.min("n_name").alias("country"))
+    # geo comes from customer, then nation, each joined as it is stored: with nothing between
+    # its exchange and the join, adaptive execution can split a user who holds a large
+    # share of all events. Their keys are primary keys (checked by assert_unique).
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", F.col("n_name").alias("country"))
+    joined = flat.join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    customer = (
-        spark.read.parquet(f"{sf_dir}/customer.parquet")
-        .groupBy("c_custkey")
-        .agg(F.min("c_nationkey").alias("c_nationkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    )
-    joined = flat.join(customer, flat.user_id == customer.c_custkey, "left")
     out = joined.select(
         F.col(SUFFIX_COLUMN).alias("event_date"),
         "event_timestamp",
@@ -204,7 +224,7 @@ def fixture_events(
         "user_pseudo_id",
         "traffic_source",
         F.struct(
-            F.col("country").alias("country"),
+            F.when(F.col("user_id") % NULL_COUNTRY_EVERY != 0, F.col("country")).alias("country"),
             F.concat(F.lit("city"), F.col("user_id").cast("string")).alias("city"),
         ).alias("geo"),
         "device",
@@ -217,71 +237,90 @@ def fixture_events(
 
 FIXTURE_INPUTS = ("events", "customer", "nation")
 # bump when the mapping changes, so an older derived table is never reused
-MAPPING_VERSION = 5
+MAPPING_VERSION = 6
+
+
+def assert_unique(table: DataFrame, key: str) -> None:
+    """Raise unless ``key`` (NULLs aside) is unique in ``table``: joins on it keep the row count."""
+    twice = table.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} {twice[0]} occurs {twice[1]} times; it must be unique")
 
 
-def _input_stamp(sf_dir: str) -> str:
-    """Identify the inputs by path, size and modification time (remote inputs: by
-    path only), plus the mapping version."""
-    parts = [f"v{MAPPING_VERSION}", os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+def _file_states(spark: SparkSession, path: str) -> list[str]:
+    """Path, length and modification time of every file under ``path``, whatever its store."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, states = system.listFiles(hadoop, True), []
+    while files.hasNext():
+        f = files.next()
+        states.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(states)
+
+
+def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Identify the inputs by the paths, lengths and modification times of their files, and
+    the mapping by its version."""
+    parts = [f"v{MAPPING_VERSION}", sf_dir]
     for name in FIXTURE_INPUTS:
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+        parts += _file_states(spark, f"{sf_dir}/{name}.parquet")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-# derived tables already verified (or written) by this Spark application, and one
-# lock per table so that concurrent callers in one process write it once
-_VERIFIED: set[tuple[str, str]] = set()
+# what this Spark application has found published, and one lock per table so that
+# concurrent callers in one process write it once
+_PUBLISHED: dict[tuple[str, str], str] = {}
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    if (session_id(spark), path) in _VERIFIED:
-        return True
+def _published(spark: SparkSession, folder: str) -> str | None:
+    """The attempt to read below ``folder``: of all that were finished the first by name."""
     try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
-        return True
-    except Exception:  # missing folder or marker: not written (or not finished)
-        return False
+        name = spark.read.schema("attempt string").json(f"{folder}/published/*").agg(F.min("attempt")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return f"{folder}/{name}" if name else None
 
 
-def nested_event_table(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the day-sharded nested event table derived from ``sf_dir``.
+def nested_event_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> str:
+    """Path of the day-sharded nested event table derived from ``sf_dir`` for the days ``start..end``.
 
-    The table is written once by Spark (``fixture_events`` over the whole input, then
-    ``write_events``) into the session's shared checkpoint folder and reused by every
-    later analysis; a write that did not finish has no ``_SUCCESS`` marker and is
-    redone. Analyses then read it like the production table: day-shard pruning,
-    nested-column pruning, parallel file splits.
+    Only these days are derived, once, into the session's shared checkpoint folder; later
+    analyses read them like the production table. Every attempt writes a folder of its own
+    and is published by one small file once it is whole, so readers never see a
+    table in the making, and of two applications that derive at once both end with the same.
     """
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(sf_dir)}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(spark, sf_dir)}/{start or 'first'}-{end or 'last'}"
+    key = (session_id(spark), folder)
     with _LOCKS_GUARD:
-        lock = _LOCKS.setdefault(path, threading.Lock())
+        lock = _LOCKS.setdefault(folder, threading.Lock())
     with lock:
-        if not _is_complete(spark, path):
-            write_events(fixture_events(spark, sf_dir), path)
-        _VERIFIED.add((session_id(spark), path))
-    return path
-
-
-# the derived table never changes once written, so one resolved relation (whose file
-# listing is done when it is created) serves every analysis of the application
+        if key not in _PUBLISHED:
+            path = _published(spark, folder)
+            if path is None:
+                for name, unique in (("customer", "c_custkey"), ("nation", "n_nationkey")):
+                    assert_unique(spark.read.parquet(f"{sf_dir}/{name}.parquet"), unique)
+                attempt = f"attempt-{uuid.uuid4().hex}"
+                write_events(fixture_events(spark, sf_dir, start, end), f"{folder}/{attempt}")
+                row = spark.createDataFrame([(attempt,)], "attempt string").coalesce(1)
+                row.write.json(f"{folder}/published/{attempt}")
+                path = _published(spark, folder)
+            _PUBLISHED[key] = path
+    return _PUBLISHED[key]
+
+
+# a published table never changes, so one resolved relation (whose file listing is done
+# when it is created) serves every analysis of the application
 _RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
 def fixture_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """The derived nested table of ``sf_dir``, narrowed to suffixes ``start..end``."""
-    path = nested_event_table(spark, sf_dir)
+    """The derived nested table of ``sf_dir`` for the suffixes ``start..end``."""
+    path = nested_event_table(spark, sf_dir, start, end)
     key = (session_id(spark), path)
     if key not in _RELATIONS:
         _RELATIONS[key] = read_events(spark, path)
-    table = _RELATIONS[key]
-    if start is not None:
-        table = table.filter(F.col(SUFFIX_COLUMN) >= F.lit(start))
-    if end is not None:
-        table = table.filter(F.col(SUFFIX_COLUMN) <= F.lit(end))
-    return table
+    return _RELATIONS[key]

@@ -9,10 +9,9 @@ overwrite). Distinct-user counts therefore stay exact even when a day arrives in
 several pieces, a rerun of a batch after a failure rewrites the same rows, and the
 stream's checkpoint (in the shared checkpoint folder) records which files were done.
 
-Daily activity groups by ``event_date`` while shards are keyed by ``table_suffix``;
-recomputing the changed shards is exact when every event's date is its shard's day, as
-in the export layout this table models. If dates and shards could disagree, pass an
-``analysis`` keyed by the suffix instead.
+The roll-up is keyed by the shard (``table_suffix``), as the output's partitions are. An
+event whose date is not its shard's day counts in its shard, so recomputing one shard
+never touches what another one holds.
 """
 
 from __future__ import annotations
@@ -33,8 +32,9 @@ DayAnalysis = Callable[[DataFrame], DataFrame]
 
 
 def daily_activity_by_day(events: DataFrame) -> DataFrame:
-    """A4 over whatever days ``events`` holds, keyed by suffix for partition overwrite."""
-    return daily_activity(events, "00000000", "99999999").withColumn(
+    """A4 per shard of ``events``: ``date`` is the shard's day."""
+    by_shard = events.withColumn("event_date", F.col(SUFFIX_COLUMN))
+    return daily_activity(by_shard, "00000000", "99999999").withColumn(
         SUFFIX_COLUMN, F.date_format("date", "yyyyMMdd")
     )
 
