@@ -1,0 +1,38 @@
+"""A user with a third of all events does not fill one task of the geo join."""
+
+from __future__ import annotations
+
+import shutil
+
+from pyspark.sql import functions as F
+
+from webevents.sources.fixtures import fixture_events
+
+SF1 = "/root/testdata/sf0.1"
+SETTINGS = {  # customer (300 kB) is above the broadcast threshold, nation (3 kB) below it
+    "spark.sql.autoBroadcastJoinThreshold": "20k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def test_hot_user_is_split_in_the_geo_join(spark, tmp_path):
+    hot = F.when(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0, F.lit(7)).otherwise(F.col("user_id")).cast("long")
+    spark.read.parquet(f"{SF1}/events.parquet").withColumn("user_id", hot).repartition(16).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("customer", "nation"):
+        shutil.copy(f"{SF1}/{name}.parquet", tmp_path)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
+        df = fixture_events(spark, str(tmp_path)).select(F.spark_partition_id().alias("task"), "event_name", "geo", "event_timestamp", "ecommerce", "event_params")
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    tasks = [r["task"] for r in rows if r["geo"]["city"] == "city7"]
+    assert len(rows) == 100_000 and len(tasks) > 30_000
+    assert max(tasks.count(t) for t in set(tasks)) < 0.15 * len(rows)  # small partitions beside it are merged

@@ -9,6 +9,9 @@ folder, and reads the per-task shuffle records back from that log. Partition
 coalescing is off so the raw hash distribution is visible. For contrast it also runs a
 plain ``repartition(user)`` of the events, which has no map-side aggregation.
 
+The geo join of the derivation has its own test with the same kind of user
+(``tests/test_skew.py``): sort-merge with the hot user split, none of its tasks above 15 %.
+
 The same is done for the day-sharded writer with one day holding a third of all events:
 ``write_events`` (rebalance on the day, with a small advisory partition size so that
 splitting happens at this scale) against a plain hash repartition on the day.
