@@ -390,8 +390,7 @@ def test_recall_on_the_table(spark):
 
 
 def test_recall_on_clusters_with_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(multiprobe, "BUCKET_ROWS", 50)
-    monkeypatch.setattr(multiprobe, "PART_ROWS", 400)
+    monkeypatch.setattr(multiprobe, "PART_ROWS", 90)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     rows = [(i, (centres[i % 12] + rng.normal(0, 0.2, 16)).tolist()) for i in range(1500)]

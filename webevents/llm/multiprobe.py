@@ -33,12 +33,11 @@ TABLES = 4
 SUCCESS = 0.6
 #: Width of a slot in standard deviations of a projection, and vectors aimed at per bucket.
 SLOT = 1.5
-PER_BUCKET = 64
+PER_BUCKET = 256
 #: Vectors the index is fitted on, chosen by hash.
 FIT_ROWS = 2048
-#: A bucket of more vectors is cut; a part holds about so many, a batch so many queries.
-BUCKET_ROWS = 4096
-PART_ROWS = 16_384
+#: A part holds about so many vectors, a batch so many queries.
+PART_ROWS = 32_768
 QUERY_ROWS = 256
 
 
@@ -88,6 +87,11 @@ class Index:
                 return self.codes(table, slots + sets[: int(np.searchsorted(reached, self.success)) + 1])
             most *= 4
 
+    def group(self, codes: np.ndarray, groups: int) -> np.ndarray:
+        """The group of parts that holds a bucket."""
+        mixed = (codes.view(np.uint64) ^ np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x165667B19E3779F9)
+        return ((mixed >> np.uint64(33)) % np.uint64(groups)).astype(np.int64)
+
 
 def fit_index(sample: np.ndarray, rows: int, norm: float, *, tables: int, k: int, success: float, seed: int = 9) -> Index:
     """Projections, and the typical distance of a neighbour as a bounded sample shows it."""
@@ -106,104 +110,139 @@ def fit_index(sample: np.ndarray, rows: int, norm: float, *, tables: int, k: int
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:
-    return np.array(vectors.to_pylist(), dtype=np.float64)
+    """Vectors of one length as rows."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
 
+PLACED = "part long, kind int, id long, table int, code long, codes array<long>, vector array<double>"
+PLACED_SCHEMA = pa.schema([
+    ("part", pa.int64()), ("kind", pa.int32()), ("id", pa.int64()), ("table", pa.int32()), ("code", pa.int64()),
+    ("codes", pa.list_(pa.int64())), ("vector", pa.list_(pa.float64())),
+])
 
-def index_rows(classes: DataFrame, index: Index) -> DataFrame:
-    """(code, id, vector) per class and table."""
-    schema = pa.schema([("table", pa.int32()), ("code", pa.int64()), ("id", pa.int64())])
+
+def place_vectors(classes: DataFrame, index: Index, groups: int, slices: int) -> DataFrame:
+    """A row per vector and table, in the part of its bucket; large buckets are cut by id into slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                raised = index.raised(matrix(batch.column(1)), False)
+                ids, raised = batch.column(0).to_numpy(), index.raised(matrix(batch.column(1)), False)
                 for table in range(len(index.shifts)):
                     codes = index.codes(table, index.place(table, raised)[0])
-                    yield batch_of(schema, np.full(len(codes), table), codes, batch.column(0))
+                    part = index.group(codes, groups) * slices + ids % slices
+                    n = len(ids)
+                    yield batch_of(
+                        PLACED_SCHEMA, part, np.zeros(n, np.int32), batch.column(0), np.full(n, table, np.int32), codes,
+                        pa.nulls(n, pa.list_(pa.int64())), batch.column(1),
+                    )
 
-    return classes.select("id", "vector").mapInArrow(run, "table int, code long, id long")
+    return classes.select("id", "vector").mapInArrow(run, PLACED)
 
 
-def probe_rows(queries: DataFrame, index: Index) -> DataFrame:
-    """(code, id) per query class, table and bucket to visit."""
-    schema = pa.schema([("code", pa.int64()), ("id", pa.int64())])
+def bucket_sizes(classes: DataFrame, index: Index) -> DataFrame:
+    schema = pa.schema([("code", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ids, raised = batch.column(0).to_pylist(), index.raised(matrix(batch.column(1)), True)
+                raised = index.raised(matrix(batch.column(0)), False)
                 for table in range(len(index.shifts)):
-                    slots, inside = index.place(table, raised)
-                    found = [index.probes(table, s, x) for s, x in zip(slots, inside)]
-                    yield batch_of(schema, np.concatenate(found), np.repeat(ids, [len(f) for f in found]))
+                    yield batch_of(schema, index.codes(table, index.place(table, raised)[0]))
+
+    return classes.select("vector").mapInArrow(run, "code long").groupBy("code").count()
 
-    return queries.select("id", "vector").mapInArrow(run, "code long, id long")
+
+def place_queries(queries: DataFrame, index: Index, groups: int, slices: int) -> DataFrame:
+    """A row per query and part to visit, with the buckets to visit there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, vectors = batch.column(0).to_pylist(), matrix(batch.column(1))
+            raised = index.raised(vectors, True)
+            places = [index.place(table, raised) for table in range(len(index.shifts))]
+            for i, name in enumerate(ids):
+                codes = np.concatenate([index.probes(t, slots[i], inside[i]) for t, (slots, inside) in enumerate(places)])
+                group = index.group(codes, groups)
+                order = np.argsort(group, kind="stable")
+                codes, group = codes[order], group[order]
+                cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+                lists = [c.tolist() for c in np.split(codes, cuts[1:])]
+                parts = (group[cuts][:, None] * slices + np.arange(slices)).ravel()
+                n = len(parts)
+                yield batch_of(
+                    PLACED_SCHEMA, parts, np.ones(n, np.int32), np.full(n, name), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
+                    [c for c in lists for _ in range(slices)], [vectors[i].tolist()] * n,
+                )
+
+    return queries.select("id", "vector").mapInArrow(run, PLACED)
 
 
 def nearest_in_parts(rows: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` candidates per part and query of rows (part, kind, id, buckets, vector).
+    """Best ``k`` candidates per part and query of placed rows.
 
-    A part's vectors (kind 0) come first and are held, its queries (kind 1) follow in batches; a
-    query without buckets is compared with the whole part."""
+    A part's vectors (kind 0) come first, sorted by bucket, and are held; its queries (kind 1)
+    follow in batches. A query without buckets is compared with the whole part."""
     schema = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
 
-    def score(vectors: np.ndarray, ids: np.ndarray, slices: dict, queries: list) -> pa.RecordBatch:
-        points = matrix(pa.array([q[2] for q in queries]))
-        scores = np.full((len(queries), len(ids)), -np.inf)
+    def score(vectors: np.ndarray, ids: np.ndarray, buckets: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, points = batch.column("id").to_pylist(), matrix(batch.column("vector"))
+        scores = np.full((len(names), len(ids)), -np.inf)
         visits: dict[int, list[int]] = {}
-        for i, (_, buckets, _) in enumerate(queries):
-            if buckets is None:
+        for i, codes in enumerate(batch.column("codes").to_pylist()):
+            if codes is None:
                 scores[i] = vectors @ points[i]
             else:
-                for b in buckets:
-                    visits.setdefault(b, []).append(i)
-        for b, who in visits.items():
-            if b in slices:
-                scores[who, slices[b]] = points[who] @ vectors[slices[b]].T
+                for code in codes:
+                    if code in buckets:
+                        visits.setdefault(code, []).append(i)
+        for code, who in visits.items():
+            scores[who, buckets[code]] = points[who] @ vectors[buckets[code]].T
         out = [], [], []
-        for i, (query, _, _) in enumerate(queries):
+        for i, name in enumerate(names):
             row = scores[i]
             best = np.flatnonzero(row > -np.inf)
             if len(best) > k:  # keep all that tie with the k-th up to rounding; the exact scores decide
                 least = np.partition(row[best], len(best) - k)[len(best) - k]
                 best = best[row[best] >= least - 1e-9 * max(1.0, abs(least))]
             exact = (vectors[best] * points[i]).sum(axis=1)  # in an order of its own, whatever the part holds
-            best, exact = (x[np.lexsort((ids[best], -exact))[:k]] for x in (best, exact))
-            out[0].extend([query] * len(best))
-            out[1].extend(ids[best].tolist())
-            out[2].extend(exact.tolist())
+            # a vector found in two tables counts once
+            _, first = np.unique(ids[best], return_index=True)
+            best, exact = best[first], exact[first]
+            top = np.lexsort((ids[best], -exact))[:k]
+            out[0].extend([name] * len(top))
+            out[1].extend(ids[best[top]].tolist())
+            out[2].extend(exact[top].tolist())
         return batch_of(schema, *out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, queries, ready = None, [], [], None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal ready, queries
-            if queries and held:
-                if ready is None:
-                    held.sort(key=lambda r: r[0])
-                    buckets = np.array([r[0] for r in held])
-                    cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(held)]
-                    slices = {int(buckets[a]): slice(a, b) for a, b in zip(cuts, cuts[1:])}
-                    ready = np.array([r[2] for r in held], dtype=np.float64), np.array([r[1] for r in held]), slices
-                yield score(*ready, queries)
-            queries = []
-
+        part, held, ready = None, [], None
         for batch in batches:
-            for at, kind, name, buckets, vector in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != part:
-                    yield from flush()
-                    part, held, ready = at, [], None
-                if kind == 0:
-                    held.append((buckets[0], name, vector))
-                else:
-                    queries.append((name, buckets, vector))
-                    if len(queries) == QUERY_ROWS:
-                        yield from flush()
-        yield from flush()
+            keys = batch.column("part").to_numpy() * 2 + batch.column("kind").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                piece = batch.slice(begin, end - begin)
+                if keys[begin] // 2 != part:
+                    part, held, ready = keys[begin] // 2, [], None
+                if keys[begin] % 2 == 0:
+                    held.append((piece.column("id").to_numpy(), piece.column("code").to_numpy(), matrix(piece.column("vector"))))
+                    continue
+                if not held:
+                    continue
+                if ready is None:
+                    ids, codes, vectors = (np.concatenate(x) for x in zip(*held))
+                    ends = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+                    ready = vectors, ids, {int(codes[a]): slice(a, b) for a, b in zip(ends, ends[1:])}
+                    held = [True]
+                for at in range(0, piece.num_rows, QUERY_ROWS):
+                    yield score(*ready, piece.slice(at, QUERY_ROWS))
 
     return (
-        rows.select("part", "kind", "id", "buckets", "vector").repartition("part").sortWithinPartitions("part", "kind")
+        rows.repartition("part").sortWithinPartitions("part", "kind", "code")
         .mapInArrow(run, "query long, id long, score double")
     )
 
@@ -215,9 +254,9 @@ def search(
     """(query_id, rank, vec_id, score): the ``k`` best found for each row where ``is_query`` holds.
 
     Equal vectors form a class with the smallest id's name; only classes are hashed, and only the
-    ``k + 1`` smallest ids of a class can matter. Buckets are counted first: a large one is
-    cut into pieces that a query visits each, so neither a dense region nor a vector that a
-    third of all rows share fills a task."""
+    ``k + 1`` smallest ids of a class can matter, so a vector that a third of all rows share is
+    one. Buckets are dealt to parts by hash; if the largest one is too much for a part, all are
+    cut by id into slices that a query visits each, so a dense region fills no task."""
     x = F.col("vector")
     usable = (
         vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"), is_query.alias("asks"))
@@ -238,29 +277,14 @@ def search(
     sample = sample or classes.select("id", "vector").orderBy("id").limit(FIT_ROWS).collect()
     index = fit_index(np.array([r["vector"] for r in sample]), rows, norm, tables=tables, k=k, success=success)
 
-    placed = stored(index_rows(classes, index), "ann-index")
-    sizes = placed.groupBy("code").agg(F.ceil(F.count("*") / BUCKET_ROWS).cast("int").alias("pieces"))
-    parts = max(1, math.ceil(rows * tables / PART_ROWS))
-    bucket = F.xxhash64("code", "piece")
-    part = F.pmod(F.xxhash64(F.lit(3), "bucket"), F.lit(parts))
-    held = (
-        placed.join(sizes, "code")
-        .withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-        .withColumn("bucket", bucket).select("table", "id", "bucket", part.alias("part"))
-        .join(classes.select("id", "vector"), "id")
-        .select("table", "part", F.lit(0).alias("kind"), "id", F.array("bucket").alias("buckets"), "vector")
-    )
-    held = stored(held, "ann-parts")
+    # the largest bucket decides into how many slices all are cut: a scalar, not a table
+    largest = bucket_sizes(classes, index).agg(F.max("count")).first()[0]
+    slices = math.ceil(largest / PART_ROWS)
+    groups = math.ceil(rows * tables / PART_ROWS)
+    held = stored(place_vectors(classes, index, groups, slices), "ann-parts")
     asking = classes.where("asks").select("id", "vector")
-    visits = (
-        probe_rows(asking, index).join(sizes, "code")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .withColumn("bucket", bucket).withColumn("part", part)
-        .groupBy("id", "part").agg(F.collect_set("bucket").alias("buckets"))
-        .join(asking, "id")
-        .select("part", F.lit(1).alias("kind"), "id", "buckets", "vector")
-    )
-    found = stored(nearest_in_parts(held.drop("table").unionByName(visits), k + 1), "ann-found")
+    visits = place_queries(asking, index, groups, slices)
+    found = stored(nearest_in_parts(held.unionByName(visits), k + 1), "ann-found")
 
     members = usable.select("h1", "h2", F.col("id").alias("member"), "asks").distinct().join(
         classes.select("h1", "h2", "id"), ["h1", "h2"]
@@ -292,12 +316,14 @@ def search(
     )
     short = stored(short, "ann-short")
     if not short.isEmpty():
+        # every part of one table holds a share of all vectors
+        parts = F.sequence(F.lit(0).cast("long"), F.lit(groups * slices - 1).cast("long"))
         every = (
             short.join(asking, short["query"] == asking["id"])
-            .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(1).alias("kind"),
-                    "id", F.lit(None).cast("array<long>").alias("buckets"), "vector")
+            .select(F.explode(parts).alias("part"), F.lit(1).alias("kind"), "id", F.lit(None).cast("int").alias("table"),
+                    F.lit(None).cast("long").alias("code"), F.lit(None).cast("array<long>").alias("codes"), "vector")
         )
-        exact = ranked(nearest_in_parts(held.where("table = 0").drop("table").unionByName(every), k + 1))
+        exact = ranked(nearest_in_parts(held.where("table = 0").unionByName(every), k + 1))
         result = result.join(short, "query", "left_anti").unionByName(exact.join(short, "query", "left_semi"))
     return result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
