@@ -14,7 +14,7 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-from __spark_entry__ import queries  # noqa: E402
+from webevents.plans.catalog import QUERIES  # noqa: E402
 from webevents.session import local_session  # noqa: E402
 
 
@@ -38,11 +38,11 @@ def main() -> None:
     spark = local_session(app_name="webevents-plans")
     parts = [
         "# Physical plans\n",
-        f"`explain('formatted')` of every registered query over `{sf_dir}` (Spark {spark.version}, "
+        f"`explain('formatted')` of every registered analysis over `{sf_dir}` (Spark {spark.version}, "
         "AQE on, before execution), with the scan's partition filters, pushed filters and read "
         "schema. Regenerate with `python tools/dump_plans.py`.\n",
     ]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         parts.append(f"## {name}\n\n```\n{tree(fn(spark, sf_dir))}\n```\n")
     (ROOT / "PLANS.md").write_text("\n".join(parts))
     spark.stop()
