@@ -123,6 +123,17 @@ def test_many_small_shards(spark, tmp_path):
     assert by_id(repair_grammar.read_shards(shards)) == by_id(repair_grammar.read_shards(whole))
 
 
+def test_odd_texts_have_the_librarys_ids():
+    with open(TOKENIZER) as file:
+        encoder = repair_grammar.TextEncoder(file.read())
+    rng = random.Random(6)
+    letters = "ab é.,!'s \n\t１٣日本\U0001f600%%&|-(\"ll re\r　\x1c\x0b\x85\xa0\u2028"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(20_000)] + [None, "", " ", "\n", "a ", " a"]
+    for text in texts:
+        own = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert own == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_grammar_round_trip_and_random_access(seed):
     rng = np.random.default_rng(seed)

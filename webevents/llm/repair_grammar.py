@@ -52,9 +52,12 @@ HEADER = struct.Struct("<4sIQQQQQ")  # magic, bytes per symbol, documents, symbo
 
 
 def frequent_pairs(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Up to PAIRS most frequent pairs within documents, as left << 32 | right, sorted."""
-    pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    pairs = np.sort(pairs[~last[:-1]])
+    """Up to PAIRS most frequent pairs within documents, as left << bits | right, sorted; bits are
+    those of a symbol, so that a shard of 16-bit symbols sorts 32-bit numbers."""
+    wide = np.uint32 if symbols.dtype == np.uint16 else np.uint64
+    pairs = (symbols[:-1].astype(wide) << wide(8 * symbols.itemsize)) | symbols[1:]
+    pairs = pairs[~last[:-1]]
+    pairs.sort()
     if not len(pairs):
         return pairs
     begins = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
@@ -65,10 +68,18 @@ def frequent_pairs(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.sort(pairs[begins[often]])
 
 
+def left_of(pairs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    return (pairs >> pairs.dtype.type(8 * symbols.itemsize)).astype(np.int64)
+
+
+def right_of(pairs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    return (pairs & pairs.dtype.type((1 << 8 * symbols.itemsize) - 1)).astype(np.int64)
+
+
 def occurrences(symbols: np.ndarray, last: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a pair is to be replaced, left to right without overlap, and which pair."""
-    left, row = np.unique((pairs >> np.uint64(32)).astype(np.int64), return_inverse=True)
-    right, column = np.unique((pairs & np.uint64(0xFFFFFFFF)).astype(np.int64), return_inverse=True)
+    left, row = np.unique(left_of(pairs, symbols), return_inverse=True)
+    right, column = np.unique(right_of(pairs, symbols), return_inverse=True)
     # a small table of the pairs, over the symbols that occur in any
     table = np.full((len(left), len(right)), -1, dtype=np.int16)
     table[row, column] = np.arange(len(pairs))
@@ -108,7 +119,9 @@ class Shard:
         id_starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         last = np.zeros(len(ids), dtype=bool)
         last[id_starts[1:] - 1] = True
-        symbols, rules = ids.astype(np.uint32), np.zeros((0, 2), dtype=np.uint32)
+        # symbols fit 16 bits unless the vocabulary and all rules together outgrow them
+        narrow = terminals + TURNS * PAIRS <= 1 << 16
+        symbols, rules = ids.astype(np.uint16 if narrow else np.uint32), np.zeros((0, 2), dtype=np.uint32)
         lengths = np.zeros(0, dtype=np.int64)
         for _ in range(TURNS):
             pairs = frequent_pairs(symbols, last)
@@ -120,11 +133,10 @@ class Shard:
                 break
             pairs = pairs[worth]
             number = np.cumsum(worth) - 1
-            new = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+            new = np.stack([left_of(pairs, symbols), right_of(pairs, symbols)], axis=1).astype(np.uint32)
             sizes = np.where(new < terminals, 1, 0).astype(np.int64)
             inner = new >= terminals
             sizes[inner] = lengths[new[inner] - terminals]
-            symbols, last = symbols.copy(), last.copy()
             symbols[at] = terminals + len(rules) + number[which]
             last[at] = last[at + 1]
             stays = np.ones(len(symbols), dtype=bool)
@@ -194,7 +206,8 @@ class Shard:
         ends = np.cumsum(sizes)
         # id i of the run is id i - (its symbol's begin in the run) of that symbol
         shift = np.repeat(starts[symbols] - ends + sizes, sizes)
-        return ids[shift + np.arange(len(shift))]
+        shift += np.arange(len(shift))
+        return ids[shift]
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document, from its own symbols only."""
@@ -216,6 +229,7 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+SPACE_LETTER = chr(BYTE_LETTERS[32])
 #: Marks that end words (an apostrophe would begin a pre-token of its own, were letters to follow).
 MARKS = ".,!?;:#%&*$|()-\""
 
@@ -237,26 +251,34 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         self.chunks = Memory(self.chunk, MEMORY)
+        self.marks = Memory(self.letters)
 
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def letters(self, word: str) -> bytes:
         """Ids of a pre-token, from the library's model alone."""
-        spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        if word[:1] == " " and word.isascii():
+            spelled = SPACE_LETTER + word[1:]  # letters and marks spell themselves
+        else:
+            spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of a chunk. Letters, with the space before them, are one pre-token, and so are the marks
         that follow them; anything else goes through the library as a whole."""
+        if chunk.isalpha():
+            return self.letters(" " + chunk)
         word = chunk.rstrip(MARKS)
         if word.isalpha():
-            if word == chunk:
-                return self.letters(" " + word)
-            return self.chunks[word] + self.letters(chunk[len(word) :])
-        if chunk[:1] == "\n" and chunk[1:].isalpha():
-            return self.letters("\n") + self.letters(chunk[1:])
-        return self.ids(chunk if chunk[:1] == "\n" else " " + chunk)
+            return self.chunks[word] + self.marks[chunk[len(word) :]]
+        if chunk[:1] == "\n":
+            return self.marks["\n"] + self.head(chunk[1:])
+        return self.ids(" " + chunk)
+
+    def head(self, text: str) -> bytes:
+        """Ids of text that begins a line, without a space before it."""
+        return self.letters(text) if text.isalpha() else self.ids(text) if text else b""
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -265,7 +287,7 @@ class TextEncoder:
             return self.ids(text)
         # a chunk stands for itself with the space before it, or begins with its line feed
         first, *chunks = text.replace("\n", " \n").split(" ")
-        return (self.ids(first) if first else b"") + b"".join(self.chunks.all(chunks))
+        return self.head(first) + b"".join(self.chunks.all(chunks))
 
 
 _encoders: dict[int, TextEncoder] = {}
