@@ -200,8 +200,8 @@ def ring_links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCK
             for c in (F.lit(m), F.array(*[F.lit(signed(x)) for x in split_masks(m & (1 << 64) - 1, max_bits)]))
         ])
         keyed = (
-            large.select("fp", F.explode(F.element_at(cuts, F.col("mask"))).alias("mask"), F.col("key").alias("held"))
-            .select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+            large.select("fp", F.explode(F.element_at(cuts, F.col("mask"))).alias("mask"))
+            .withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
             .distinct()
         )
 
