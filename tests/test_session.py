@@ -3,7 +3,6 @@ derived table follows its inputs, is published whole, and holds the days asked f
 
 from __future__ import annotations
 
-import os
 import shutil
 import subprocess
 import sys
