@@ -215,6 +215,23 @@ def test_repeated_windows_of_the_table(spark):
     assert by_id(radix_windows.op4_radix_windows(documents(spark))) == dict(zip([d for d, _ in rows], expected))
 
 
+def test_repeated_windows_of_many_texts_without_ids_or_with_one(spark):
+    rng = random.Random(4)
+
+    def some(low, high):
+        return "".join(rng.choices("abcdefgh", k=rng.randint(low, high)))
+
+    rows, expected = [], []
+    for k in range(2000):  # two texts with one passage of their own in common
+        passage = some(400, 600)
+        for begin, end in ("<>", "()"):
+            before, after, doc = some(0, 300) + begin, end + some(0, 300), (None, 7)[k % 2]
+            rows.append((doc, before + passage + after))
+            expected.append((doc, len(rows[-1][1]), len(passage), 1, hashlib.sha256((before + after).encode()).hexdigest()))
+    got = radix_windows.op4_radix_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, got)) == Counter(expected)
+
+
 def test_windows_over_several_spans(spark, monkeypatch):
     monkeypatch.setattr(radix_windows, "SPAN", 1000)  # in this process: the function alone
     radix_windows._grams.clear()

@@ -18,7 +18,7 @@ order is made by range partitions, which cut a group of any size over as many ta
 
 Defined results: a null text is empty; texts shorter than ``length`` have no windows; repeated
 rows repeat each other wholly; a null id is an id like any other; other columns are not read.
-Hashes stand for content: 128 bits of it at every digit.
+Hashes stand for content: 128 bits of it at every digit, and 64 bits beside the id for a row's whole text.
 """
 
 from __future__ import annotations
@@ -43,16 +43,15 @@ WIDTHS = (128, 16, 1)
 #: Bytes whose windows are looked at together.
 SPAN = 1 << 20
 
-# A place in one long: 17 bits of the text's hash (tells rows of one id apart), 32 bits of
-# the first window's begin, 7 bits of windows - 1, 7 bits of the gram's begin in the first window.
-TEXT_BITS, BEGIN_BITS, SMALL_BITS = 17, 32, 7
+# A place in one long: 32 bits of the first window's begin, 7 bits of windows - 1, 7 bits of the
+# gram's begin in the first window. The text's whole hash, which tells rows of one id apart, is a column beside it.
+BEGIN_BITS, SMALL_BITS = 32, 7
 
-SORTED = "core long, hull long, doc long, place long, own boolean"
+SORTED = "core long, hull long, doc long, text_hash long, place long, own boolean"
 
 
-def pack(text_hash: np.ndarray, begin: np.ndarray, windows: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    place = text_hash.astype(np.int64) << (BEGIN_BITS + 2 * SMALL_BITS)
-    return place | begin.astype(np.int64) << 2 * SMALL_BITS | (windows - 1).astype(np.int64) << SMALL_BITS | gram.astype(np.int64)
+def pack(begin: np.ndarray, windows: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    return begin.astype(np.int64) << 2 * SMALL_BITS | (windows - 1).astype(np.int64) << SMALL_BITS | gram.astype(np.int64)
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +61,7 @@ def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def text_hash_column(text: Column) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << TEXT_BITS) - 1))
+    return F.xxhash64(text)
 
 
 class Grams:
@@ -147,17 +146,18 @@ def runs_of(data: np.ndarray, starts: np.ndarray, length: int, width: int) -> It
 
 def first_digit(docs: DataFrame, length: int) -> DataFrame:
     """Rows to sort by the first digit, from (doc, text_hash, text)."""
-    schema = pa.schema([("core", pa.int64()), ("hull", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("own", pa.bool_())])
+    schema = pa.schema([
+        ("core", pa.int64()), ("hull", pa.int64()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64()), ("own", pa.bool_()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = text_bytes(batch.column("text"))
             for doc, begin, windows, gram, key, hull in runs_of(data, starts, length, WIDTHS[0]):
                 rows = pa.array(doc)
-                hashes = batch.column("text_hash").take(rows).to_numpy()
                 yield batch_of(
-                    schema, key, hull, batch.column("doc").take(rows), pack(hashes, begin, windows, gram),
-                    np.ones(len(doc), dtype=bool),
+                    schema, key, hull, batch.column("doc").take(rows), batch.column("text_hash").take(rows),
+                    pack(begin, windows, gram), np.ones(len(doc), dtype=bool),
                 )
 
     return docs.mapInArrow(run, SORTED)
@@ -166,7 +166,9 @@ def first_digit(docs: DataFrame, length: int) -> DataFrame:
 def next_digit(texts: DataFrame, length: int, coarse: int, width: int) -> DataFrame:
     """Rows to sort by the next digit: the open runs of (doc, text_hash, text, places, owns), of up to
     ``coarse`` windows each, in blocks of ``width`` windows aligned to the gram."""
-    schema = pa.schema([("core", pa.int64()), ("hull", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("own", pa.bool_())])
+    schema = pa.schema([
+        ("core", pa.int64()), ("hull", pa.int64()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64()), ("own", pa.bool_()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -191,14 +193,14 @@ def next_digit(texts: DataFrame, length: int, coarse: int, width: int) -> DataFr
                     n = len(begins)
                     yield batch_of(
                         schema, np.array(cores, dtype=np.uint64).view(np.int64), np.array(hulls, dtype=np.uint64).view(np.int64),
-                        pa.array([doc.as_py()] * n, pa.int64()),
-                        pack(np.full(n, text_hash.as_py()), *(np.array(x, dtype=np.int64) for x in (begins, counts, grams))), own,
+                        pa.array([doc.as_py()] * n, pa.int64()), np.full(n, text_hash.as_py()),
+                        pack(*(np.array(x, dtype=np.int64) for x in (begins, counts, grams))), own,
                     )
 
     return texts.select("doc", "text_hash", "text", "places", "owns").mapInArrow(run, SORTED)
 
 
-VERDICTS = "doc long, place long, own boolean, core long, hull long, full boolean, open boolean, leads boolean, part long, edge int"
+VERDICTS = "doc long, text_hash long, place long, own boolean, core long, hull long, full boolean, open boolean, leads boolean, part long, edge int"
 
 
 def in_order(rows: DataFrame, label: str) -> DataFrame:
@@ -208,7 +210,7 @@ def in_order(rows: DataFrame, label: str) -> DataFrame:
     its content. Neighbours across two range partitions are compared at the end, from two
     rows per partition."""
     schema = pa.schema([
-        ("doc", pa.int64()), ("place", pa.int64()), ("own", pa.bool_()), ("core", pa.int64()), ("hull", pa.int64()),
+        ("doc", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int64()), ("own", pa.bool_()), ("core", pa.int64()), ("hull", pa.int64()),
         ("full", pa.bool_()), ("open", pa.bool_()), ("leads", pa.bool_()), ("part", pa.int64()), ("edge", pa.int32()),
     ])
 
@@ -229,7 +231,7 @@ def in_order(rows: DataFrame, label: str) -> DataFrame:
         edge[-1] += 2 * (after is None)
         keep = pa.array(some | (edge > 0))
         out = batch_of(
-            schema, batch.column(2), batch.column(3), batch.column(4), core, hull,
+            schema, batch.column(2), batch.column(3), batch.column(4), batch.column(5), core, hull,
             full, some & ~full, ~same_hull[:n], np.full(n, part), edge,
         )
         return out.filter(keep)
@@ -246,7 +248,7 @@ def in_order(rows: DataFrame, label: str) -> DataFrame:
         if held is not None:
             yield judge(held, before, None, part)
 
-    keys = ["core", "hull", "doc", "place"]
+    keys = ["core", "hull", "doc", "text_hash", "place"]
     judged = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, VERDICTS), label)
     edges = sorted(judged.where("edge > 0").collect(), key=lambda r: (r["part"], r["edge"]))  # two rows per partition at most
     edges = [r.asDict() for r in edges]
@@ -269,17 +271,16 @@ def listed(verdicts: DataFrame, last: bool) -> DataFrame:
 
     Open are runs that only share their core, and beside them one run of every content
     that repeats (``leads``), as far as it shares the core of an open one."""
-    hashed = verdicts.withColumn("text_hash", F.shiftright("place", BEGIN_BITS + 2 * SMALL_BITS))
-    fulls = hashed.where("full AND own").select("doc", "text_hash", F.col("place").alias("full"), F.lit(None).cast("long").alias("open"), "own")
+    fulls = verdicts.where("full AND own").select("doc", "text_hash", F.col("place").alias("full"), F.lit(None).cast("long").alias("open"), "own")
     if last:
         every = fulls
     else:
-        unsettled = stored(hashed.where("open AND own").select("core").distinct(), "windows-open")
-        others = hashed.where("(open AND NOT own) OR (full AND leads)").join(unsettled, "core", "left_semi")
+        unsettled = stored(verdicts.where("open AND own").select("core").distinct(), "windows-open")
+        others = verdicts.where("(open AND NOT own) OR (full AND leads)").join(unsettled, "core", "left_semi")
         nothing = F.lit(None).cast("long").alias("full")
         every = (
             fulls
-            .unionByName(hashed.where("open AND own").select("doc", "text_hash", nothing, F.col("place").alias("open"), "own"))
+            .unionByName(verdicts.where("open AND own").select("doc", "text_hash", nothing, F.col("place").alias("open"), "own"))
             .unionByName(others.select("doc", "text_hash", nothing, F.col("place").alias("open"), F.lit(False).alias("own")))
         )
     return every.groupBy("doc", "text_hash").agg(
@@ -290,7 +291,7 @@ def listed(verdicts: DataFrame, last: bool) -> DataFrame:
 
 def covered(places: np.ndarray, length: int) -> np.ndarray:
     """Maximal runs (begin, end) of bytes under the windows of ``places``."""
-    begin, windows, _ = unpack(np.sort(places & ((1 << (BEGIN_BITS + 2 * SMALL_BITS)) - 1)))
+    begin, windows, _ = unpack(np.sort(places))
     if not len(begin):
         return np.zeros((0, 2), dtype=np.int64)
     end = np.maximum.accumulate(begin + windows - 1 + length)
