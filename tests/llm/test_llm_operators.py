@@ -82,6 +82,35 @@ def test_cotraining_on_held_out_labels(spark):
     assert by_id(again) == by_id(scored)
 
 
+@pytest.mark.parametrize("labels_of", ["all", "repeated", "foreign", "no ids"])
+def test_samples_are_bounded_and_the_pool_has_no_label(spark, monkeypatch, labels_of):
+    docs = documents(spark, SF01, "doc_id", "text", "source", "lang", "n_chars")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", "quality")
+    n_docs = docs.count()
+    if labels_of == "all":
+        missing = docs.join(labels, "doc_id", "left_anti").select("doc_id", F.lit(1).alias("quality"))
+        labels = labels.unionByName(missing)
+    elif labels_of == "repeated":
+        labels = labels.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(8)))).drop("again")
+    elif labels_of == "foreign":
+        labels = labels.unionByName(spark.range(10**9, 10**9 + 2 * n_docs).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")))
+    else:
+        free = docs.join(labels, "doc_id", "left_anti").withColumn("doc_id", F.lit(None).cast("long"))
+        docs = docs.join(labels, "doc_id", "left_semi").unionByName(free)
+    n_free = docs.join(labels, "doc_id", "left_anti").count()
+    seen, cotrain = [], quality_cotrain.cotrain
+
+    def watched(text, metadata, y, aside, pool_text, pool_metadata, rounds):
+        seen.append((len(text), len(pool_text)))
+        return cotrain(text, metadata, y, aside, pool_text, pool_metadata, rounds)
+
+    monkeypatch.setattr(quality_cotrain, "cotrain", watched)
+    assert quality_cotrain.fit_quality(docs, labels, labelled_rows=120, pool_rows=60) is not None
+    (labelled, pool), = seen
+    assert 80 <= labelled <= 170
+    assert pool == 0 if labels_of == "all" else n_free > 200 and 30 <= pool <= 100
+
+
 def test_views_teach_each_other_only_what_they_are_sure_of():
     rng = np.random.default_rng(0)
     y = (rng.random(600) < 0.5).astype(float)

@@ -5,8 +5,9 @@ some rounds each labels the unlabelled documents that it is surest of, as judged
 calibrated probability, for the other to learn from. Both are calibrated on labelled rows
 kept aside, the calibrated views are combined, and every document is scored.
 
-The fit sees bounded samples chosen by hash: at most about ``LABELLED_ROWS`` labelled documents and
-``POOL_ROWS`` unlabelled ones. Scoring reads each document once, with no shuffle.
+The fit sees bounded samples chosen by hash of id and text: at most about ``LABELLED_ROWS`` labelled
+documents and ``POOL_ROWS`` without any label, each at a rate taken from the rows of its own kind (rows
+equal in id and text are chosen together). Scoring reads each document once, with no shuffle.
 
 Defined results: a null text has no words, null metadata is a value of its own; repeated rows are scored
 one by one; repeated labels of a document count as the worst of them; without labels of both
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webevents.llm.common import batch_of, hash_share
+from webevents.llm.common import batch_of, hash_share, stored
 
 LABELLED_ROWS = 12_000
 POOL_ROWS = 8_000
@@ -214,14 +215,26 @@ def fit_quality(
     labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS, rounds: int = ROUNDS,
 ) -> CoTrained | None:
     """Fit on bounded samples; None without labels of both classes on both sides of the split."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull()).select("doc_id", F.col(target).alias("_y"))
-    n_known, n_docs = known.count(), docs.count()
-    some = known.where(hash_share(n_known, labelled_rows, "doc_id", seed=11)).groupBy(F.col("doc_id").alias("_known")).agg(F.min("_y").alias("_y"))
+    known = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull())
+        .groupBy(F.col("doc_id").alias("_known")).agg(F.min(target).alias("_y"))
+    )
+    rows = narrowed(docs, doc_id, text, source, language, length).withColumn("_hash", F.xxhash64("_text"))
+    # ids and hashes alone tell what is labelled; the texts stay where they are
+    told = stored(
+        rows.groupBy("_id", "_hash").agg(F.count("*").alias("_n"))
+        .join(known, F.col("_id") == F.col("_known"), "left").select("_id", "_hash", "_n", "_y"),
+        "quality-known",
+    )
+    n_known, n_free = (
+        told.agg(*[F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)) for c in (F.col("_y").isNotNull(), F.col("_y").isNull())]).first()
+    )
+    some = told.where(F.col("_y").isNotNull() & hash_share(n_known, labelled_rows, "_id", "_hash", seed=11)).unionByName(
+        told.where(F.col("_y").isNull() & hash_share(n_free, pool_rows, "_id", "_hash", seed=12))
+    ).select(F.col("_id").alias("_some"), F.col("_hash").alias("_some_hash"), "_y")
     rows = (
-        narrowed(docs, doc_id, text, source, language, length)
-        .withColumn("_pool", hash_share(max(n_docs - n_known, 1), pool_rows, "_id", seed=12))
-        .join(F.broadcast(some), F.col("_id") == F.col("_known"), "left")  # about labelled_rows rows at most
-        .where(F.col("_y").isNotNull() | F.col("_pool"))
+        # about labelled_rows + pool_rows rows at most
+        rows.join(F.broadcast(some), F.col("_id").eqNullSafe(F.col("_some")) & (F.col("_hash") == F.col("_some_hash")))
         .withColumn("_aside", F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(10)) < 3)
         .select("_id", "_y", "_aside", "_text", "_source", "_language", "_length")
     )
