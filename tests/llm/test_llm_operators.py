@@ -142,6 +142,19 @@ def test_shards_hold_the_librarys_ids_in_order(spark):
         start += len(ids)
 
 
+def test_strings_of_special_tokens_have_the_untouched_librarys_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y.\n<|endoftext|>\nz", "a  <|endoftext|>\t b", "<|endoftext |> plain", None]
+    got = by_id(repair_grammar.op2_repair_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER))
+    start = 0
+    for doc, text in enumerate(texts):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        assert got[doc] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_many_small_shards(spark, tmp_path):
     with open(TOKENIZER) as file:
         spec = file.read()

@@ -239,7 +239,7 @@ class TextEncoder:
 
     Byte-level pre-tokens never cross a lone space or line feed, so text is cut there and
     chunks met before are looked up; the library encodes the others, and every text
-    in which white space meets white space as a whole."""
+    in which white space meets white space, or that holds the string of an added token, as a whole."""
 
     UNEVEN = re.compile(r"\s\s")
 
@@ -248,7 +248,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.chunks = Memory(self.chunk, MEMORY)
         self.marks = Memory(self.letters)
@@ -283,7 +283,7 @@ class TextEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.UNEVEN.search(text):
+        if self.UNEVEN.search(text) or any(t in text for t in self.added):
             return self.ids(text)
         # a chunk stands for itself with the space before it, or begins with its line feed
         first, *chunks = text.replace("\n", " \n").split(" ")
