@@ -200,6 +200,22 @@ def test_grammar_round_trip_and_random_access(seed):
         repair_grammar.Shard.from_bytes(bytes(damaged))
 
 
+@pytest.mark.parametrize("terminals", [50257, 65000])  # the second outgrows 16 bits
+def test_pairs_are_replaced_until_none_is_frequent(terminals):
+    rng = np.random.default_rng(1)
+    passages = [rng.integers(1, terminals, 100) for _ in range(30)]
+    docs = [np.concatenate([passages[i], rng.integers(1, terminals, 5), [0]]) for i in rng.integers(0, 30, 1500)]
+    ids = np.concatenate(docs).astype(np.uint32)
+    shard = repair_grammar.Shard.build(list(range(len(docs))), ids, np.array([len(d) for d in docs]), terminals)
+    last = np.zeros(len(shard.symbols), dtype=bool)
+    last[shard.symbol_starts[1:] - 1] = True
+    assert not len(repair_grammar.frequent_pairs(shard.symbols, last))
+    assert shard.lengths.max() >= 100 and len(shard.symbols) < 10 * len(docs)
+    read = repair_grammar.Shard.from_bytes(shard.to_bytes())
+    assert (read.expand(read.symbols) == ids).all()
+    assert all((read.document(k) == docs[k]).all() for k in range(0, len(docs), 97))
+
+
 # 3 quality rules
 
 

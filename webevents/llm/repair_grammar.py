@@ -7,7 +7,8 @@ symbols and its ids begin, so that any document, or any range of ids, is decoded
 the rest. Pairs never span two documents.
 
 Each turn replaces the most frequent pairs together (not one pair a turn), which takes a
-few passes over a shard instead of one per rule; the grammar stays exact.
+few passes over a shard instead of one per rule; the grammar stays exact. Turns go on until no pair
+occurs ``MIN_COUNT`` times.
 
 Defined results: a null or empty text is a document of the end id alone; a null id sorts
 first; repeated rows are documents of their own, one after the other; an empty table has
@@ -37,18 +38,15 @@ from webevents.llm.files import new_file, open_input, open_output
 END_ID = 0
 #: A shard is closed at so many ids; a longer document has a shard to itself.
 SHARD_IDS = 2_000_000
-#: Pairs replaced in one turn, turns at most, and occurrences a pair needs.
+#: Pairs replaced in one turn, and occurrences a pair needs.
 PAIRS = 4096
-TURNS = 3
 MIN_COUNT = 8
-#: A turn that shortens the shard by less than this share is the last.
-MIN_GAIN = 0.03
 
 #: Chunks of text in one generation of a worker's memory (about 200 bytes each).
 MEMORY = 500_000
 
-MAGIC = b"RPG1"
-HEADER = struct.Struct("<4sIQQQQQ")  # magic, bytes per symbol, documents, symbols, ids, rules, first nonterminal
+MAGIC = b"RPG2"
+HEADER = struct.Struct("<4sIQQQQQ")  # magic, bits per symbol, documents, symbols, ids, rules, first nonterminal
 
 
 def frequent_pairs(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -99,6 +97,27 @@ def occurrences(symbols: np.ndarray, last: np.ndarray, pairs: np.ndarray) -> tup
     return at[taken], which[taken]
 
 
+#: Symbols packed at once; a multiple of 8, so that their bits end with a byte.
+BLOCK = 1 << 16
+
+
+def packed(symbols: np.ndarray, bits: int) -> bytes:
+    """The lowest ``bits`` of every symbol, one after the other."""
+    blocks = (symbols[i : i + BLOCK].astype(">u4").view(np.uint8).reshape(-1, 4) for i in range(0, len(symbols), BLOCK))
+    return b"".join(np.packbits(np.unpackbits(b, axis=1)[:, 32 - bits :]).tobytes() for b in blocks)
+
+
+def unpacked(data: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """``n`` symbols from the bytes of ``packed``."""
+    out = np.empty(n, dtype=np.uint32)
+    for i in range(0, n, BLOCK):
+        size = min(BLOCK, n - i)
+        wide = np.zeros((size, 32), dtype=np.uint8)
+        wide[:, 32 - bits :] = np.unpackbits(data[i * bits // 8 :][: (size * bits + 7) // 8], count=size * bits).reshape(size, bits)
+        out[i : i + size] = np.packbits(wide, axis=1).view(">u4").ravel()
+    return out
+
+
 @dataclass
 class Shard:
     """A grammar and its documents; symbols from ``first_rule`` on are nonterminals."""
@@ -119,24 +138,23 @@ class Shard:
         id_starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         last = np.zeros(len(ids), dtype=bool)
         last[id_starts[1:] - 1] = True
-        # symbols fit 16 bits unless the vocabulary and all rules together outgrow them
-        narrow = terminals + TURNS * PAIRS <= 1 << 16
-        symbols, rules = ids.astype(np.uint16 if narrow else np.uint32), np.zeros((0, 2), dtype=np.uint32)
+        # symbols fit 16 bits until the vocabulary and all rules together outgrow them
+        symbols, rules = ids.astype(np.uint16 if terminals <= 1 << 16 else np.uint32), np.zeros((0, 2), dtype=np.uint32)
         lengths = np.zeros(0, dtype=np.int64)
-        for _ in range(TURNS):
-            pairs = frequent_pairs(symbols, last)
-            at, which = occurrences(symbols, last, pairs) if len(pairs) else (np.zeros(0, np.int64),) * 2
+        # each turn shortens the shard: of the places of its pairs at least half are taken
+        while len(pairs := frequent_pairs(symbols, last)):
+            at, which = occurrences(symbols, last, pairs)
             used = np.bincount(which, minlength=len(pairs))
             worth = used >= MIN_COUNT // 2  # overlaps may leave a pair too few places
             at, which = at[worth[which]], which[worth[which]]
-            if len(at) < MIN_GAIN * len(symbols):
-                break
             pairs = pairs[worth]
             number = np.cumsum(worth) - 1
             new = np.stack([left_of(pairs, symbols), right_of(pairs, symbols)], axis=1).astype(np.uint32)
             sizes = np.where(new < terminals, 1, 0).astype(np.int64)
             inner = new >= terminals
             sizes[inner] = lengths[new[inner] - terminals]
+            if symbols.dtype == np.uint16 and terminals + len(rules) + len(new) > 1 << 16:
+                symbols = symbols.astype(np.uint32)
             symbols[at] = terminals + len(rules) + number[which]
             last[at] = last[at + 1]
             stays = np.ones(len(symbols), dtype=bool)
@@ -152,33 +170,33 @@ class Shard:
 
     def to_bytes(self) -> bytes:
         """Header, arrays in the order of the fields, and a crc32 of all before it."""
-        width = 2 if self.first_rule + len(self.rules) <= 1 << 16 else 4
+        bits = max(1, (self.first_rule + len(self.rules) - 1).bit_length())
         body = HEADER.pack(
-            MAGIC, width, len(self.doc_ids), len(self.symbols), int(self.id_starts[-1]), len(self.rules), self.first_rule
+            MAGIC, bits, len(self.doc_ids), len(self.symbols), int(self.id_starts[-1]), len(self.rules), self.first_rule
         ) + b"".join(
             np.ascontiguousarray(a.astype(t)).tobytes()
             for a, t in (
                 (self.doc_ids, "<i8"), (self.known, "u1"), (self.symbol_starts, "<u8"), (self.id_starts, "<u8"),
-                (self.rules, "<u4"), (self.lengths, "<u8"), (self.symbols, f"<u{width}"),
+                (self.rules, "<u4"), (self.lengths, "<u8"),
             )
-        )
+        ) + packed(self.symbols, bits)
         return body + struct.pack("<I", zlib.crc32(body))
 
     @staticmethod
     def from_bytes(data: bytes) -> Shard:
-        magic, width, n_docs, n_symbols, n_ids, n_rules, first = HEADER.unpack_from(data)
+        magic, bits, n_docs, n_symbols, n_ids, n_rules, first = HEADER.unpack_from(data)
         if magic != MAGIC or zlib.crc32(memoryview(data)[:-4]) != struct.unpack("<I", data[-4:])[0]:
             raise ValueError("not a grammar shard, or a damaged one")
         at, arrays = HEADER.size, []
         for t, n in (("<i8", n_docs), ("u1", n_docs), ("<u8", n_docs + 1), ("<u8", n_docs + 1),
-                     ("<u4", 2 * n_rules), ("<u8", n_rules), (f"<u{width}", n_symbols)):
+                     ("<u4", 2 * n_rules), ("<u8", n_rules), ("u1", (n_symbols * bits + 7) // 8)):
             arrays.append(np.frombuffer(data, t, n, at))
             at += arrays[-1].nbytes
         ids, known, symbol_starts, id_starts, rules, lengths, symbols = arrays
         if at + 4 != len(data) or int(id_starts[-1]) != n_ids or int(symbol_starts[-1]) != n_symbols:
             raise ValueError("the shard's lengths disagree with its header")
         return Shard(
-            ids, known, symbol_starts.astype(np.int64), id_starts.astype(np.int64), symbols,
+            ids, known, symbol_starts.astype(np.int64), id_starts.astype(np.int64), unpacked(symbols, n_symbols, bits),
             rules.reshape(-1, 2), lengths.astype(np.int64), first,
         )
 
