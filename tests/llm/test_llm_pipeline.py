@@ -37,6 +37,22 @@ def test_pipeline_equals_brute_force(spark):
     assert Counter(map(tuple, corpus_pipeline.pipeline_query(spark, SF001).collect())) == expected
 
 
+def test_different_texts_under_one_id_go_with_their_own_groups(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(60)) for a in "abcd"]
+    rows = [
+        (1, texts[0], "s"), (5, texts[0], "s"), (5, texts[1], "s"), (5, texts[2], "s"), (5, texts[2], "s"), (5, texts[2], "t"),
+        (7, texts[1], "s"), (8, texts[3], "s"), (None, texts[0], "s"), (None, texts[0], "s"),
+    ]
+    expected = sorted([(1, texts[0]), (5, texts[1]), (5, texts[2]), (8, texts[3]), (0, texts[0]), (0, texts[0])])
+    seen = set()
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+        assert sorted((d or 0, t) for d, t, _ in got) == expected
+        seen.add(tuple(sorted((d or 0, t, s) for d, t, s in got)))
+    assert len(seen) == 1
+
+
 def test_registered_with_the_driver():
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
