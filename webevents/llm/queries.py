@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from webevents.llm import (
+    blob_ledger,
     bpe_two_tier,
     curriculum_mix,
     isolation_rules,
@@ -14,6 +15,7 @@ from webevents.llm import (
     radix_windows,
     repair_grammar,
     simhash_ring,
+    toivonen_phrases,
     warc_zstd,
 )
 from webevents.llm.common import table
@@ -62,11 +64,20 @@ def op10_warc_zstd(spark, sf_dir):
     return warc_zstd.op10_warc_zstd(table(spark, sf_dir, "pages"))
 
 
+def op11_blob_ledger(spark, sf_dir):
+    return blob_ledger.op11_blob_ledger(table(spark, sf_dir, "documents"))
+
+
+def op13_toivonen_phrases(spark, sf_dir):
+    return toivonen_phrases.op13_toivonen_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_cotrain, op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring,
         op6_curriculum_mix, op7_bpe_two_tier, op8_line_dedup, op9_multiprobe, op10_warc_zstd,
+        op11_blob_ledger, op13_toivonen_phrases,
     )
 }
 
@@ -74,4 +85,6 @@ SQL = {
     "op6_curriculum_mix": curriculum_mix.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op10_warc_zstd": warc_zstd.SQL,
+    "op11_blob_ledger": blob_ledger.SQL,
+    "op13_toivonen_phrases": toivonen_phrases.SQL,
 }
