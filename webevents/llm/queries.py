@@ -16,6 +16,7 @@ from webevents.llm import (
     repair_grammar,
     simhash_ring,
     toivonen_phrases,
+    treap_search,
     warc_zstd,
 )
 from webevents.llm.common import table
@@ -68,6 +69,10 @@ def op11_blob_ledger(spark, sf_dir):
     return blob_ledger.op11_blob_ledger(table(spark, sf_dir, "documents"))
 
 
+def op12_treap_search(spark, sf_dir):
+    return treap_search.op12_treap_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_toivonen_phrases(spark, sf_dir):
     return toivonen_phrases.op13_toivonen_phrases(table(spark, sf_dir, "documents"))
 
@@ -77,7 +82,7 @@ QUERIES = {
     for f in (
         op1_quality_cotrain, op2_repair_tokens, op3_isolation_rules, op4_radix_windows, op5_simhash_ring,
         op6_curriculum_mix, op7_bpe_two_tier, op8_line_dedup, op9_multiprobe, op10_warc_zstd,
-        op11_blob_ledger, op13_toivonen_phrases,
+        op11_blob_ledger, op12_treap_search, op13_toivonen_phrases,
     )
 }
 
@@ -86,5 +91,6 @@ SQL = {
     "op8_line_dedup": line_dedup.SQL,
     "op10_warc_zstd": warc_zstd.SQL,
     "op11_blob_ledger": blob_ledger.SQL,
+    "op12_treap_search": treap_search.SQL,
     "op13_toivonen_phrases": toivonen_phrases.SQL,
 }
