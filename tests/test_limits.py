@@ -4,6 +4,8 @@ any timestamp, repeated parameters in strict mode, previews that stop early."""
 from __future__ import annotations
 
 import math
+import random
+import struct
 
 import pytest
 from pyspark.errors import PySparkException
@@ -14,6 +16,7 @@ from eventrows import event, events_df
 from test_plans import plan_of
 from webevents import plans
 from webevents.cli import run
+from webevents.functions import event_day, money_sum
 from webevents.operators import event_is, first_touch_label, funnel_counts, user_value
 from webevents.sources import write_events
 from webevents.sources.fixtures import FIXTURE_DAY, fixture_table
@@ -49,6 +52,56 @@ def test_money_behaves_as_a_double(spark, values, total):
         assert x == total or (x is not None and total is not None and math.isnan(x) and math.isnan(total))
 
 
+def bits(x):
+    return struct.pack("<d", x).hex()
+
+
+@pytest.mark.parametrize("values", [
+    [0.1, 0.2, 0.3, 1e15, -1e15, 7e-9, 1 / 3], [1e16, 1.0, -1e16, 1e-3], [2.0**53 + 2, 2.0**-60, -(2.0**53), 3.3],
+    [random.Random(5).uniform(-1e6, 1e6) for _ in range(500)], [1e-17, 1e-18, 12.5, -3e-15], [-0.5, -1e-9, -1234567.89],
+])
+def test_sums_have_the_same_bits_in_any_order(spark, values):
+    def total(rows, parts):
+        df = spark.createDataFrame([(v,) for v in rows], "x double").repartition(parts)
+        return df.agg(money_sum("x").alias("s")).first()["s"]
+
+    shuffled = sorted(values, key=lambda v: hash(str(v)))
+    sums = {bits(total(rows, n)) for rows in (values, values[::-1], shuffled) for n in (1, 3, 8)}
+    assert len(sums) == 1
+    exact = math.fsum(values)
+    assert total(values, 2) == pytest.approx(exact, rel=4e-16, abs=1e-30)
+
+
+def test_exact_sums_of_odd_values(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(money_sum("x").alias("s")).first()["s"]
+
+    assert total(None, None) is None and total(None, 0.0) == 0.0 and total(5e-324, 5e-324) == 1e-323
+    assert total(1e300, 1e300, None) == 2e300 and total(-math.inf, 1.0) == -math.inf and math.isnan(total(math.inf, -math.inf))
+    assert math.isnan(total(math.nan, 1e300)) and total(2.0**62, 2.0**62, 1.0) == 2.0**63
+    assert spark.range(0).agg(money_sum("id").alias("s")).first()["s"] is None
+
+
+def test_analyses_sum_alike_after_any_repartition(spark):
+    rng = random.Random(6)
+    rows = [event(name="purchase", user=f"u{i % 7}", revenue=rng.uniform(0, 99)) for i in range(400)]
+    df = events_df(spark, rows)
+    once = [plans.weekly_growth(df.repartition(n), S, E).collect() for n in (1, 5)]
+    assert once[0] == once[1]
+
+
+@pytest.mark.parametrize("text, day", [("20240131", "2024-01-31"), ("10000101", "1000-01-01"), ("99991231", "9999-12-31"), ("09990228", "0999-02-28"), (None, None)])
+def test_event_days(spark, text, day):
+    got = spark.createDataFrame([(text,)], "event_date string").select(event_day().cast("string").alias("d")).first()["d"]
+    assert got == day
+
+
+@pytest.mark.parametrize("text", ["20240230", "20241301", "2024-1-1", "+2024101", " 2024101", "2024010", "202401011", "", "abcdefgh", "٢٠٢٤٠١٠١"])
+def test_malformed_days_raise(spark, text):
+    with pytest.raises(PySparkException):
+        spark.createDataFrame([(text,)], "event_date string").select(event_day()).collect()
+
+
 @pytest.mark.parametrize("n", [62, 63, 130])
 def test_funnels_of_many_steps(spark, n):
     rows = [event(name=f"step{i}", user=f"u{k}") for k in range(3) for i in range(0, n, k + 1)] + [event(user=None, name="step0")]

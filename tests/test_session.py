@@ -14,7 +14,7 @@ from conftest import SF01, SF001
 from webevents.session import ensure_checkpoint_dir
 from webevents.plans import event_inventory
 from webevents.sources import fixtures
-from webevents.sources.fixtures import FIXTURE_DAY, FIXTURE_END, FIXTURE_START, fixture_table, nested_event_table
+from webevents.sources.fixtures import FIXTURE_DAY, FIXTURE_END, FIXTURE_START, fixture_table, nested_event_batches, nested_event_table
 
 
 def test_checkpoint_folder_is_stable_and_from_the_session(spark):
@@ -31,7 +31,7 @@ def inputs(tmp_path):
     folder = tmp_path / "sf"
     folder.mkdir()
     for name in ("events", "customer", "nation"):
-        shutil.copy(f"{SF001}/{name}.parquet", folder)
+        shutil.copyfile(f"{SF001}/{name}.parquet", folder / f"{name}.parquet")  # not its read-only mode
     return folder
 
 
@@ -43,7 +43,7 @@ def total(spark, sf_dir):
 @pytest.mark.parametrize("scheme", ["", "file://"])
 def test_replaced_input_changes_the_answer(spark, inputs, scheme):
     assert total(spark, f"{scheme}{inputs}") == 1_000
-    shutil.copy(f"{SF01}/events.parquet", inputs)
+    shutil.copyfile(f"{SF01}/events.parquet", inputs / "events.parquet")
     assert total(spark, f"{scheme}{inputs}") == 10_000
 
 
@@ -65,11 +65,70 @@ def test_moved_days_are_derived_in_their_new_week(spark, inputs):
 
 def test_an_unpublished_attempt_is_never_read(spark, inputs):
     path = Path(nested_event_table(spark, str(inputs)).replace("file:", ""))
-    (path.parent / "attempt-00cut-short" / "_temporary").mkdir(parents=True)
+    (path.parent / "batch=00cut-short" / "_temporary").mkdir(parents=True)
     fixtures._PUBLISHED.clear()
     assert nested_event_table(spark, str(inputs)).replace("file:", "") == str(path)
 
 
+def split_events(spark, inputs, cuts):
+    """The events of ``inputs`` as a folder of one file per range of days."""
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    (inputs / "events.parquet").unlink()
+    (inputs / "events.parquet").mkdir()
+    for a, b in zip(cuts, cuts[1:]):
+        add_file(events.where(f"ts >= '{a}' AND ts < '{b}'"), inputs, f"from-{a}")
+
+
+def add_file(rows, inputs, name):
+    rows.toPandas().to_parquet(inputs / "events.parquet" / f"{name}.parquet", coerce_timestamps="us")
+
+
+def files_of(folder, batches):
+    return {str(p): p.stat().st_mtime_ns for b in batches for p in Path(folder.replace("file:", ""), f"batch={b}").rglob("part-*")}
+
+
+def test_an_added_file_leaves_other_days_alone(spark, inputs):
+    split_events(spark, inputs, ("2024-01-01", "2024-01-05", "2024-01-09"))
+    folder, first = nested_event_batches(spark, str(inputs))
+    before = files_of(folder, first)
+    n = fixture_table(spark, str(inputs)).count()
+    late = spark.read.parquet(f"{SF001}/events.parquet").where("ts >= '2024-01-09' AND ts < '2024-01-11'")
+    add_file(late, inputs, "late")
+    same, batches = nested_event_batches(spark, str(inputs))
+    assert same == folder and len(first) == 1 and len(batches) == 2 and set(first) < set(batches)
+    assert files_of(folder, first) == before
+    new = Path(folder.replace("file:", ""), f"batch={(set(batches) - set(first)).pop()}")
+    assert {d.name for d in new.glob("table_suffix=*")} == {"table_suffix=20240109", "table_suffix=20240110"}
+    table = fixture_table(spark, str(inputs))
+    assert table.count() == n + late.count()
+    assert fixture_table(spark, str(inputs), "20240109", "20240110").count() == late.count()
+    # the same rows as a derivation of everything at once, and as one compacted batch
+    rows = sorted(map(str, table.collect()))
+    fresh = fixtures.fixture_events(spark, str(inputs)).collect()
+    assert rows == sorted(map(str, fresh))
+    one = nested_event_table(spark, str(inputs))
+    assert one.rpartition("=")[2] not in batches and nested_event_batches(spark, str(inputs))[1] == [one.rpartition("=")[2]]
+    assert sorted(map(str, fixture_table(spark, str(inputs)).collect())) == rows
+
+
+def test_a_replaced_file_is_derived_alone(spark, inputs):
+    split_events(spark, inputs, ("2024-01-01", "2024-01-05"))
+    folder, first = nested_event_batches(spark, str(inputs))
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    add_file(events.where("ts >= '2024-01-05' AND ts < '2024-01-07'"), inputs, "second")
+    _, both = nested_event_batches(spark, str(inputs))
+    add_file(events.where("ts >= '2024-01-05' AND ts < '2024-01-08'"), inputs, "second")
+    _, after = nested_event_batches(spark, str(inputs))
+    assert set(first) < set(both) and set(first) < set(after) and set(both) != set(after) and len(after) == 2
+    assert fixture_table(spark, str(inputs)).count() == events.where("ts < '2024-01-08'").count()
+
+
+def test_a_day_is_read_from_a_wider_batch(spark, inputs):
+    _, whole = nested_event_batches(spark, str(inputs), FIXTURE_START, FIXTURE_END)
+    assert nested_event_batches(spark, str(inputs), FIXTURE_DAY, FIXTURE_DAY)[1] == whole
+    assert {r[0] for r in fixture_table(spark, str(inputs), FIXTURE_DAY, FIXTURE_DAY).select("table_suffix").distinct().collect()} == {FIXTURE_DAY}
+
+
 def test_a_repeated_key_is_refused(spark):
     with pytest.raises(ValueError, match="c_custkey 1"):
         fixtures.assert_unique(spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "c_custkey long"), "c_custkey")

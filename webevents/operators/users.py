@@ -5,8 +5,8 @@ aggregate rather than a ranked window, so it combines map-side and never sorts a
 user's events. Ties on the timestamp go to the smallest value and NULL timestamps
 come first (ascending order with NULLs first), which makes the result deterministic.
 
-``first_touch_label`` is the form for values from a known list of labels (channel
-names): the earliest timestamp of each label is a fixed-width long, so Spark uses a hash
+``label_code`` with ``first_label`` (or both as ``first_touch_label``) is the form for values from a
+known list of labels (channel names): the earliest timestamp of each label is a fixed-width long, so Spark uses a hash
 aggregate, and any INT64 timestamp is in range. The general ``first_touch_value`` takes
 the minimum of a (timestamp, value) struct, which Spark can only run as a sort-based
 aggregate.
@@ -23,28 +23,48 @@ from webevents.functions.ratios import rounded_money_sum
 USER = "user_pseudo_id"
 
 
-def first_touch_label(
-    condition: Column, label: Column, labels: list[str], order: str = "event_timestamp"
-) -> Column:
-    """Aggregate expression: ``label`` (one of ``labels``, or NULL) of the earliest event
-    satisfying ``condition``; NULL when the user has none. A label outside the list raises."""
+def label_code(condition: Column, label: Column, labels: list[str]) -> Column:
+    """A number for ``label`` where ``condition`` holds: 0 for NULL, then its rank among ``labels``. NULL where
+    the condition doesn't hold; a label outside the list raises."""
     ranked = sorted(set(labels))
-    known = label.isNull() | label.isin(ranked)
-    label = F.when(known, label).otherwise(F.raise_error(F.concat(F.lit("label not listed: "), label)))
-    values = [None, *ranked]  # NULL first on ties, as in the order of the source
+    code = F.when(label.isNull(), F.lit(0))
+    for n, v in enumerate(ranked, 1):
+        code = code.when(label == v, F.lit(n))
+    return F.when(condition, code.otherwise(F.raise_error(F.concat(F.lit("label not listed: "), label)).cast("int")))
+
+
+def first_label(code: Column, labels: list[str], order: str = "event_timestamp") -> Column:
+    """Aggregate expression: the label of the earliest row, from a column of ``label_code``.
+
+    A timestamp per label and one mask of the labels seen without a timestamp, which come first: fixed-width
+    numbers throughout, whatever the timestamps' range. Ties go to the smallest label, NULL first."""
+    values = [None, *sorted(set(labels))]
     ts = F.col(order)
-    has = [condition & label.eqNullSafe(F.lit(v)) for v in values]
-    undated = [F.bool_or(h & ts.isNull()) for h in has]  # NULL timestamps come first
-    earliest = [F.min(F.when(h, ts)) for h in has]
+    bit = F.lit(None).cast("long")
+    for n in range(len(values)):
+        bit = F.when(code == n, F.lit(1 << n).cast("long")).otherwise(bit)
+    undated = F.bit_or(F.when(ts.isNull(), bit))
+    earliest = [F.min(F.when(code == n, ts)) for n in range(len(values))]
     first = F.least(*earliest)
     chosen = F.lit(None).cast("string")
     for v, t in reversed(list(zip(values, earliest))):
         chosen = F.when(t == first, F.lit(v)).otherwise(chosen)
-    for v, n in reversed(list(zip(values, undated))):
-        chosen = F.when(n, F.lit(v)).otherwise(chosen)
+    for n, v in reversed(list(enumerate(values))):
+        chosen = F.when(undated.bitwiseAND(F.lit(1 << n).cast("long")) != 0, F.lit(v)).otherwise(chosen)
     return chosen
 
 
+def first_touch_label(
+    condition: Column, label: Column, labels: list[str], order: str = "event_timestamp"
+) -> Column:
+    """Aggregate expression: ``label`` (one of ``labels``, or NULL) of the earliest event
+    satisfying ``condition``; NULL when the user has none. A label outside the list raises.
+
+    Where the plan allows it, ``label_code`` as a column below the aggregate and
+    ``first_label`` over it compare each event's label once."""
+    return first_label(label_code(condition, label, labels), labels, order)
+
+
 def first_touch_value(condition: Column, value: Column, order: str = "event_timestamp") -> Column:
     """Aggregate expression: ``value`` of the earliest event satisfying ``condition``
     (NULL when the user has none). Use inside ``groupBy(user).agg``."""

@@ -3,7 +3,7 @@ driver's test tables, with the fixture windows as parameters.
 
 Each callable reads the nested day-sharded table that Spark derives from the
 driver's ``events``/``customer``/``nation`` (written once per input into the shared
-checkpoint folder, see ``nested_event_table``), so every analysis runs over the
+checkpoint folder, see ``nested_event_batches``), so every analysis runs over the
 whole input through the same read path as production data.
 """
 
@@ -57,6 +57,33 @@ def page_view_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.page_view_params(_day_events(spark, sf_dir), FIXTURE_DAY, ordered=True)
 
 
+def _any_rows(preview: DataFrame, day: DataFrame) -> DataFrame:
+    """How many rows an un-ordered preview has, and how many of them are rows of the day: what every
+    choice of rows must satisfy, whichever the read finds first."""
+    def hashed(rows: DataFrame) -> DataFrame:
+        text = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+        return rows.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+
+    there = hashed(day).distinct().withColumn("there", F.lit(True))
+    return hashed(preview).join(there, ["h1", "h2"], "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("there").alias("n_rows_of_the_day")
+    )
+
+
+def event_preview_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 as written, any rows: checked by count and membership."""
+    day = _day_events(spark, sf_dir)
+    whole = explore.event_preview(day, FIXTURE_DAY, n=None)
+    return _any_rows(explore.event_preview(day, FIXTURE_DAY), whole)
+
+
+def page_view_params_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 as written, any rows: checked by count and membership."""
+    day = _day_events(spark, sf_dir)
+    whole = explore.page_view_params(day, FIXTURE_DAY, n=None)
+    return _any_rows(explore.page_view_params(day, FIXTURE_DAY), whole)
+
+
 def user_value_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue, active days and purchases of every user."""
     return user_value(_window_events(spark, sf_dir))
@@ -65,6 +92,8 @@ def user_value_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "event_preview": event_preview,
     "page_view_params": page_view_params,
+    "event_preview_any": event_preview_any,
+    "page_view_params_any": page_view_params_any,
     "event_inventory": _windowed(explore.event_inventory),
     "daily_activity": _windowed(explore.daily_activity),
     "session_conversion": _windowed(explore.session_conversion),

@@ -28,25 +28,25 @@ def _preview_columns() -> list:
     ]
 
 
-def event_preview(events: DataFrame, day: str = DEFAULT_DAY, n: int = 10, ordered: bool = False) -> DataFrame:
+def event_preview(events: DataFrame, day: str = DEFAULT_DAY, n: int | None = 10, ordered: bool = False) -> DataFrame:
     """A1: ``n`` raw events of one day shard with their nested fields flattened.
 
     Any ``n`` rows, as in the source: the read stops as soon as it has them. ``ordered=True``
     reads the whole day for a reproducible preview, the smallest rows over all columns
-    (the parameters as JSON text).
+    (the parameters as JSON text). ``n=None``: every row of the day.
     """
     rows = single_day(events, day).select(*_preview_columns())
     if ordered:
         params = F.to_json("event_params", {"ignoreNullFields": "false"})
         rows = rows.orderBy(*[F.asc_nulls_first(c) for c in rows.columns if c != "event_params"], params.asc_nulls_first())
-    return rows.limit(n)
+    return rows if n is None else rows.limit(n)
 
 
 def page_view_params(
-    events: DataFrame, day: str = DEFAULT_DAY, n: int = 20, ordered: bool = False, strict: bool = False
+    events: DataFrame, day: str = DEFAULT_DAY, n: int | None = 20, ordered: bool = False, strict: bool = False
 ) -> DataFrame:
     """A2: page_view events of one day with three parameters pulled out of the array; any
-    ``n`` of them, or with ``ordered=True`` the smallest. ``strict=True`` raises on a
+    ``n`` of them (``None``: all), or with ``ordered=True`` the smallest. ``strict=True`` raises on a
     repeated parameter."""
     rows = (
         single_day(events, day)
@@ -63,7 +63,8 @@ def page_view_params(
     )
     if ordered:
         rows = rows.orderBy(*[F.asc_nulls_first(c) for c in rows.columns])
-    return rows.limit(n).drop("event_timestamp")
+    rows = rows if n is None else rows.limit(n)
+    return rows.drop("event_timestamp")
 
 
 def event_inventory(

@@ -12,7 +12,7 @@ from webevents.functions.dates import days_between, event_day, week_of
 from webevents.functions.ratios import money, money_sum, safe_pct, safe_ratio
 from webevents.functions.stages import funnel_stage
 from webevents.operators.funnel import event_is, has_step, step_mask
-from webevents.operators.users import first_touch_label, user_event_counts
+from webevents.operators.users import first_label, label_code, user_event_counts
 from webevents.operators.window import date_window
 from webevents.plans.defaults import DEFAULT_AS_OF, DEFAULT_END, DEFAULT_START
 
@@ -43,7 +43,7 @@ def weekly_growth(
         F.count_if(has_user & has_step("_steps", 0)).alias("new_sessions"),
         F.count_if(has_user & has_step("_steps", 1)).alias("new_users"),
         F.count_if(has_user & has_step("_steps", 2)).alias("converting_users"),
-        money(F.sum("_rev")).alias("revenue"),
+        money(money_sum("_rev")).alias("revenue"),
     )
     # one row per week: an unpartitioned window over a result bounded by the
     # number of weeks in the window
@@ -76,22 +76,29 @@ def ltv_by_channel(
     keeps its channel row but contributes no user and no revenue, as the unmatched
     join row does in the source.
     """
+    code = label_code(event_is("first_visit"), channel5(), CHANNEL5_LABELS)
     per_user = (
         date_window(events, start, end)
+        .select(
+            USER, "event_timestamp", code.alias("_code"), event_is("purchase").alias("_bought"),
+            F.col("ecommerce.purchase_revenue").alias("_revenue"),
+        )
+        # an event that is no first visit, no purchase and earns nothing adds nothing
+        .filter(F.col("_code").isNotNull() | F.col("_bought") | F.col("_revenue").isNotNull())
         .groupBy(USER)
         .agg(
-            first_touch_label(event_is("first_visit"), channel5(), CHANNEL5_LABELS).alias("first_channel"),
-            F.max(event_is("first_visit")).alias("_has_fv"),
-            money(money_sum("ecommerce.purchase_revenue")).alias("total_revenue"),
-            F.count_if(event_is("purchase")).alias("total_purchases"),
+            first_label(F.col("_code"), CHANNEL5_LABELS).alias("first_channel"),
+            F.count("_code").alias("_visits"),
+            money(money_sum("_revenue")).alias("total_revenue"),
+            F.count_if("_bought").alias("total_purchases"),
         )
-        .filter(F.col("_has_fv"))
+        .filter(F.col("_visits") > 0)
     )
     has_user = F.col(USER).isNotNull()
     revenue = F.when(has_user, F.col("total_revenue"))
     paying = F.count_if(has_user & (F.col("total_purchases") > 0))
     users = F.count(USER)
-    channel_revenue = money_sum(revenue)  # of cents: rounding takes off the sum's last bits only
+    channel_revenue = money_sum(revenue)
     return (
         per_user.groupBy("first_channel")
         .agg(

@@ -16,12 +16,19 @@ from webevents.sources.schema import EVENT_SCHEMA, SUFFIX_COLUMN
 
 def read_events(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     start: str | None = None,
     end: str | None = None,
+    base: str | None = None,
 ) -> DataFrame:
-    """Event table at ``path``, optionally narrowed to suffixes ``start..end``."""
-    events = spark.read.schema(EVENT_SCHEMA).parquet(path)
+    """Event table at ``path``, optionally narrowed to suffixes ``start..end``.
+
+    A table of several folders of day shards (batches) names them all, and the folder
+    ``base`` above them."""
+    reader = spark.read.schema(EVENT_SCHEMA)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    events = reader.parquet(*([path] if isinstance(path, str) else path)).select(*EVENT_SCHEMA.names)
     if start is not None:
         events = events.filter(F.col(SUFFIX_COLUMN) >= F.lit(start))
     if end is not None:

@@ -91,14 +91,16 @@ def fixture_events(
     sf_dir: str,
     start: str | None = None,
     end: str | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """Nested event table over ``{sf_dir}/events.parquet`` (plus customer and nation).
+    """Nested event table over ``{sf_dir}/events.parquet`` (plus customer and nation), or over some
+    ``files`` of its events.
 
     ``start``/``end`` ('YYYYMMDD', inclusive) become a range on the raw ``ts`` column,
     which the Parquet scan receives as pushed filters -- the flat-layout equivalent of
     pruning day shards. Analyses still apply their own suffix window on top.
     """
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = spark.read.parquet(*(files or [f"{sf_dir}/events.parquet"]))
     day, ts = dt.timedelta(days=1), F.col("ts")
     moved = (ts >= _midnight(EMPTY_WEEK[0])) & (ts < _midnight(EMPTY_WEEK[1] + day))
     staying, moving = ~moved, moved
@@ -235,7 +237,6 @@ def fixture_events(
     return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
 
 
-FIXTURE_INPUTS = ("events", "customer", "nation")
 # bump when the mapping changes, so an older derived table is never reused
 MAPPING_VERSION = 6
 
@@ -247,80 +248,111 @@ def assert_unique(table: DataFrame, key: str) -> None:
         raise ValueError(f"{key} {twice[0]} occurs {twice[1]} times; it must be unique")
 
 
-def _file_states(spark: SparkSession, path: str) -> list[str]:
-    """Path, length and modification time of every file under ``path``, whatever its store."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files, states = system.listFiles(hadoop, True), []
-    while files.hasNext():
-        f = files.next()
-        states.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
-    return sorted(states)
+def _file_states(spark: SparkSession, path: str) -> dict[str, str]:
+    """Path and state (a hash of path, length and modification time) of every file under ``path``,
+    whatever its store; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    state = F.sha1(F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")))
+    return {r["path"]: r["state"] for r in files.select("path", state.alias("state")).collect()}
 
 
-def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
-    """Identify the inputs by the paths, lengths and modification times of their files, and
-    the mapping by its version."""
-    parts = [f"v{MAPPING_VERSION}", sf_dir]
-    for name in FIXTURE_INPUTS:
-        parts += _file_states(spark, f"{sf_dir}/{name}.parquet")
+def _dimensions_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Identify the mapping's version and the tables that every event is joined to."""
+    parts = [f"v{MAPPING_VERSION}"]
+    for name in ("customer", "nation"):
+        parts += sorted(_file_states(spark, f"{sf_dir}/{name}.parquet").values())
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 # what this Spark application has found published, and one lock per table so that
 # concurrent callers in one process write it once
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple[str, ...], list[str]] = {}
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
+_BATCH = "batch string, first string, last string, files array<string>"
+FIRST, LAST = "00000000", "99999999"  # an open range of days
 
 
-def _published(spark: SparkSession, folder: str) -> str | None:
-    """The attempt to read below ``folder``: of all that were finished the first by name."""
+def _published(spark: SparkSession, folder: str, start: str, end: str, wanted: set[str]) -> tuple[list[str], set[str]]:
+    """Published batches below ``folder`` that hold the days ``start..end`` of ``wanted`` files (states) and of no
+    others, no file twice, and the files that none of them holds."""
     try:
-        name = spark.read.schema("attempt string").json(f"{folder}/published/*").agg(F.min("attempt")).first()[0]
+        rows = spark.read.schema(_BATCH).json(f"{folder}/published/*").collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return f"{folder}/{name}" if name else None
-
-
-def nested_event_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> str:
-    """Path of the day-sharded nested event table derived from ``sf_dir`` for the days ``start..end``.
-
-    Only these days are derived, once, into the session's shared checkpoint folder; later
-    analyses read them like the production table. Every attempt writes a folder of its own
-    and is published by one small file once it is whole, so readers never see a
-    table in the making, and of two applications that derive at once both end with the same.
+        rows = []
+    chosen, missing = [], set(wanted)
+    # the same choice in every application: exact days before wider ones, many files before few, then by name
+    for r in sorted(rows, key=lambda r: ((r["first"], r["last"]) != (start, end), -len(r["files"]), r["batch"])):
+        if r["first"] <= start and r["last"] >= end and missing.issuperset(r["files"]):
+            chosen.append(r["batch"])
+            missing -= set(r["files"])
+    return sorted(chosen), missing
+
+
+def _publish(spark: SparkSession, folder: str, first: str, last: str, files: set[str], events: DataFrame) -> None:
+    """Write a batch whole, then the row that makes it part of the table."""
+    batch = uuid.uuid4().hex
+    write_events(events, f"{folder}/batch={batch}")
+    row = spark.createDataFrame([(batch, first, last, sorted(files))], _BATCH).coalesce(1)
+    row.write.json(f"{folder}/published/{batch}")
+
+
+def nested_event_batches(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> tuple[str, list[str]]:
+    """Folder of the nested event table derived from ``sf_dir``, and its batches that hold the days ``start..end``.
+
+    The table lies in the session's shared checkpoint folder as ``batch=.../table_suffix=YYYYMMDD``. A batch holds
+    what some input files give for a range of days, and is known by their states: files
+    that come later are derived into a batch of their own, which leaves the days of all others alone; a
+    replaced file makes only its own batch be derived again. Only the days asked for are derived, unless a
+    published batch holds more. An attempt is published by one small file once it is
+    whole, so readers never see a table in the making, and of two applications that derive at once
+    both end with the same.
     """
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_input_stamp(spark, sf_dir)}/{start or 'first'}-{end or 'last'}"
-    key = (session_id(spark), folder)
+    states = _file_states(spark, f"{sf_dir}/events.parquet")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_dimensions_stamp(spark, sf_dir)}"
+    first, last = start or FIRST, end or LAST
+    key = (session_id(spark), folder, first, last, *sorted(states.values()))
     with _LOCKS_GUARD:
         lock = _LOCKS.setdefault(folder, threading.Lock())
     with lock:
         if key not in _PUBLISHED:
-            path = _published(spark, folder)
-            if path is None:
-                for name, unique in (("customer", "c_custkey"), ("nation", "n_nationkey")):
-                    assert_unique(spark.read.parquet(f"{sf_dir}/{name}.parquet"), unique)
-                attempt = f"attempt-{uuid.uuid4().hex}"
-                write_events(fixture_events(spark, sf_dir, start, end), f"{folder}/{attempt}")
-                row = spark.createDataFrame([(attempt,)], "attempt string").coalesce(1)
-                row.write.json(f"{folder}/published/{attempt}")
-                path = _published(spark, folder)
-            _PUBLISHED[key] = path
-    return _PUBLISHED[key]
-
-
-# a published table never changes, so one resolved relation (whose file listing is done
+            batches, missing = _published(spark, folder, first, last, set(states.values()))
+            if missing:
+                if not batches:
+                    for name, unique in (("customer", "c_custkey"), ("nation", "n_nationkey")):
+                        assert_unique(spark.read.parquet(f"{sf_dir}/{name}.parquet"), unique)
+                files = None if missing == set(states.values()) else sorted(p for p, s in states.items() if s in missing)
+                _publish(spark, folder, first, last, missing, fixture_events(spark, sf_dir, start, end, files))
+                batches, _ = _published(spark, folder, first, last, set(states.values()))
+            _PUBLISHED[key] = batches
+    return folder, _PUBLISHED[key]
+
+
+# a published batch never changes, so one resolved relation (whose file listing is done
 # when it is created) serves every analysis of the application
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, ...], DataFrame] = {}
 
 
 def fixture_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """The derived nested table of ``sf_dir`` for the suffixes ``start..end``."""
-    path = nested_event_table(spark, sf_dir, start, end)
-    key = (session_id(spark), path)
+    folder, batches = nested_event_batches(spark, sf_dir, start, end)
+    key = (session_id(spark), folder, start or "", end or "", *batches)
     if key not in _RELATIONS:
-        _RELATIONS[key] = read_events(spark, path)
+        _RELATIONS[key] = read_events(spark, [f"{folder}/batch={b}" for b in batches], start, end, base=folder)
     return _RELATIONS[key]
+
+
+def nested_event_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> str:
+    """Path of the derived table as one folder of day shards; if it consists of several batches, these are first
+    written together as one, which later readers prefer."""
+    folder, batches = nested_event_batches(spark, sf_dir, start, end)
+    if len(batches) > 1:
+        _publish(
+            spark, folder, start or FIRST, end or LAST, set(_file_states(spark, f"{sf_dir}/events.parquet").values()),
+            fixture_table(spark, sf_dir, start, end),
+        )
+        _PUBLISHED.clear()
+        _, batches = nested_event_batches(spark, sf_dir, start, end)
+    return f"{folder}/batch={batches[0]}"
