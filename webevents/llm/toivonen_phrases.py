@@ -3,13 +3,14 @@
 A sample of the documents, mined level by level with a lowered least count, proposes phrases. One full pass
 then counts every word, every proposed phrase and the proposal's negative border: the phrases
 that were not proposed although both parts one word shorter were. A border phrase that turns out frequent is
-a failure of the sample; further full passes count what such phrases may extend to, until none
-is found. The outcome is exact for any sample: a frequent phrase has frequent parts, so it is
-counted at the latest in the pass after both are known.
+a failure of the sample; a further pass counts every phrase of frequent words that such a failure lies in. That
+closes the count, for any sample: of a frequent phrase that the first pass didn't count, the shortest part
+that is frequent and not proposed has all its own parts proposed, so it is a failure of the border.
 
-Whether a phrase was proposed is asked of a hash filter of bounded size; a phrase it wrongly holds
-is counted for nothing and dropped by its count. Counts are combined per block of text, per task
-and then by phrase, so a phrase that every document holds is one row per task.
+Most of the border is rare, so these passes count 64-bit hashes of phrases, which can only count too much; a
+last pass counts the few phrases that are left by their text. Whether a phrase is known is asked of a filter
+of bounded size, which can only know too many. Counts are combined per block of text (8 MB) before their
+shuffle, so a phrase that every document holds is one row per block.
 
 Defined results: a null text has no words; a null ``lang`` is ``und``; repeated rows count each time;
 a row's id and its other columns don't matter; no rows give no rows.
@@ -17,8 +18,7 @@ a row's id and its other columns don't matter; no rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from webevents.llm.common import batch_of, global_rank, stored
 
 LONGEST = 4  # words in a phrase
 SHARE = 8  # one document of so many is in the sample
-LOWERED = 0.5  # of the count to be expected in the sample
+LOWERED = 0.8  # of the count to be expected in the sample
 BLOCK_BYTES = 1 << 23  # text whose words are numbered and counted at a time
 FILTER_BITS = 1 << 26  # at most; 8 MB
 BITS_EACH = 32
@@ -43,16 +43,14 @@ _TABLE = bytes.maketrans(
 )
 _BREAK = "\n"
 _SPACE = pa.scalar(" ", pa.large_string())
-COUNTS = "lang string, k int, phrase string, n long"
-_SCHEMA = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.large_string()), ("n", pa.int64())])
-
-
-def _seed(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode())
+KEYED = "key long, n long"
+NAMED = "lang string, k int, phrase string, n long"
+_KEYED = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+_NAMED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.large_string()), ("n", pa.int64())])
 
 
 def _word_hashes(words: list, lang: str) -> np.ndarray:
-    seed = _seed(lang)
+    seed = xxhash.xxh64_intdigest(lang.encode())
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
@@ -61,52 +59,54 @@ def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return prefix * np.uint64(0x9E3779B97F4A7C15) + word
 
 
+def _keys(hashes: np.ndarray, k: int) -> np.ndarray:
+    """62 bits of the hash, and the number of words less one."""
+    h = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))) & ~np.uint64(3) | np.uint64(k - 1)
+
+
+def words_in(key: Column) -> Column:
+    """Number of words of a key's phrase."""
+    return key.bitwiseAND(F.lit(3)) + 1
+
+
 class Held:
-    """A set of phrases as a hash filter: never denies a phrase it holds."""
+    """A set of keys as a filter: never denies one it holds."""
 
     def __init__(self, slots: np.ndarray):
         self.slots = slots
 
     @staticmethod
-    def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        h = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
+    def places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         mask = np.uint64(bits - 1)
-        return h & mask, (h >> np.uint64(29)) & mask
+        return keys >> np.uint64(2) & mask, (keys * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(29)) & mask
 
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
-        for at in self.places(hashes, 64 * len(self.slots)):
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for at in self.places(keys, 64 * len(self.slots)):
             out &= (self.slots[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return out
 
 
-def held(phrases: DataFrame) -> Held:
-    """The filter of ``phrases`` (lang, phrase): set bits meet in Spark, at most ``FILTER_BITS`` reach the driver."""
-    entries = phrases.count()
+def held(keys: DataFrame) -> Held:
+    """The filter of ``keys`` (key): set bits meet in Spark, at most ``FILTER_BITS`` reach the driver."""
+    entries = keys.count()
     bits = 1 << 10
     while bits < min(entries * BITS_EACH, FILTER_BITS):
         bits *= 2
 
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, of_lang in _by_lang(batch.column(0), batch.column(1)):
-                hashes = []
-                for phrase in of_lang.to_pylist():
-                    words = _word_hashes(phrase.split(" "), lang)
-                    hashes.append(reduce(_longer, words[1:].reshape(-1, 1), words[:1])[0])
-                at = np.unique(np.concatenate(Held.places(np.array(hashes, np.uint64), bits)))
+            if batch.num_rows:
+                own = batch.column(0).to_numpy().view(np.uint64)
+                at = np.unique(np.concatenate(Held.places(own, bits)))
                 slot, first = np.unique(at >> np.uint64(6), return_index=True)
-                if len(at):
-                    value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-                    yield batch_of(pa.schema([("slot", pa.int64()), ("bits", pa.int64())]), slot.astype(np.int64), value.view(np.int64))
+                value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                yield batch_of(pa.schema([("slot", pa.int64()), ("bits", pa.int64())]), slot.astype(np.int64), value.view(np.int64))
 
-    with_bits = (
-        phrases.select("lang", "phrase").mapInArrow(set_bits, "slot long, bits long")
-        .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    )
+    found = keys.select("key").mapInArrow(set_bits, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     slots = np.zeros(bits // 64, np.uint64)
-    slots[with_bits["slot"].to_numpy()] = with_bits["bits"].to_numpy().view(np.uint64)
+    slots[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return Held(slots)
 
 
@@ -125,51 +125,70 @@ def _numbered(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.large_string())
 
 
-def _count_block(texts: list[bytes], lang: str, levels: range, known: Held | None, fresh: Held | None) -> Iterator[tuple]:
-    """(k, phrases, counts) of one language's texts; ``levels``, ``known`` and ``fresh`` as in ``count_phrases``."""
+def _key_counts(
+    texts: list[bytes], lang: str, levels: range, known: Callable, fresh: Callable | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of one language's texts, level by level, as ``count_keys`` has it."""
     codes, words = _numbered(texts)
     if not len(codes):
         return
     real = pc.not_equal(words, _BREAK).to_numpy(zero_copy_only=False)
-    if 1 in levels:
-        n = np.bincount(codes, minlength=len(words))
-        yield 0, pa.array([""], pa.large_string()), np.array([n[real].sum()])
-        yield 1, words.filter(pa.array(real)), n[real]
-    if levels[-1] < 2:
-        return
     word_hash = _word_hashes(words.to_pylist(), lang)
-    # a phrase of k words: its number at every place where it begins, else -1; its text, hash and last word
-    phrases, hashes, last = words, word_hash, np.arange(len(words))
-    holds = real & known(hashes)
+    keys = _keys(word_hash, 1)
+    if 1 in levels:
+        yield keys[real], np.bincount(codes, minlength=len(words))[real]
+    # for every place: the hash of the phrase that begins there, and whether it may be part of a longer one
+    hashes, last_word = word_hash[codes], word_hash[codes]
+    part = known_word = (real & known(keys))[codes]
+    holds_fresh = None if fresh is None else (real & fresh(keys))[codes]
     for k in range(2, levels[-1] + 1):
-        codes = np.where((codes >= 0) & holds[codes], codes, -1)
-        at = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
-        if not len(at):
-            return
-        pairs, which, n = np.unique(codes[at] * len(phrases) + codes[at + 1], return_inverse=True, return_counts=True)
-        first, rest = np.divmod(pairs, len(phrases))
-        longer, final = _longer(hashes[first], word_hash[last[rest]]), last[rest]
-        counts = np.full(len(pairs), k in levels)
+        hashes = _longer(hashes[:-1], last_word[k - 1 :])
+        at = np.flatnonzero(part[:-1] & (part[1:] if fresh is None else known_word[k - 1 :]))
+        keys = _keys(hashes[at], k)
+        told = np.ones(len(at), bool)
         if fresh is not None:
-            recent = fresh(hashes)
-            counts &= recent[first] | recent[rest]
-        goes_on = known(longer) if k < levels[-1] else np.zeros(len(pairs), bool)
-        stays = np.flatnonzero(counts | goes_on)
-        phrases = pc.binary_join_element_wise(phrases.take(pa.array(first[stays])), words.take(pa.array(final[stays])), _SPACE)
-        if counts.any():
-            told = counts[stays]
-            yield k, phrases.filter(pa.array(told)), n[stays][told]
-        number = np.full(len(pairs), -1)
-        number[stays] = np.arange(len(stays))
-        codes = np.full(len(codes) - 1, -1)
-        codes[at] = number[which]
-        hashes, last, holds = longer[stays], final[stays], goes_on[stays]
-        if not len(stays):
-            return
+            told = holds_fresh[:-1][at] | holds_fresh[1:][at] | fresh(keys)
+            holds_fresh = np.zeros(len(hashes), bool)
+            holds_fresh[at[told]] = True
+        if k in levels:
+            yield np.unique(keys[told], return_counts=True)
+        part = np.zeros(len(hashes), bool)
+        part[at if fresh is not None else at[known(keys)]] = True
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
-    """Texts by language, about ``BLOCK_BYTES`` of them at a time and one text at least."""
+def _named_counts(texts: list[bytes], lang: str, chosen: Held) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of the phrases of one language's texts that ``chosen`` holds, after k = 0 and all words."""
+    codes, words = _numbered(texts)
+    if not len(codes):
+        return
+    real = pc.not_equal(words, _BREAK).to_numpy(zero_copy_only=False)
+    n = np.bincount(codes, minlength=len(words))
+    yield 0, pa.array([""], pa.large_string()), np.array([n[real].sum()])
+    word_hash = _word_hashes(words.to_pylist(), lang)
+    # phrases of k words: text, hash, last word; the places where one begins, and which
+    phrases, hashes, last = words, word_hash, np.arange(len(words))
+    at, which, n_places = np.arange(len(codes)), codes, len(codes)
+    stays = np.flatnonzero(real & chosen(_keys(word_hash, 1)))
+    for k in range(1, LONGEST + 1):
+        new = np.full(len(hashes), -1)
+        new[stays] = np.arange(len(stays))
+        phrases, hashes, last, n = phrases.take(pa.array(stays)), hashes[stays], last[stays], n[stays]
+        yield k, phrases, n
+        if k == LONGEST or not len(stays):
+            return
+        number = np.full(n_places, -1)  # at every place
+        number[at] = new[which]
+        at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
+        pairs, which, n = np.unique(number[at] * len(stays) + number[at + 1], return_inverse=True, return_counts=True)
+        n_places -= 1
+        first, rest = np.divmod(pairs, len(stays))
+        last, hashes = last[rest], _longer(hashes[first], word_hash[last[rest]])
+        phrases = pc.binary_join_element_wise(phrases.take(pa.array(first)), words.take(pa.array(last)), _SPACE)
+        stays = np.flatnonzero(chosen(_keys(hashes, k + 1)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list[bytes]]]:
+    """Language and texts, about ``most`` bytes of texts at a time and one text at least."""
     block, size = {}, 0
     for batch in batches:
         for lang, texts in _by_lang(batch.column(0), batch.column(1)):
@@ -177,45 +196,59 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]
                 text = text.as_py()
                 block.setdefault(lang, []).append(text)
                 size += len(text)
-                if size >= BLOCK_BYTES:
-                    yield block
+                if size >= most:
+                    yield from block.items()
                     block, size = {}, 0
-    if block:
-        yield block
+    yield from block.items()
 
 
-def count_phrases(texts: DataFrame, levels: range, known: Held | None = None, fresh: Held | None = None) -> DataFrame:
-    """(lang, k, phrase, n) of ``texts`` (lang, text): how often each phrase occurs, exact for those it counts.
+def _all(keys: np.ndarray) -> np.ndarray:
+    return np.ones(len(keys), bool)
 
-    Counted are phrases of ``levels`` words: all words, and longer phrases both of whose parts one word shorter
-    ``known`` holds and, where ``fresh`` is given, one of which that holds. With the words comes a row of
-    k = 0, the number of all words of the language.
-    """
+
+def count_keys(texts: DataFrame, levels: range, known: Held | None = None, fresh: Held | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, n): how often the phrases of ``levels`` words occur in ``texts`` (lang, text), never less than that.
+
+    Counted are all words, and longer phrases both of whose parts one word shorter ``known`` holds (None: all).
+    With ``fresh``, instead the phrases of known words that ``fresh`` holds or that contain one which it holds."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            for lang, of_lang in block.items():
-                for k, phrases, n in _count_block(of_lang, lang, levels, known, fresh):
-                    yield batch_of(_SCHEMA, pa.repeat(lang, len(n)), np.full(len(n), k), phrases, n)
+        for lang, block in _blocks(batches, block_bytes):
+            for keys, n in _key_counts(block, lang, levels, known or _all, fresh):
+                yield batch_of(_KEYED, keys.view(np.int64), n)
 
-    return texts.mapInArrow(count, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    # a block's counts hardly meet again in their task, so they go to their key's task as they are: a
+    # frequent phrase is a row per block there
+    return texts.mapInArrow(count, KEYED).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def mine_sample(sample: DataFrame, least: int) -> DataFrame:
-    """Phrases that occur ``least`` times in ``sample``, level by level."""
-    levels, known = [], None
-    for k in range(1, LONGEST + 1):
-        # the filter of all levels so far: a phrase is counted where both parts are frequent
-        found = count_phrases(sample, range(k, k + 1), known).where((F.col("k") == k) & (F.col("n") >= least))
-        levels.append(stored(found, "phrases-sample"))
-        if levels[-1].isEmpty():
+def count_named(texts: DataFrame, chosen: Held, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(lang, k, phrase, n): how often each phrase that ``chosen`` holds occurs, exactly, and as k = 0 the number of
+    all words of a language. ``chosen`` holds the parts of what it holds."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, block in _blocks(batches, block_bytes):
+            for k, phrases, n in _named_counts(block, lang, chosen):
+                yield batch_of(_NAMED, pa.repeat(lang, len(n)), np.full(len(n), k), phrases, n)
+
+    return texts.mapInArrow(count, NAMED).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+
+
+def mine_sample(sample: DataFrame, least: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, n) of phrases that occur ``least`` times in ``sample``: words and pairs, then level by level."""
+    proposed, known = None, None
+    for levels in (range(1, 3), *(range(k, k + 1) for k in range(3, LONGEST + 1))):
+        found = stored(count_keys(sample, levels, known, block_bytes=block_bytes).where(F.col("n") >= least), "phrases-sample")
+        proposed = found if proposed is None else proposed.unionByName(found)
+        if found.isEmpty():
             break
-        known = held(reduce(DataFrame.unionByName, levels))
-    return reduce(DataFrame.unionByName, levels)
+        known = held(proposed)
+    return proposed
 
 
 def frequent_phrases(
-    docs: DataFrame, *, least: int = 30, lang: str = "lang", text: str = "text", share: int = SHARE, lowered: float = LOWERED
+    docs: DataFrame, *, least: int = 30, lang: str = "lang", text: str = "text", share: int = SHARE, lowered: float = LOWERED,
+    block_bytes: int = BLOCK_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, n) of every phrase of 1 to ``LONGEST`` words that occurs ``least`` times, and (lang, n) of all words.
 
@@ -227,23 +260,17 @@ def frequent_phrases(
     rows = rows.where(F.col("_text").isNotNull())
     texts = rows.select(F.coalesce("_lang", F.lit("und")).alias("lang"), F.col("_text").alias("text"))
     sample = rows.where(F.pmod("_hash", F.lit(share)) == 0).select(F.coalesce("_lang", F.lit("und")).alias("lang"), F.col("_text").alias("text"))
-    proposed = mine_sample(sample, max(2, round(lowered * least / share)))
-
-    words = stored(
-        count_phrases(texts, range(1, LONGEST + 1), held(proposed)).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases-counted"
-    )
-    totals = words.where("k = 0").select("lang", "n")
-    frequent = words.where("k > 0")
-    # failures of the border: frequent, but not proposed
-    fresh = stored(frequent.join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), "phrases-fresh")
-    while not fresh.where(F.col("k") < LONGEST).isEmpty():
-        more = stored(
-            count_phrases(texts, range(2, LONGEST + 1), held(frequent), held(fresh)).where(F.col("n") >= least), "phrases-counted"
-        )
-        # the filter may count a phrase again, with the same count
-        fresh = stored(more.join(frequent.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), "phrases-fresh")
-        frequent = frequent.unionByName(fresh)
-    return stored(frequent, "phrases-frequent"), totals
+    proposed = mine_sample(sample, max(2, round(lowered * least / share)), block_bytes)
+
+    counted = count_keys(texts, range(1, LONGEST + 1), held(proposed), block_bytes=block_bytes)
+    chosen = stored(counted.where(F.col("n") >= least).select("key"), "phrases-keys")
+    # failures of the border: frequent, but not proposed; what has LONGEST words is part of nothing
+    fresh = stored(chosen.join(proposed.select("key"), "key", "left_anti").where(words_in(F.col("key")) < LONGEST), "phrases-fresh")
+    if not fresh.isEmpty():
+        more = count_keys(texts, range(2, LONGEST + 1), held(chosen), held(fresh), block_bytes)
+        chosen = stored(chosen.unionByName(more.where(F.col("n") >= least).select("key")), "phrases-keys")
+    named = stored(count_named(texts, held(chosen), block_bytes).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases-frequent")
+    return named.where("k > 0"), named.where("k = 0").select("lang", "n")
 
 
 def _words(phrase: Column, start: Column, length: Column) -> Column:
