@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import string
 from collections import Counter, defaultdict
@@ -139,3 +140,65 @@ def tiktoken_encoding(name="byte_bpe_multi_50k.tiktoken"):
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def secret_spans(text, rules):
+    """Spans (start, order, end, kind) of every rule's matches."""
+    out = []
+    for n, r in enumerate(rules):
+        for m in re.finditer(r.pattern, text or ""):
+            if len(m.group(r.group)) >= r.least:
+                out.append((m.start(), n, m.end(), r.kind))
+    return sorted(out)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked_search(docs, items, k):
+    """(item_id, rank, doc_id, score) from (id, text) rows on both sides."""
+    terms = [Counter(TERM.findall((t or "").translate(LOWER))) for _, t in docs]
+    total = [sum(c.values()) for c in terms]
+    n_docs, n_terms = sum(n > 0 for n in total), sum(total)
+    df = Counter(t for c in terms for t in c)
+    out = []
+    for item_id, text in set(items):
+        scores = []
+        for (doc_id, _), c, n in zip(docs, terms, total):
+            score = 0
+            for t, times in Counter(TERM.findall((text or "").translate(LOWER))).items():
+                if c[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += times * w * (1_000_000_000 * c[t] // (1000 * c[t] + 12 * (75 + 25 * n * n_docs // n_terms)))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        out += [(item_id, i + 1, d, -s) for i, (s, _, d) in enumerate(sorted(scores, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return out
+
+
+def collocations(docs, least, top=2000):
+    """(lang, rank, phrase, k, a, l, r, n, score) from (lang, text) rows."""
+    counts, total = Counter(), Counter()
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
+            words = [w for w in re.split(r"[ \t]", piece) if w]
+            total[lang or "und"] += len(words)
+            for k in range(1, 5):
+                counts.update((lang or "und", tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    candidates = {p: f for p, f in counts.items() if f >= least and len(p[1]) > 1}
+    dropped = set()
+    for (lang, p), f in candidates.items():
+        for size in range(2, len(p)):
+            for i in range(len(p) - size + 1):
+                sub = lang, p[i : i + size]
+                if 100 * f >= 80 * counts[sub]:
+                    dropped.add(sub)
+    rows = defaultdict(list)
+    for (lang, p), a in candidates.items():
+        if (lang, p) not in dropped:
+            score, cut = min((2_000_000 * a // (counts[lang, p[:c]] + counts[lang, p[c:]]), c) for c in range(1, len(p)))
+            rows[lang].append((-score, -a, " ".join(p).encode(), len(p), counts[lang, p[:cut]], counts[lang, p[cut:]]))
+    return [
+        (lang, i + 1, p.decode(), k, -a, l, r, total[lang], -score)
+        for lang, own in rows.items() for i, (score, a, p, k, l, r) in enumerate(sorted(own)[:top])
+    ]

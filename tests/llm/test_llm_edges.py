@@ -25,6 +25,7 @@ def document_rows():
         (27, PROSE + clean[4], "en", "é", 8), (28, PROSE + clean[5], "en", "", 9), (None, clean[6], "en", "src1", 10),
         (None, None, None, None, None), (1, clean[1], "en", "src1", len(clean[1])), (1, clean[1], "en", "src1", len(clean[1])),
         (29, "<|endoftext|> \U0001f600 \x00 \x1c", "en", "src4", 3), (-5, clean[7], "en", "src1", 1),
+        (30, "alpha beta gamma. " * 40, None, "src4", 1), (31, 'token = "abcdef0123456789abcdef0123"', "en", "src4", 1),
     ]
     return rows
 
@@ -33,6 +34,8 @@ TABLES = {
     "documents": (DOCS, document_rows()),
     "labels": ("doc_id long, quality int, toxic int",
                [(i, int(i % 4 > 0), 0) for i in range(10)] + [(1, 0, None), (None, 1, 0), (3, None, 1), (99, 0, 0)]),
+    "benchmark": ("item_id long, text string",
+                  [(1, "the quick brown fox"), (2, None), (3, ""), (4, "nowhere to be found"), (None, "word1x1 ALPHA"), (1, "the quick brown fox")]),
     "embeddings": ("vec_id long, embedding array<float>, label int",
                    [(i, [float(i % 7), 1.0, float(i % 3)], 1) for i in range(60)]
                    + [(60, None, 1), (80, [], None), (100, [0.0] * 3, 1), (120, [None, 1.0, 1.0], 1), (None, [1.0] * 3, 1), (0, [0.0, 1.0, 0.0], 1)]),
@@ -87,6 +90,11 @@ def test_odd_rows_have_results(spark, odd, name):
     _, rows = result(spark, name, odd)
     if name == "op9_multiprobe":
         assert {r["query_id"] for r in rows} == {0, 20, 40} and len(rows) == 60
+    elif name == "op12_treap_search":
+        assert {r["item_id"] for r in rows} == {1, None} and max(r["rank"] for r in rows) == 3
+        assert [r["doc_id"] for r in rows if r["item_id"] is None] == [30, 23]
+    elif name == "op13_toivonen_phrases":
+        assert [tuple(r) for r in rows] == [("und", 1, "alpha beta gamma", 40, 40, 40, 191, 1_000_000)]
     else:
         assert len(rows) == len(TABLES[table_of(name)][1])
 

@@ -1,0 +1,192 @@
+"""Blob ledger, treap search and phrase mining against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from dataclasses import replace
+
+import brute_corpus as brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from webevents.llm import blob_ledger, toivonen_phrases, treap_search
+
+SECRETS = (
+    'password = "hunter22"', "TOKEN:abcdef", "api_key=ab", "apikey: 'x/y+z=.-_9'", "Secret:=", "token=token:abcdefg", "passwd  :  =abcdef",
+    "AKIA" + "A1" * 8, "AKIAAKIA" + "B" * 13, "AKIA" + "Q" * 15, "deadbeef" * 3, "0" * 23, "f" * 60, "ABCDEF" * 5,
+    "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "aB3" * 12, "xoxb-1234567890-abc", "eyJ" + "a" * 9 + ".eyJ" + "b" * 9 + "." + "c" * 9,
+)
+
+
+def texts_with_secrets(n, seed):
+    rng = random.Random(seed)
+    filler = ("lorem", "\U0001f600", "é", "\n", "token", "=", '"', " ", "a", ":", "\x00")
+    return ["".join(rng.choice(SECRETS + filler * 2) for _ in range(rng.randrange(40))) for _ in range(n)]
+
+
+def test_findings_against_brute_force(spark):
+    texts = texts_with_secrets(300, 1) + [None, "", None] + texts_with_secrets(40, 1)
+    rows = [(i % 290 if i % 11 else None, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = blob_ledger.op11_blob_ledger(docs).collect()
+
+    def digest(text):
+        spans = brute.secret_spans(text, blob_ledger.RULES)
+        said = [f"{kind}:{a}:{b}" for a, _, b, kind in spans]
+        base = ",".join(s for s, (_, n, _, _) in zip(said, spans) if n < 3)
+        return *(sum(n == i for _, n, _, _ in spans) for i in range(3)), hashlib.sha256(base.encode()).hexdigest(), ",".join(said)
+
+    assert sorted(map(repr, (tuple(r) for r in found))) == sorted(repr((i, *digest(t))) for i, t in rows)
+    assert sum(r["n_assign"] > 0 for r in found) > 50 and any("jwt" in r["spans"] for r in found)
+
+
+def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, tmp_path):
+    first = spark.createDataFrame([("a", 1, "token = abcdef"), ("b", 1, "token = abcdef"), ("c", 1, "clean")], "path string, commit int, text string")
+    base = blob_ledger.BASE
+    ledger = lambda: spark.read.schema(blob_ledger.LEDGER).parquet(str(tmp_path / "ledger"))
+
+    def scan(versions, rules, known=True):
+        new = blob_ledger.scan_unseen(versions, ledger() if known else None, rules=rules).collect()
+        spark.createDataFrame(new, blob_ledger.LEDGER).write.mode("append").parquet(str(tmp_path / "ledger"))
+        return sorted((r["kind"], r["version"], len(r["spans"])) for r in new)
+
+    assert scan(first, base, known=False) == [("access", 1, 0)] * 2 + [("assign", 1, 0), ("assign", 1, 1)] + [("hex", 1, 0)] * 2
+    # a path's new version, the same history again, and a path that returns to an old text
+    second = first.unionByName(spark.createDataFrame([("c", 2, "f" * 24), ("d", 2, "clean"), ("a", 2, None)], first.schema))
+    assert scan(second, base) == [("access", 1, 0)] * 2 + [("assign", 1, 0)] * 2 + [("hex", 1, 0), ("hex", 1, 1)]
+    assert scan(second, base) == []
+    # a new wording of one rule, and a new rule: the pairs of these alone
+    changed = (*base[:2], replace(base[2], version=2, pattern="[0-9a-f]{25,}"), blob_ledger.MORE[0])
+    assert scan(second, changed) == [("hex", 2, 0)] * 4 + [("pem", 1, 0)] * 4
+    rows = blob_ledger.findings(second, ledger().unionByName(ledger()), path="path", rules=base).collect()
+    assert sorted(map(tuple, rows)) == [("a", "assign", 0, 14, "token = abcdef"), ("b", "assign", 0, 14, "token = abcdef"), ("c", "hex", 0, 24, "f" * 24)]
+    assert [tuple(r)[:2] for r in blob_ledger.findings(second, ledger(), path="path", rules=changed).orderBy("path").collect()] == [
+        ("a", "assign"), ("b", "assign")]
+
+
+def test_a_text_of_very_many_matches(spark):
+    text = " ".join("%024x" % i for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")
+    one = blob_ledger.op11_blob_ledger(docs).where("doc_id = 1").first()
+    assert one["n_hex"] == 60_000 and one["spans"].endswith(f"hex:{25 * 59_999}:{25 * 60_000 - 1}")
+
+
+# --- treap search ---
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_treap_holds_its_points(seed):
+    rng = np.random.default_rng(seed)
+    height = int(rng.integers(1, 8))
+    side = 1 << height
+    cells = np.unique(rng.integers(0, side * side, rng.integers(1, 300)))
+    row, column = np.divmod(cells, side)
+    impact = rng.integers(0, 50, len(cells))
+    treap = treap_search.Treap(treap_search.build_treap(row, column, impact, height), height)
+    assert treap.root == impact.max()
+    found = {}
+    for r in range(side):
+        node, most, low = np.zeros(1, np.int64), np.array([treap.root]), np.zeros(1, np.int64)
+        for level in range(height):
+            parts = []
+            for side_bit in (0, 1):
+                there, child, high = treap.child(node, most, np.full(len(node), 2 * (r >> height - 1 - level & 1) + side_bit))
+                assert (high <= most[there]).all()
+                parts.append((child, high, 2 * low[there] + side_bit))
+            node, most, low = (np.concatenate(x) for x in zip(*parts))
+        found.update({(r, int(c)): int(v) for c, v in zip(low, most)})
+    assert found == {(int(r), int(c)): int(v) for r, c, v in zip(row, column, impact)}
+
+
+def random_texts(n, seed, words=60):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(40)] + ["É", "日本", "A1", "\U0001f600", "x" * 300]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    return [rng.choice((" ", "-", "\n")).join(rng.choices(vocabulary, weights, k=rng.randrange(words))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block_bytes,parts", [(300, 3), (1 << 24, 1), (1, 2)])
+def test_search_against_brute_force(spark, block_bytes, parts):
+    docs = [(i // 2 if i % 9 else None, t) for i, t in enumerate(random_texts(160, 3))] + [(500, None), (501, ""), (502, " ;\x00")]
+    docs += [docs[5]] * 30 + [(None, docs[7][1])] * 5  # ties and repeated rows
+    items = [(i, t) for i, t in enumerate(random_texts(25, 4, 12))] + [(3, "w1 w2 w1"), (3, "w1 w2 w1"), (None, "W3"), (98, None), (99, "nowhere")]
+    found = treap_search.search(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(parts),
+        spark.createDataFrame(items, "item_id long, text string"), k=7, block_bytes=block_bytes,
+    )
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, brute.ranked_search(docs, items, 7)))
+
+
+def test_many_items_and_terms_go_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(treap_search, "ITEMS_TOGETHER", 4)
+    monkeypatch.setattr(treap_search, "TERMS_TOGETHER", 3)
+    docs, items = list(enumerate(random_texts(60, 5))), list(enumerate(random_texts(30, 6, 8)))
+    found = treap_search.search(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"),
+        k=5, block_bytes=900,
+    )
+    assert sorted(map(tuple, found.collect())) == sorted(brute.ranked_search(docs, items, 5))
+
+
+def test_files_are_checked(tmp_path):
+    path = treap_search.write_block(f"file://{tmp_path}", {"a": np.arange(5), "b": np.zeros(0, bool)}, {"height": 3})
+    arrays, about = treap_search.read_block(path)
+    assert arrays["a"].tolist() == [0, 1, 2, 3, 4] and len(arrays["b"]) == 0 and about["height"] == 3
+    assert list(treap_search.read_block(path, ("b",))[0]) == ["b"]
+    other = tmp_path / "other.k2t"
+    other.write_bytes(b"not one of these files")
+    with pytest.raises(ValueError):
+        treap_search.read_block(f"file://{other}")
+
+
+# --- phrases ---
+
+
+def phrase_texts(n, seed):
+    rng = random.Random(seed)
+    common = ("of the", "united states of america", "in spite of", "New York", "é ü", "a a a a a", "one\ttwo three four five")
+    words = [f"w{i}" for i in range(12)]
+    return [(rng.choice(("en", "de", None, "und")), "".join(rng.choice(common + tuple(words)) + rng.choice((" ", " ", ". ", "\n", ",", "  "))
+                                                              for _ in range(rng.randrange(30)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("share,lowered,block_bytes", [(1, 1.0, 1 << 23), (3, 0.5, 200), (40, 4.0, 1)])
+def test_collocations_against_brute_force(spark, share, lowered, block_bytes):
+    docs = phrase_texts(120, 8) + [("en", None), (None, ""), ("en", ".,;:!?\n\x0b\x0c\r \t"), ("fr", "x " * 50)]
+    rows = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, lang string, text string").repartition(4)
+    for least, top in ((6, 2000), (10, 5)):
+        found = toivonen_phrases.collocations(rows, least=least, top=top, share=share, lowered=lowered, block_bytes=block_bytes)
+        assert sorted(map(tuple, found.collect())) == sorted(brute.collocations(docs, least, top))
+
+
+def test_an_empty_proposal_still_finds_all(spark, monkeypatch):
+    docs = phrase_texts(60, 9)
+    rows = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, lang string, text string")
+    monkeypatch.setattr(toivonen_phrases, "mine_sample", lambda sample, *_: spark.createDataFrame([], toivonen_phrases.KEYED))
+    found = toivonen_phrases.collocations(rows, least=5)
+    assert sorted(map(tuple, found.collect())) == sorted(brute.collocations(docs, 5))
+
+
+def test_keys_and_filters_that_hold_too_much_change_nothing(spark, monkeypatch):
+    # 8 bits of hash, and filters of 64 bits: nearly everything collides
+    docs = phrase_texts(60, 10)
+    rows = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, lang string, text string")
+    monkeypatch.setattr(toivonen_phrases, "held", lambda keys: toivonen_phrases.Held(np.full(1, 2**64 - 1, np.uint64)))
+    found = toivonen_phrases.collocations(rows, least=5)
+    assert sorted(map(tuple, found.collect())) == sorted(brute.collocations(docs, 5))
+
+
+def test_filter_never_denies_what_it_holds(spark):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(-(2**63), 2**63, 3_000)
+    held = toivonen_phrases.held(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+    assert held(keys.view(np.uint64)).all()
+    assert held(rng.integers(0, 2**63, 3_000, dtype=np.uint64)).mean() < 0.05
+
+
+def test_counts_beyond_64_bits_of_product(spark):
+    big = 10**13
+    score = spark.range(1).select(F.expr(f"cast(cast(2000000 as decimal(7,0)) * cast({big}L as decimal(20,0)) div (cast({big}L as decimal(20,0)) + cast({big + 1}L as decimal(20,0))) as bigint)"))
+    assert score.first()[0] == 2_000_000 * big // (2 * big + 1)

@@ -209,7 +209,7 @@ def count_collection(texts: DataFrame) -> tuple[int, int]:
     return n or 0, terms or 0
 
 
-def build_index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, int, int]:
+def build_index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, int]:
     """(path, documents, postings) of the files, and the collection's documents and terms.
 
     No shuffle: a task cuts its own documents into blocks. Only files on the list count, so lost
@@ -219,7 +219,7 @@ def build_index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     folder = new_path(docs.sparkSession, "treap-blocks")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, block in _blocks(batches, BLOCK_BYTES):
+        for ids, block in _blocks(batches, block_bytes):
             code, document, words = _number_terms(block)
             if not len(code):
                 continue
@@ -362,7 +362,8 @@ def search_block(treap: Treap, ids: np.ndarray, null: np.ndarray, item: np.ndarr
 
 
 def search(
-    docs: DataFrame, items: DataFrame, *, k: int = K, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+    docs: DataFrame, items: DataFrame, *, k: int = K, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` documents with the highest scores above 0 for each item, ties by id.
 
@@ -370,7 +371,7 @@ def search(
     occurrences in one: w = floor(1000 ln((2N + 2) / (2 df + 1))), m = 75 + 25 n N div L, and a score sums
     w * (10^9 tf div (1000 tf + 12 m)) over the item's terms, repeats included."""
     terms = item_terms(items, item_id=item_id, text=item_text)
-    index, documents, _ = build_index(docs, doc_id=doc_id, text=text)
+    index, documents, _ = build_index(docs, doc_id=doc_id, text=text, block_bytes=block_bytes)
     counts = stored(document_counts(index, terms.select("term").distinct()), "treap-counts")
     w = F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2 * F.col("df") + 1)))
     weighted = terms.join(counts, "term").select("item_id", "text_hash", F.struct("term", (w * F.col("times")).alias("weight")).alias("term"))
