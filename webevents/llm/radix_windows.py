@@ -16,6 +16,9 @@ most significant first, and only groups of two or more go on to the next digit:
 Runs never need to be compared in pairs: a row looks at its two neighbours in the order. The
 order is made by range partitions, which cut a group of any size over as many tasks as it fills.
 
+Rows equal in id and text are one class: a class of two or more repeats wholly, which needs no look at
+its windows, and one row of it takes part in the order for the others' sake.
+
 Defined results: a null text is empty; texts shorter than ``length`` have no windows; repeated
 rows repeat each other wholly; a null id is an id like any other; other columns are not read.
 Hashes stand for content: 128 bits of it at every digit, and 64 bits beside the id for a row's whole text.
@@ -249,6 +252,7 @@ def in_order(rows: DataFrame, label: str) -> DataFrame:
             yield judge(held, before, None, part)
 
     keys = ["core", "hull", "doc", "text_hash", "place"]
+    rows = stored(rows, f"{label}-rows")  # a range partition reads its input twice; hashing the texts costs more than that
     judged = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, VERDICTS), label)
     edges = sorted(judged.where("edge > 0").collect(), key=lambda r: (r["part"], r["edge"]))  # two rows per partition at most
     edges = [r.asDict() for r in edges]
@@ -304,22 +308,59 @@ def kept_bytes(data: bytes, spans: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
 
 
+def same_class() -> Column:
+    """Condition that a row belongs to the class (``_doc``, ``_hash``) of another table."""
+    return F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+
+
 def cut_repeats(
     docs: DataFrame, result: Callable[[bytes, np.ndarray], tuple], schema: str, *, doc_id: str = "doc_id",
     text: str = "text", length: int = LENGTH,
 ) -> DataFrame:
-    """``result`` (of ``schema``) of each document's bytes and its removed spans, beside ``doc_id``.
+    """``result`` (of ``schema``) of each document's bytes and its removed spans, beside ``doc_id``."""
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).withColumn(
+        "text_hash", text_hash_column(F.coalesce("text", F.lit("")))
+    )
+    classes = rows.groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_copies"))
+    classes = stored(classes.where(F.col("_copies") > 1), "windows-classes")
+    if classes.isEmpty():
+        return cut_classes(rows, result, schema, length).select(F.col("doc").alias(doc_id), "result.*")
+    # a class's copies meet its one row in a join that adaptive execution can split
+    split = rows.join(classes, same_class(), "left")
+    copies = split.where(F.col("_copies").isNotNull()).select("doc", "text_hash", "text")
+    alone = split.where(F.col("_copies").isNull()).select("doc", "text_hash", "text")
+    others = cut_classes(alone.unionByName(copies.dropDuplicates(["doc", "text_hash"])), result, schema, length)
+    others = others.join(classes, same_class(), "left_anti").select("doc", "result")
+    names = T.StructType.fromDDL(schema).names
+    out_schema = pa.schema([("doc", pa.int64()), ("result", to_arrow_type(T.StructType.fromDDL(schema)))])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for value in batch.column(1).cast(pa.large_binary()).to_pylist():
+                data = value or b""
+                spans = np.array([[0, len(data)]] if len(data) >= length else [], dtype=np.int64).reshape(-1, 2)
+                found.append(dict(zip(names, result(data, spans))))
+            yield batch_of(out_schema, batch.column(0), pa.array(found, out_schema[1].type))
+
+    repeated = copies.select("doc", "text").mapInArrow(whole, T.StructType.fromDDL(f"doc long, result struct<{struct_fields(schema)}>"))
+    return others.unionByName(repeated).select(F.col("doc").alias(doc_id), "result.*")
+
+
+def struct_fields(schema: str) -> str:
+    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
+
+
+def cut_classes(rows: DataFrame, result: Callable[[bytes, np.ndarray], tuple], schema: str, length: int) -> DataFrame:
+    """(doc, text_hash, result) of ``rows`` (doc, text, text_hash), no two of which agree in both.
 
     The text is shuffled once; documents with open runs, which are few, are kept aside
     with their texts until the last digit."""
     spark_schema = T.StructType.fromDDL(schema)
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).withColumn(
-        "text_hash", text_hash_column(F.coalesce("text", F.lit("")))
-    )
     met = rows.join(
         listed(in_order(first_digit(rows, length), "windows-1"), last=False)
         .withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"}),
-        F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left",
+        same_class(), "left",
     ).select("doc", "text_hash", "text", "fulls", "opens")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,9 +380,8 @@ def cut_repeats(
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, settle_schema)], schema=settle_schema)
 
-    settled_ddl = "doc long, text_hash long, text string, fulls array<long>, places array<long>, owns array<boolean>, result struct<" + ", ".join(
-        f"{f.name}: {f.dataType.simpleString()}" for f in spark_schema
-    ) + ">"
+    result_ddl = f"result struct<{struct_fields(schema)}>"
+    settled_ddl = f"doc long, text_hash long, text string, fulls array<long>, places array<long>, owns array<boolean>, {result_ddl}"
     settle_schema = pa.schema([
         ("doc", pa.int64()), ("text_hash", pa.int64()), ("text", pa.string()), ("fulls", pa.list_(pa.int64())),
         ("places", pa.list_(pa.int64())), ("owns", pa.list_(pa.bool_())), ("result", to_arrow_type(spark_schema)),
@@ -359,29 +399,25 @@ def cut_repeats(
                 F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"),
                 F.col("opens.open").alias("places"), F.col("opens.own").alias("owns"),
             )
-            texts = texts.select("doc", "text_hash", "text").distinct().join(
-                again, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
-            )
+            texts = texts.select("doc", "text_hash", "text").join(again, same_class())
     extra = extra.groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash")).agg(
         F.flatten(F.collect_list("fulls")).alias("more")
     )
     unsettled = kept.where("result IS NULL").join(
-        extra, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left"
-    ).select("doc", "text", "fulls", "more")
-    out_schema = pa.schema([("doc", pa.int64()), ("result", to_arrow_type(spark_schema))])
+        extra, same_class(), "left"
+    ).select("doc", "text_hash", "text", "fulls", "more")
+    out_schema = pa.schema([("doc", pa.int64()), ("text_hash", pa.int64()), ("result", to_arrow_type(spark_schema))])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for value, fulls, more in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for value, fulls, more in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 spans = covered(np.array((fulls or []) + (more or []), dtype=np.int64), length)
                 found.append(dict(zip(spark_schema.names, result((value or "").encode(), spans))))
-            yield batch_of(out_schema, batch.column(0), pa.array(found, out_schema[1].type))
+            yield batch_of(out_schema, batch.column(0), batch.column(1), pa.array(found, out_schema[2].type))
 
-    finished = unsettled.mapInArrow(finish, "doc long, result struct<" + settled_ddl.split("result struct<")[1])
-    return kept.where("result IS NOT NULL").select("doc", "result").unionByName(finished).select(
-        F.col("doc").alias(doc_id), "result.*"
-    )
+    finished = unsettled.mapInArrow(finish, f"doc long, text_hash long, {result_ddl}")
+    return kept.where("result IS NOT NULL").select("doc", "text_hash", "result").unionByName(finished)
 
 
 def op4_radix_windows(docs: DataFrame) -> DataFrame:
