@@ -14,6 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webevents.operators.user_bitmaps import (
+    activity_of_bitmaps,
+    day_bitmaps,
+    inventory_of_bitmaps,
+    number_users,
+    read_bitmaps,
+    write_bitmaps,
+)
 from webevents.operators.users import user_value
 from webevents.plans import acquisition, explore, funnel, playbook, retention
 from webevents.sources.fixtures import (
@@ -21,7 +29,9 @@ from webevents.sources.fixtures import (
     FIXTURE_DAY,
     FIXTURE_END,
     FIXTURE_START,
+    derived_once,
     fixture_table,
+    nested_event_batches,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +94,28 @@ def page_view_params_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _any_rows(explore.page_view_params(day, FIXTURE_DAY), whole)
 
 
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day bitmaps of the derived table, written once per state of its batches."""
+    folder, batches = nested_event_batches(spark, sf_dir, FIXTURE_START, FIXTURE_END)
+
+    def write(path: str) -> None:
+        events = _window_events(spark, sf_dir)
+        write_bitmaps(day_bitmaps(events, number_users(events, f"{path}/numbers")), f"{path}/days")
+
+    path = derived_once(spark, f"{folder}/user-bitmaps/{'-'.join(batches)}", write)
+    return read_bitmaps(spark, f"{path}/days")
+
+
+def event_inventory_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 from day bitmaps of numbered users."""
+    return inventory_of_bitmaps(_bitmaps(spark, sf_dir), FIXTURE_START, FIXTURE_END)
+
+
+def daily_activity_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 from day bitmaps of numbered users."""
+    return activity_of_bitmaps(_bitmaps(spark, sf_dir), FIXTURE_START, FIXTURE_END)
+
+
 def user_value_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue, active days and purchases of every user."""
     return user_value(_window_events(spark, sf_dir))
@@ -96,6 +128,8 @@ QUERIES: dict[str, Query] = {
     "page_view_params_any": page_view_params_any,
     "event_inventory": _windowed(explore.event_inventory),
     "daily_activity": _windowed(explore.daily_activity),
+    "event_inventory_bitmaps": event_inventory_bitmaps,
+    "daily_activity_bitmaps": daily_activity_bitmaps,
     "session_conversion": _windowed(explore.session_conversion),
     "channel_performance": _windowed(acquisition.channel_performance),
     "top_sources": _windowed(acquisition.top_sources),

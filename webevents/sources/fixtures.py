@@ -13,6 +13,7 @@ import datetime as dt
 import hashlib
 import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -344,6 +345,27 @@ def fixture_table(spark: SparkSession, sf_dir: str, start: str | None = None, en
     return _RELATIONS[key]
 
 
+def derived_once(spark: SparkSession, folder: str, write: Callable[[str], None]) -> str:
+    """Path of a finished attempt of ``write`` below ``folder``: of all that were finished the first by name, so that
+    applications that write at once end with the same."""
+    def finished() -> str | None:
+        try:
+            return spark.read.schema("attempt string").json(f"{folder}/published/*").agg(F.min("attempt")).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault(folder, threading.Lock())
+    with lock:
+        if finished() is None:
+            attempt = f"attempt-{uuid.uuid4().hex}"
+            write(f"{folder}/{attempt}")
+            spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.json(f"{folder}/published/{attempt}")
+        return f"{folder}/{finished()}"
+
+
 def nested_event_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> str:
     """Path of the derived table as one folder of day shards; if it consists of several batches, these are first
     written together as one, which later readers prefer."""

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from webevents.operators.user_bitmaps import day_bitmaps, number_users
 from webevents.plans.explore import daily_activity
 from webevents.session import ensure_checkpoint_dir
 from webevents.sources.events import read_events
@@ -39,6 +40,16 @@ def daily_activity_by_day(events: DataFrame) -> DataFrame:
     )
 
 
+def user_bitmaps_by_day(numbers_path: str) -> DayAnalysis:
+    """A refresh that keeps day bitmaps of users: new users of the changed days get their numbers first, below
+    ``numbers_path``. Its output is read with ``read_bitmaps`` and answers A3 and A4 for any window of days."""
+
+    def analysis(events: DataFrame) -> DataFrame:
+        return day_bitmaps(events, number_users(events, numbers_path))
+
+    return analysis
+
+
 def refresh_days(
     spark: SparkSession,
     events_path: str,
