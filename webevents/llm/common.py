@@ -57,6 +57,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def addressed(df: DataFrame, label: str, file: str, row: str) -> DataFrame:
+    """``df`` stored, with the columns ``file`` and ``row``: where each row lies, so that equal rows differ too."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    where = held.metadataColumn("_metadata")
+    return held.select("*", F.xxhash64(where["file_name"]).alias(file), where["row_index"].alias(row))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

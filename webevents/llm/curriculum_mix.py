@@ -7,8 +7,8 @@ cumulative demand, is its training position, and the mix is range-sorted by posi
 Only built-in functions run.
 
 Defined results: a null text has size 0 and is never taken; null is a source of its own,
-ranked last; repeated rows are documents of their own; a table without words has
-targets of 0; other columns are not read.
+ranked last; repeated rows are documents of their own; texts of one id stand in the order of size
+and hash; a table without words has targets of 0; other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webevents.llm.common import WORD, global_rank, stored
+from webevents.llm.common import WORD, addressed, global_rank, stored
 
 #: Overall weights, dealt to the ranked sources in turn.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -31,11 +31,6 @@ SCHEDULES = (
     ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)),
 )
 MAX_EPOCHS = 3
-#: Rows of one source are cut into hash buckets of this size or of the square root of
-#: the table's rows, whichever is more, so that neither a bucket nor a source's list of
-#: buckets outgrows a task.
-MIN_BUCKET = 256
-
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -104,43 +99,37 @@ def mix_sources(
     ``max_epochs`` times until the rounded target is reached; the copy that crosses it is
     cut there, so a source's taken words are exactly its rounded target.
 
-    The text is read once, for its size. Running totals need two levels: within a hash
-    bucket of a source, and over the buckets' totals, so a source with a third of all
-    rows is spread over as many tasks as any others.
+    The text is read once, for its size and hash. Running totals need two levels: within a range of the order,
+    and over the ranges' totals. A row's address ends the order, so ranges can be cut anywhere: a source with a
+    third of all rows, or as many equal rows or rows without an id, is spread over as many tasks as any others.
     """
-    sized = stored(
+    sized = addressed(
         docs.select(
             *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
             F.col(f"`{source}`").alias("source"),
             word_count(F.col(f"`{text}`")).alias("size"),
+            F.xxhash64(F.col(f"`{text}`")).alias("_text"),
             F.col(f"`{doc_id}`").cast("string").alias("_id"),
         ).withColumn("_order", F.md5(F.concat(F.lit(seed), F.coalesce("_id", F.lit(""))))),
-        "mix-sized",
+        "mix-sized", "_file", "_row",
     )
     sources = target_sizes(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs
     ).withColumnRenamed("source", "_source")
-    rows = sized.count()
-    buckets = max(1, rows // max(MIN_BUCKET, int(rows**0.5)))
-    bucketed = sized.withColumn(
-        "_bucket",
-        F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") * buckets / 2**32).cast("int"),
-    )
-    earlier = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy("source", "_bucket")
+    order = ["_order", "_id", "size", "_text", "_file", "_row"]
+    ranged = stored(sized.repartitionByRange("source", *order).withColumn("_range", F.spark_partition_id()), "mix-ranged")
+    earlier = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (  # a row per range and source in it
+        ranged.groupBy("source", "_range")
         .agg(F.sum("size").alias("_total"))
         .withColumn("_begin", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .join(sources, F.col("source").eqNullSafe(F.col("_source")))
-        .select("_source", F.col("_bucket").alias("_b"), "_begin", "rank", "source_size", "target")
-    )
-    inside = (
-        Window.partitionBy("source", "_bucket").orderBy("_order", "_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .select("_source", F.col("_range").alias("_r"), "_begin", "rank", "source_size", "target")
     )
+    inside = Window.partitionBy("_range", "source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        bucketed.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(totals, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")))
+        ranged.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        .join(totals, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_r")))
         .withColumn("_start", F.col("_begin") + F.col("_inside"))
         .withColumn("_demand", F.floor(F.col("target") + 0.5).cast("long"))
     )
@@ -171,23 +160,23 @@ def first_words(text: Column, words: Column) -> Column:
 def training_order(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The mix itself: a row of ``docs`` per copy, cut texts cut, range-sorted by position.
 
-    Copies meet their rows by document id and text hash; rows that agree in both (repeated
-    rows) each get the copies of the first of them.
+    The rows are stored first, so that copies meet them by their address and each of several equal rows gets its own.
     """
-    keyed = docs.withColumn("_mix_hash", F.xxhash64(F.col(f"`{text}`")))
+    held = addressed(docs, "mix-rows", "_mix_file", "_mix_row")
     plan = (
-        mix_sources(keyed, keep=(doc_id, "_mix_hash"), text=text, doc_id=doc_id, **options)
+        mix_sources(held, keep=(doc_id, "_mix_file", "_mix_row"), text=text, doc_id=doc_id, **options)
         .where(F.col("taken") > 0)
-        .select(F.col(f"`{doc_id}`").alias("_mix_id"), F.col("_mix_hash").alias("_mix_h"), "size", "copies")
-        .groupBy("_mix_id", "_mix_h")
-        .agg(F.min_by(F.struct("size", "copies"), F.col("copies")[0]["position"]).alias("_mix_plan"))
+        .select(
+            F.col(f"`{doc_id}`").alias("_mix_id"), F.col("_mix_file").alias("_mix_f"), F.col("_mix_row").alias("_mix_r"),
+            F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies"),
+        )
     )
     return (
-        keyed.join(plan, F.col(f"`{doc_id}`").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_hash") == F.col("_mix_h")))
-        .withColumn("_mix_copy", F.explode("_mix_plan.copies"))
+        held.join(plan, (F.col("_mix_file") == F.col("_mix_f")) & (F.col("_mix_row") == F.col("_mix_r")))
+        .withColumn("_mix_copy", F.explode("_mix_copies"))
         .withColumn(
             text,
-            F.when(F.col("_mix_copy.words") < F.col("_mix_plan.size"),
+            F.when(F.col("_mix_copy.words") < F.col("_mix_size"),
                    first_words(F.col(f"`{text}`"), F.col("_mix_copy.words"))).otherwise(F.col(f"`{text}`")),
         )
         .orderBy("_mix_copy.position", "_mix_id", "_mix_copy.epoch")
