@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webevents.llm.common import stored
 
 
+def with_smallest(links: DataFrame, smallest: Column, label: str) -> DataFrame:
+    """(a, b, root): the links with the aggregate ``smallest`` over the links of their node ``a``."""
+    return links.join(stored(links.groupBy("a").agg(smallest.alias("root")), label), "a")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 
     Alternating stars: first every larger neighbour of a node, then every smaller one, is
     linked to the smallest node of its neighbourhood, until nothing changes. Each turn
-    is two aggregates and two joins on the node; minima are combined before their
-    shuffle, and a node with very many links is one row on the aggregated side, so that
-    adaptive execution can split the other. Only a count and a hash go to the driver.
+    is two aggregates and two joins on the node; minima are combined before their shuffle and
+    stored, so that a node with very many links is one row of a table on one side of a plain join
+    and adaptive execution can split the other. Only a count and a hash go to the driver.
     """
     links = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label
@@ -24,14 +29,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (
-            both.join(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "a")
+            with_smallest(both, F.least(F.min("b"), F.col("a")), label)
             .where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
             .where("a <> b").distinct()
         )
         large = stored(large, label)
-        smallest = large.groupBy("a").agg(F.min("b").alias("root"))
         small = (
-            large.join(smallest, "a")
+            with_smallest(large, F.min("b"), label)
             .select(F.when(F.col("b") == F.col("root"), F.col("a")).otherwise(F.col("b")).alias("a"),
                     F.col("root").alias("b"))
             .where("a <> b").distinct()

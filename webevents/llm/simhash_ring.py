@@ -187,7 +187,8 @@ def ring_links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCK
     )
     links = None
     while True:
-        sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+        # a table of its own, so that adaptive execution can split the rows of a dense bucket
+        sizes = stored(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-sizes")
         shared = stored(keyed.join(sizes, ["mask", "key"]), "simhash-buckets")
         found = bucketed_links(shared.where(F.col("n") <= bucket), max_bits)
         links = found if links is None else links.unionByName(found)
@@ -219,7 +220,8 @@ def near_duplicates(
         classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
         .withColumn("root", F.coalesce("root", "fp"))
     )
-    smallest = of_fp.groupBy("root").agg(F.min("first").alias("component"))
+    of_fp = stored(of_fp, "simhash-roots")
+    smallest = stored(of_fp.groupBy("root").agg(F.min("first").alias("component")), "simhash-components")
     names = of_fp.join(smallest, "root").select("fp", "component")
     return fps.join(names, "fp").select("id", "fp", "component")
 
