@@ -11,7 +11,8 @@ few passes over a shard instead of one per rule; the grammar stays exact. Turns
 occurs ``MIN_COUNT`` times.
 
 Defined results: a null or empty text is a document of the end id alone; a null id sorts
-first; repeated rows are documents of their own, one after the other; an empty table has
+first; texts of one id stand in the order of their hash, so that reruns agree and a hot id fills
+several tasks; repeated rows are documents of their own, one after the other; an empty table has
 no shards; other columns are not read.
 """
 
@@ -39,7 +40,7 @@ END_ID = 0
 #: A shard is closed at so many ids; a longer document has a shard to itself.
 SHARD_IDS = 2_000_000
 #: Pairs replaced in one turn, and occurrences a pair needs.
-PAIRS = 4096
+PAIRS = 8192
 MIN_COUNT = 8
 
 #: Chunks of text in one generation of a worker's memory (about 200 bytes each).
@@ -49,17 +50,22 @@ MAGIC = b"RPG2"
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, bits per symbol, documents, symbols, ids, rules, first nonterminal
 
 
-def frequent_pairs(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Up to PAIRS most frequent pairs within documents, as left << bits | right, sorted; bits are
-    those of a symbol, so that a shard of 16-bit symbols sorts 32-bit numbers."""
+def frequent_pairs(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Up to PAIRS most frequent pairs within documents (``ends``: places of their last symbols), as
+    left << bits | right, sorted; bits are those of a symbol, so that a shard of 16-bit symbols sorts 32-bit numbers."""
     wide = np.uint32 if symbols.dtype == np.uint16 else np.uint64
-    pairs = (symbols[:-1].astype(wide) << wide(8 * symbols.itemsize)) | symbols[1:]
-    pairs = pairs[~last[:-1]]
+    pairs = symbols[:-1].astype(wide)
+    pairs <<= wide(8 * symbols.itemsize)
+    pairs |= symbols[1:]
+    across = ends[ends < len(pairs)]
+    pairs[across] = ~wide(0)  # no pair, as its symbols would be
     pairs.sort()
+    pairs = pairs[: len(pairs) - len(across)]
     if not len(pairs):
         return pairs
-    begins = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
-    counts = np.diff(begins, append=len(pairs))
+    begins = np.flatnonzero(pairs[1:] != pairs[:-1]) + 1
+    counts = np.diff(begins, prepend=0, append=len(pairs))
+    begins = np.concatenate(([0], begins))
     often = np.flatnonzero(counts >= MIN_COUNT)
     if len(often) > PAIRS:  # ties at the border go to the smaller pairs, as the sort is stable
         often = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
@@ -74,20 +80,20 @@ def right_of(pairs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return (pairs & pairs.dtype.type((1 << 8 * symbols.itemsize) - 1)).astype(np.int64)
 
 
-def occurrences(symbols: np.ndarray, last: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(symbols: np.ndarray, ends: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a pair is to be replaced, left to right without overlap, and which pair."""
     left, row = np.unique(left_of(pairs, symbols), return_inverse=True)
     right, column = np.unique(right_of(pairs, symbols), return_inverse=True)
-    # a small table of the pairs, over the symbols that occur in any
-    table = np.full((len(left), len(right)), -1, dtype=np.int16)
+    # a small table of the pairs, over the symbols that occur in any and one row and column for all others
+    table = np.full((len(left) + 1, len(right) + 1), -1, dtype=np.int16)
     table[row, column] = np.arange(len(pairs))
     size = int(symbols.max()) + 1
-    of_left, of_right = np.full(size, -1, dtype=np.int16), np.full(size, -1, dtype=np.int16)
-    of_left[left], of_right[right] = np.arange(len(left)), np.arange(len(right))
-    row, column = of_left[symbols[:-1]], of_right[symbols[1:]]
-    at = np.flatnonzero((row >= 0) & (column >= 0) & ~last[:-1])
-    which = table[row[at], column[at]]
-    at, which = at[which >= 0], which[which >= 0]
+    of_left, of_right = np.full(size, len(left) * (len(right) + 1), dtype=np.int32), np.full(size, len(right), dtype=np.int32)
+    of_left[left], of_right[right] = np.arange(len(left)) * (len(right) + 1), np.arange(len(right))
+    which = table.ravel().take(of_left.take(symbols[:-1]) + of_right.take(symbols[1:]))
+    which[ends[ends < len(which)]] = -1
+    at = np.flatnonzero(which >= 0)
+    which = which[at]
     if not len(at):
         return at, which
     # of neighbouring places (which overlap) every second one is taken, from the first
@@ -136,14 +142,13 @@ class Shard:
     def build(doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray, terminals: int) -> Shard:
         """``ids`` of all documents one after the other, ``counts`` of them in each."""
         id_starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-        last = np.zeros(len(ids), dtype=bool)
-        last[id_starts[1:] - 1] = True
+        ends = id_starts[1:] - 1
         # symbols fit 16 bits until the vocabulary and all rules together outgrow them
         symbols, rules = ids.astype(np.uint16 if terminals <= 1 << 16 else np.uint32), np.zeros((0, 2), dtype=np.uint32)
         lengths = np.zeros(0, dtype=np.int64)
         # each turn shortens the shard: of the places of its pairs at least half are taken
-        while len(pairs := frequent_pairs(symbols, last)):
-            at, which = occurrences(symbols, last, pairs)
+        while len(pairs := frequent_pairs(symbols, ends)):
+            at, which = occurrences(symbols, ends, pairs)
             used = np.bincount(which, minlength=len(pairs))
             worth = used >= MIN_COUNT // 2  # overlaps may leave a pair too few places
             at, which = at[worth[which]], which[worth[which]]
@@ -156,12 +161,11 @@ class Shard:
             if symbols.dtype == np.uint16 and terminals + len(rules) + len(new) > 1 << 16:
                 symbols = symbols.astype(np.uint32)
             symbols[at] = terminals + len(rules) + number[which]
-            last[at] = last[at + 1]
             stays = np.ones(len(symbols), dtype=bool)
             stays[at + 1] = False
-            symbols, last = symbols[stays], last[stays]
+            symbols, ends = symbols[stays], ends - np.searchsorted(at, ends)  # a last symbol moves by those gone up to it
             rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, sizes.sum(axis=1)])
-        symbol_starts = np.concatenate(([0], np.flatnonzero(last) + 1))
+        symbol_starts = np.concatenate(([0], ends + 1))
         known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
         return Shard(
             np.array([d or 0 for d in doc_ids], dtype=np.int64), known, symbol_starts, id_starts,
@@ -358,7 +362,8 @@ def write_shards(
 
     ordered = (
         docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-        .repartitionByRange("id").sortWithinPartitions("id")
+        .withColumn("hash", F.xxhash64("text"))
+        .repartitionByRange("id", "hash").sortWithinPartitions("id", "hash").select("id", "text")
     )
     return stored(
         ordered.mapInArrow(run, "part long, shard long, path string, documents long, ids long"), "grammar-shards"
