@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
 Vectors are scaled and given one more coordinate so that the largest inner product is the
-smallest distance. Each table hashes them by Gaussian projections cut into slots. A query visits
+smallest distance. Each table hashes them by Gaussian projections, made orthogonal, cut into slots; there are more
+of them the more vectors there are, so that the share of all vectors that a query's buckets hold falls. A query visits
 its own bucket and perturbed ones in the order of their estimated success (the chance that
 a neighbour at a typical distance falls there) until the chances add up to a target. The
 candidates of all tables are merged and ranked by their exact inner products.
@@ -27,18 +28,22 @@ from pyspark.sql import functions as F
 from webevents.llm.common import batch_of, hash_share, stored
 
 K = 20
-TABLES = 4
-#: Estimated chance that one table's probes hold a given neighbour; four tables together
-#: then miss one in forty.
-SUCCESS = 0.6
-#: Width of a slot in standard deviations of a projection, and vectors aimed at per bucket.
-SLOT = 1.5
-PER_BUCKET = 256
+TABLES = 12
+#: Estimated chance that one table's probes hold a neighbour at a typical distance. The nearer ones have more,
+#: and twelve tables together hold nine of ten.
+SUCCESS = 0.17
+#: Width of a slot, for directions of all kinds in standard deviations of a projection, and projections per table
+#: for each factor of e in the number of vectors.
+SLOT = 3.0
+HASHES_PER_LOG = 1.3
 #: Vectors the index is fitted on, chosen by hash.
 FIT_ROWS = 2048
 #: A part holds about so many vectors, a batch so many queries.
 PART_ROWS = 32_768
 QUERY_ROWS = 256
+#: Sets of slots weighed at a time, and probes of a query in a table at most.
+PROBE_CELLS = 1 << 19
+MOST_SETS = 1 << 16
 
 
 @dataclass
@@ -69,23 +74,24 @@ class Index:
         slots = np.floor(at / self.slot)
         return slots.astype(np.int64), at - slots * self.slot
 
-    def probes(self, table: int, slots: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        """Codes of the buckets to visit, likeliest first, until their chances reach ``success``."""
-        steps = np.arange(-4, 5)
-        edges = (np.arange(-4, 6)[None, :] * self.slot - inside[:, None]) / (self.reach * math.sqrt(2))
-        chance = np.diff(0.5 * (1 + np.vectorize(math.erf)(edges)), axis=1)
-        most = 64
-        while True:  # the likeliest n sets extend the likeliest n of one hash less, so pruning is exact
-            chances, sets = np.ones(1), np.zeros((1, 0), dtype=np.int64)
-            for p in chance:
-                grown = np.outer(chances, p).ravel()
-                best = np.argsort(-grown, kind="stable")[:most]
-                chances = grown[best]
-                sets = np.column_stack([sets[best // len(steps)], steps[best % len(steps)]])
-            reached = np.cumsum(chances)
-            if reached[-1] >= min(self.success, 0.99) or len(chances) < most:
-                return self.codes(table, slots + sets[: int(np.searchsorted(reached, self.success)) + 1])
-            most *= 4
+    def probes(self, table: int, slots: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
+        """For each query the codes of the buckets to visit, likeliest first, until their chances reach ``success``."""
+        steps = np.arange(-2, 3)
+        edges = (np.arange(-2, 4) * self.slot - inside[:, :, None]) / (self.reach * math.sqrt(2))
+        chance = np.diff(0.5 * (1 + _erf(edges)), axis=2)
+        out, left, most = [np.zeros(0, np.int64)] * len(slots), np.arange(len(slots)), 64
+        while len(left):
+            waiting = []
+            group = max(1, PROBE_CELLS // (most * len(steps)))
+            for own in np.split(left, range(group, len(left), group)):
+                sets, reached, whole = likeliest(chance[own], most)
+                done = whole | (most >= MOST_SETS) | (reached[:, -1] >= min(self.success, 0.99))
+                waiting.append(own[~done])
+                for q in np.flatnonzero(done):
+                    n = int(np.searchsorted(reached[q], self.success)) + 1
+                    out[own[q]] = self.codes(table, slots[own[q]] + steps[sets[q, :n]])
+            left, most = np.concatenate(waiting), 4 * most
+        return out
 
     def group(self, codes: np.ndarray, groups: int) -> np.ndarray:
         """The group of parts that holds a bucket."""
@@ -93,19 +99,55 @@ class Index:
         return ((mixed >> np.uint64(33)) % np.uint64(groups)).astype(np.int64)
 
 
+def likeliest(chance: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """For each query the ``most`` likeliest sets of one step per hash, from the steps' chances (queries, hashes,
+    steps), likeliest first; the sums of their chances; and whether these are all sets there are.
+
+    The likeliest n sets extend the likeliest n of one hash less, so pruning is exact."""
+    queries, hashes, steps = chance.shape
+    chances, sets = np.ones((queries, 1)), np.zeros((queries, 1, 0), dtype=np.int8)
+    for h in range(hashes):
+        grown = (chances[:, :, None] * chance[:, h, None, :]).reshape(queries, -1)
+        if grown.shape[1] > most:
+            best = np.argpartition(-grown, most - 1, axis=1)[:, :most]
+        else:
+            best = np.broadcast_to(np.arange(grown.shape[1]), grown.shape)
+        chances = np.take_along_axis(grown, best, 1)
+        parents = np.take_along_axis(sets, (best // steps)[:, :, None], 1)
+        sets = np.concatenate([parents, (best % steps)[:, :, None].astype(np.int8)], axis=2)
+    order = np.argsort(-chances, axis=1, kind="stable")
+    reached = np.cumsum(np.take_along_axis(chances, order, 1), axis=1)
+    return np.take_along_axis(sets, order[:, :, None], 1), reached, chances.shape[1] == steps**hashes
+
+
+_erf = np.vectorize(math.erf, otypes=[float])
+
+
+def projections(rng: np.random.Generator, tables: int, hashes: int, dimension: int) -> np.ndarray:
+    """Gaussian directions, orthogonal within a table and, as far as the dimension allows, between tables."""
+    rotations = []
+    for _ in range(math.ceil(tables / (dimension // hashes))):
+        rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0] * math.sqrt(dimension)
+        rotations += [rotation[:, i : i + hashes].T for i in range(0, dimension - hashes + 1, hashes)]
+    return np.stack(rotations[:tables])
+
+
 def fit_index(sample: np.ndarray, rows: int, norm: float, *, tables: int, k: int, success: float, seed: int = 9) -> Index:
     """Projections, and the typical distance of a neighbour as a bounded sample shows it."""
     rng = np.random.default_rng(seed)
-    hashes = max(2, round(math.log(max(rows / PER_BUCKET, 2)) / math.log(3)))
     dimension = sample.shape[1] + 1
+    hashes = min(max(2, round(HASHES_PER_LOG * math.log(max(rows, 2)))), dimension)
     index = Index(
-        rng.normal(size=(tables, hashes, dimension)), rng.uniform(0, SLOT, size=(tables, hashes)),
+        projections(rng, tables, hashes, dimension), rng.uniform(size=(tables, hashes)),
         rng.integers(1, 2**62, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1), SLOT, norm, 1.0, success,
     )
     points, queries = index.raised(sample, False), index.raised(sample[:256], True)
     apart = np.sqrt(np.maximum(0, 2 - 2 * queries @ points.T))
+    # in units of what a projection tells two vectors apart by: sqrt(2) for directions of all kinds
+    index.slot = max(SLOT * float(np.median(apart)) / math.sqrt(2), 1e-3)
+    index.shifts *= index.slot
     nth = min(max(1, math.ceil(k * len(sample) / max(rows, 1))), len(sample) - 1)  # after the query itself
-    index.reach = max(float(np.quantile(np.sort(apart, axis=1)[:, nth], 0.9)), 1e-3)
+    index.reach = max(float(np.quantile(np.sort(apart, axis=1)[:, nth], 0.5)), 1e-3)
     return index
 
 
@@ -153,6 +195,17 @@ def bucket_sizes(classes: DataFrame, index: Index) -> DataFrame:
     return classes.select("vector").mapInArrow(run, "code long").groupBy("code").count()
 
 
+def visited(index: Index, raised: np.ndarray) -> list[np.ndarray]:
+    """For each query the codes of all buckets that it visits."""
+    out: list[list[np.ndarray]] = [[] for _ in raised]
+    for begin in range(0, len(raised), QUERY_ROWS):
+        part = raised[begin : begin + QUERY_ROWS]
+        for table in range(len(index.shifts)):
+            for i, codes in enumerate(index.probes(table, *index.place(table, part))):
+                out[begin + i].append(codes)
+    return [np.concatenate(codes) for codes in out]
+
+
 def place_queries(queries: DataFrame, index: Index, groups: int, slices: int) -> DataFrame:
     """A row per query and part to visit, with the buckets to visit there."""
 
@@ -162,9 +215,8 @@ def place_queries(queries: DataFrame, index: Index, groups: int, slices: int) ->
                 continue
             ids, vectors = batch.column(0).to_pylist(), matrix(batch.column(1))
             raised = index.raised(vectors, True)
-            places = [index.place(table, raised) for table in range(len(index.shifts))]
-            for i, name in enumerate(ids):
-                codes = np.concatenate([index.probes(t, slots[i], inside[i]) for t, (slots, inside) in enumerate(places)])
+            visits = visited(index, raised)
+            for i, (name, codes) in enumerate(zip(ids, visits)):
                 group = index.group(codes, groups)
                 order = np.argsort(group, kind="stable")
                 codes, group = codes[order], group[order]
