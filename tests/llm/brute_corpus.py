@@ -36,6 +36,35 @@ def rule_row(text):
     )
 
 
+def rule_statistics(text):
+    """Symbols, repeated lines, words in repeated windows, capitals, digits, punctuation, word length: each over its base."""
+    n, chars, symbols, dup, repeated, _ = rule_row(text)
+    text = text or ""
+    lines = sum(bool(WORD.search(line)) for line in text.split("\n"))
+    n, chars, lines = max(n, 1), max(chars, 1), max(lines, 1)
+    punctuation = len(re.findall(r"[!?;:()\[\]{}\"'/\\_=+\-~^@`]", text))
+    return (
+        symbols / n, dup / lines, repeated / n, len(re.findall("[A-Z]", text)) / chars, len(re.findall("[0-9]", text)) / chars,
+        punctuation / n, rule_row(text)[1] / n,
+    )
+
+
+def forest_score(text, model):
+    """Mean path length of the text's statistics in the model's trees, node by node, as a score."""
+    point = [
+        math.log(1 + abs(x - c) / u) for x, c, u in zip(rule_statistics(text), model.scale.centre, model.scale.unit)
+    ]
+    forest, total = model.forest, 0.0
+    for feature, cut, child, path in zip(forest.feature, forest.cut, forest.child, forest.path):
+        at = 0
+        while child[at]:
+            at = child[at] + (point[feature[at]] > cut[at])
+        total += path[at]
+    n = forest.rows
+    usual = 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+    return 2 ** (-total / len(forest.path) / usual)
+
+
 def cut_repeats(texts, length):
     datas = [(t or "").encode() for t in texts]
     counts = Counter(d[i : i + length] for d in datas for i in range(len(d) - length + 1))

@@ -29,7 +29,7 @@ from webevents.llm import (
     simhash_ring,
     warc_zstd,
 )
-from webevents.llm.components import components
+from webevents.llm.components import components, with_smallest
 from webevents.llm.queries import QUERIES, RANKS, SQL, TOKENIZER
 
 
@@ -155,6 +155,13 @@ def test_strings_of_special_tokens_have_the_untouched_librarys_ids(spark):
         start += len(ids)
 
 
+def test_texts_of_one_id_have_one_order(spark):
+    rows = [(7, f"text number {i} " * (1 + i % 3)) for i in range(40)] + [(None, "a"), (None, "b"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    results = [sorted(map(repr, repair_grammar.op2_repair_tokens(docs.repartition(n, F.rand(n)), TOKENIZER).collect())) for n in (1, 7)]
+    assert results[0] == results[1]
+
+
 def test_many_small_shards(spark, tmp_path):
     with open(TOKENIZER) as file:
         spec = file.read()
@@ -207,9 +214,7 @@ def test_pairs_are_replaced_until_none_is_frequent(terminals):
     docs = [np.concatenate([passages[i], rng.integers(1, terminals, 5), [0]]) for i in rng.integers(0, 30, 1500)]
     ids = np.concatenate(docs).astype(np.uint32)
     shard = repair_grammar.Shard.build(list(range(len(docs))), ids, np.array([len(d) for d in docs]), terminals)
-    last = np.zeros(len(shard.symbols), dtype=bool)
-    last[shard.symbol_starts[1:] - 1] = True
-    assert not len(repair_grammar.frequent_pairs(shard.symbols, last))
+    assert not len(repair_grammar.frequent_pairs(shard.symbols, shard.symbol_starts[1:] - 1))
     assert shard.lengths.max() >= 100 and len(shard.symbols) < 10 * len(docs)
     read = repair_grammar.Shard.from_bytes(shard.to_bytes())
     assert (read.expand(read.symbols) == ids).all()
@@ -239,6 +244,57 @@ def test_isolation_forest_keeps_clean_documents(spark):
     assert good >= 0.99 and bad <= 0.1
 
 
+def test_forest_verdicts_against_brute_force(spark):
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    docs = documents(spark, SF01)
+    model = isolation_rules.fit_rules(docs, labels)
+    got = {r["doc_id"]: r for r in isolation_rules.op3_isolation_rules(docs, labels).collect()}
+    rejected = 0
+    for d, text in rows_of(docs, "doc_id", "text"):
+        score, failed = brute.forest_score(text, model), brute.rule_row(text)[-1]
+        assert got[d]["anomaly_score"] == pytest.approx(score, rel=1e-9)
+        if abs(score - model.threshold) > 1e-9:
+            assert got[d]["kept"] == (not failed and score <= model.threshold)
+        rejected += not failed and not got[d]["kept"]
+    assert rejected > 10
+
+
+def test_paths_decide_without_limits(spark):
+    # common hand-set limits: a tenth of symbols per word, a fifth of capitals or 0.15 of digits per character
+    rng = random.Random(4)
+    def prose(n, odd):
+        words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8))) for _ in range(n)]
+        for k, i in enumerate(rng.sample(range(n), int(odd * n))):
+            words[i] = words[i].upper() + "#" if k % 2 else words[i] + "7"
+        return " ".join(words)
+
+    rows = [(i, prose(120, 0.0 if i % 10 else 0.12)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(0, 1500, 2)], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in isolation_rules.op3_isolation_rules(docs, labels).collect()}
+    odd = [i for i, _ in rows if i % 10 == 0]
+    stats = {i: brute.rule_statistics(t) for i, t in rows}
+    assert all(stats[i][0] < 0.1 and stats[i][3] < 0.2 and stats[i][4] < 0.15 for i in odd)
+    # held out: odd ones never labelled; among several statistics none is beyond a limit, yet few splits isolate them
+    unlabelled_good = [i for i, _ in rows if i % 2 == 1]
+    assert sum(not got[i]["kept"] for i in odd) >= 0.9 * len(odd)
+    assert sum(got[i]["kept"] for i in unlabelled_good) >= 0.98 * len(unlabelled_good)
+
+
+def test_fit_samples_are_bounded(spark, monkeypatch):
+    seen = []
+    grow, calibrate = isolation_rules.Forest.grow, isolation_rules.calibrated
+    monkeypatch.setattr(isolation_rules.Forest, "grow", staticmethod(lambda points, *a, **k: seen.append(len(points)) or grow(points, *a, **k)))
+    monkeypatch.setattr(isolation_rules, "calibrated", lambda good, bad, share: seen.append(len(good) + len(bad)) or calibrate(good, bad, share))
+    some = " ".join(f"word{i}" for i in range(60))
+    one_id = spark.range(50_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit(some), F.lit(" n"), F.col("id")).alias("text"))
+    copies = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(some).alias("text"))
+    docs = one_id.unionByName(copies).unionByName(spark.range(100, 1100).select(F.col("id").alias("doc_id"), F.concat(F.lit(some), F.col("id")).alias("text")))
+    labels = spark.createDataFrame([(7, 1)] * 300 + [(i, i % 2) for i in range(100, 200)], "doc_id long, quality int")
+    isolation_rules.fit_rules(docs, labels, fit_rows=100, labelled_rows=100)
+    assert len(seen) == 2 and max(seen) < 250  # a row can be in both samples
+
+
 def test_forest_isolates_what_is_far():
     rng = np.random.default_rng(1)
     points = np.vstack([rng.normal(0, 1, (500, 3)), [[9, 9, 9]]])
@@ -290,6 +346,25 @@ def test_repeated_windows_of_many_texts_without_ids_or_with_one(spark):
     assert Counter(map(tuple, got)) == Counter(expected)
 
 
+@pytest.mark.parametrize("copies", [2, 3_200])
+def test_windows_of_many_repeated_rows(spark, copies):
+    rng = np.random.default_rng(11)
+    long, other, short = ("".join(map(chr, rng.integers(97, 123, n))) for n in (6_000, 2_000, 399))
+    # one row repeated, rows without an id repeated, a text too short to repeat, and texts that share windows with them
+    rows = [(1, long)] * copies + [(None, other)] * copies + [(2, short)] * copies
+    rows += [(3, "x" + long[1_000:1_600] + "y"), (4, other[:500]), (5, "alone " * 3), (1, "a text of its own under the same id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted(map(repr, map(tuple, radix_windows.op4_radix_windows(docs).collect())))
+    texts = {t: None for _, t in rows}
+    few = [(i, t) for i, t in dict.fromkeys(rows) for _ in range(2 if rows.count((i, t)) > 1 else 1)]
+    expected = {r: brute for r, brute in zip(few, brute_windows([t for _, t in few]))}
+    assert len(texts) == 7 and got == sorted(repr((i, *expected[i, t])) for i, t in rows)
+
+
+def brute_windows(texts):
+    return brute.cut_repeats(texts, radix_windows.LENGTH)
+
+
 def test_windows_over_several_spans(spark, monkeypatch):
     monkeypatch.setattr(radix_windows, "SPAN", 1000)  # in this process: the function alone
     radix_windows._grams.clear()
@@ -345,6 +420,29 @@ def test_components_of_long_chains(spark):
 # 6 mixing
 
 
+def test_a_hub_of_links_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    # a third of all links at one node
+    ids = spark.range(300_000).select(F.col("id").alias("b"), F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(-F.col("id") - 2).alias("a"))
+    links = common.stored(ids.repartition(16), "test-hub")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = with_smallest(links, F.min("b"), "test-hub").select("a", "root", F.spark_partition_id().alias("task"))
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    tasks = Counter(r["task"] for r in rows if r["a"] == -1)
+    assert "skew=true" in plan and len(rows) == 300_000 and sum(tasks.values()) == 100_000
+    assert max(tasks.values()) < 0.15 * len(rows)
+
+
 def test_mix_reaches_its_targets(spark):
     docs = documents(spark, SF01, "doc_id", "text", "source")
     got = curriculum_mix.op6_curriculum_mix(docs)
@@ -385,6 +483,43 @@ def test_training_order_follows_the_curriculum(spark):
 # 7 byte-level BPE
 
 
+def test_equal_rows_each_get_their_own_copies(spark):
+    rows = [(i, "a", "one two three four five") for i in range(60)] + [(None, "b", "ten little words stand here in a row all day")] * 300
+    rows += [(None, "b", f"other words {i}") for i in range(50)] + [(5, "b", "same id"), (5, "b", "same id again")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5, F.rand(1))
+    wanted = {r[0]: r[1] for r in curriculum_mix.mix_sources(docs, keep=("doc_id", "source")).groupBy("source").agg(F.sum("taken")).collect()}
+    got = {r[0]: r[1] for r in curriculum_mix.training_order(docs).groupBy("source").agg(F.sum(curriculum_mix.word_count(F.col("text")))).collect()}
+    assert got == wanted
+    targets = {r[0]: r[1] for r in curriculum_mix.mix_sources(docs, keep=("doc_id", "source")).select("source", "target").distinct().collect()}
+    assert all(abs(got[s] - t) <= 1 for s, t in targets.items())
+    again = [sorted(map(repr, curriculum_mix.mix_sources(docs.repartition(n, F.rand(n)), keep=("doc_id", "source", "text")).select("doc_id", "text", "taken").collect())) for n in (2, 9)]
+    assert again[0] == again[1]
+
+
+def test_rows_without_an_id_fill_several_tasks(spark):
+    docs = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("a").alias("source"), F.lit("some words").alias("text"))
+    sized = common.stored(docs, "test").repartitionByRange(8, "source", "doc_id")  # one task holds every null id
+    assert max(r[0] for r in sized.groupBy(F.spark_partition_id()).count().select("count").collect()) >= 10_000
+    seen = []
+    keep, common_stored = ("doc_id",), curriculum_mix.stored
+
+    def watch(df, label):
+        out = common_stored(df, label)
+        if label == "mix-ranged":
+            seen.extend(r[0] for r in out.groupBy("_range").count().select("count").collect())
+        return out
+
+    curriculum_mix.stored = watch
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert curriculum_mix.mix_sources(docs, keep=keep).count() == 30_000
+    finally:
+        curriculum_mix.stored = common_stored
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(seen) == 8 and max(seen) < 6_000
+
+
 def test_encoding_equals_the_library(spark):
     encoding = brute.tiktoken_encoding()
     got = by_id(bpe_two_tier.op7_bpe_two_tier(documents(spark), RANKS, public_tokenizers.PATTERN))
@@ -486,6 +621,27 @@ def test_recall_on_clusters_with_large_buckets(spark, monkeypatch):
     assert hits >= 0.9 * 20 * len(expected)
 
 
+def test_probes_cover_ever_fewer_vectors():
+    # directions of all kinds, the hardest case: the nearest are hardly nearer than the rest
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(50_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    shares, recalls = [], []
+    for n in (2_000, 10_000, 50_000):
+        own, asked = vectors[:n], np.arange(0, n, n // 40)
+        index = multiprobe.fit_index(own[:multiprobe.FIT_ROWS], n, 1.0, tables=multiprobe.TABLES, k=20, success=multiprobe.SUCCESS)
+        raised = index.raised(own, False)
+        codes = np.stack([index.codes(t, index.place(t, raised)[0]) for t in range(multiprobe.TABLES)])
+        held = np.stack([np.isin(codes, visits).any(axis=0) for visits in multiprobe.visited(index, index.raised(own[asked], True))])
+        scores = own[asked] @ own.T
+        scores[np.arange(len(asked)), asked] = -1
+        nearest = np.argsort(-scores, axis=1)[:, :20]
+        shares.append(held.mean())
+        recalls.append(np.take_along_axis(held, nearest, 1).mean())
+    print(shares, recalls)
+    assert min(recalls) >= 0.9 and shares[0] > shares[1] > shares[2] and shares[2] < 0.45
+
+
 def test_neighbours_with_ties_copies_and_unusable_vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [1.0, 0.0, 2.0]) for i in range(0, 90)]  # one vector over and over

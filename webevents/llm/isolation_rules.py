@@ -3,11 +3,14 @@
 Every document gets the statistics that heuristic quality rules look at. Two base rules
 reject outright; a forest of random splits then measures how few splits isolate a
 document's statistics, and a threshold calibrated on labelled rows decides from when on
-that is an anomaly.
+that is an anomaly. There are no limits set by hand: each statistic is seen as its distance from what labelled
+good documents have, in units of how far these stray themselves, and splits are drawn from the statistics in
+proportion to how well each alone tells labelled bad documents from good ones, so that what
+is merely rare (a long document, one with many numbers) takes few splits unless the labels speak against it.
 
 Defined results: a null text counts as one without words, so it fails the base rules; a
-row without ``doc_id`` is judged like any other; repeated rows are judged one by one;
-other columns pass through. Without any labelled good document nothing is an anomaly, and
+row without ``doc_id`` is judged like any other; repeated rows are judged one by one, and seen once
+by the fit; an id with several labels has the lowest; other columns pass through. Without any labelled good document nothing is an anomaly, and
 an empty table gives an empty result.
 """
 
@@ -86,28 +89,49 @@ def rule_counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-def statistics(counts: np.ndarray) -> np.ndarray:
-    """What the forest splits on, one row per document: by how much each rule's statistic
-    goes beyond what clean prose shows (0: not at all).
+#: Smallest unit of a statistic, for those that good documents hardly ever show.
+LEAST_UNIT = 0.01
+
 
-    Raw statistics would let the forest isolate odd but clean documents (a long one, one
-    with many numbers) before junk, of which there are many alike; beyond the rules' own
-    limits, clean documents all stand at one point and junk does not.
-    """
+def statistics(counts: np.ndarray) -> np.ndarray:
+    """The rules' statistics, one row per document: symbols, words in repeated windows and punctuation per word,
+    repeated lines per line, capitals and digits per character, characters per word."""
     c = dict(zip(COUNTS, counts.T.astype(np.float64)))
     words, chars, lines = (np.maximum(c[k], 1) for k in ("n_words", "word_chars", "n_lines"))
-    length = c["word_chars"] / words
-    # The limits, as common heuristic rules for web text have them.
-    beyond = [
-        c["n_symbols"] / words - 0.1,
-        c["n_dup_lines"] / lines - 0.3,
-        c["n_repeat_words"] / words - 0.2,
-        c["n_upper"] / chars - 0.2,
-        c["n_digits"] / chars - 0.15,
-        c["n_punctuation"] / words - 0.2,
-        np.maximum(length - 10, 3 - length),
-    ]
-    return np.maximum(np.column_stack(beyond), 0) * (c["n_words"] > 0)[:, None]
+    return np.column_stack([
+        c["n_symbols"] / words, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["n_upper"] / chars,
+        c["n_digits"] / chars, c["n_punctuation"] / words, c["word_chars"] / words,
+    ])
+
+
+@dataclass
+class Scale:
+    """What is usual: the good documents' medians, and how far the 95th of a hundred of them lies from these."""
+
+    centre: np.ndarray
+    unit: np.ndarray
+
+    @staticmethod
+    def fit(good: np.ndarray) -> Scale:
+        centre = np.median(good, axis=0)
+        return Scale(centre, np.maximum(np.quantile(np.abs(good - centre), 0.95, axis=0), LEAST_UNIT))
+
+    def points(self, values: np.ndarray) -> np.ndarray:
+        return np.log1p(np.abs(values - self.centre) / self.unit)
+
+
+def telling(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Per statistic, how much more often than not a bad document has the larger value (0 to 1); all alike without
+    any that tells."""
+    if not len(bad):
+        return np.ones(good.shape[1])
+    larger = np.empty(good.shape[1])
+    for f in range(good.shape[1]):
+        own = np.sort(good[:, f])
+        below, upto = np.searchsorted(own, bad[:, f], "left"), np.searchsorted(own, bad[:, f], "right")
+        larger[f] = (below + upto).mean() / 2 / len(own)
+    weights = np.maximum(2 * larger - 1, 0)
+    return weights if weights.any() else np.ones(good.shape[1])
 
 
 def unsplit_path(n: np.ndarray | int) -> np.ndarray:
@@ -129,7 +153,11 @@ class Forest:
     rows: int
 
     @staticmethod
-    def grow(points: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 7) -> Forest:
+    def grow(
+        points: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 7, weights: np.ndarray | None = None
+    ) -> Forest:
+        """``weights``: how often each column is drawn for a split, relative to the others that can be split."""
+        weights = np.ones(points.shape[1]) if weights is None else weights
         rng = np.random.default_rng(seed)
         rows = min(tree_rows, len(points))
         depth = int(np.ceil(np.log2(max(rows, 2))))
@@ -140,12 +168,12 @@ class Forest:
             while todo:
                 at, own, level = todo.pop()
                 low, high = points[own].min(axis=0), points[own].max(axis=0)
-                usable = np.flatnonzero(high > low)
-                if level == depth or not len(usable):
+                usable = (high > low) * weights
+                if level == depth or not usable.any():
                     nodes[at][3] = level + float(unsplit_path(len(own)))
                     continue
-                f = int(rng.choice(usable))
-                cut = rng.uniform(low[f], high[f])
+                f = int(rng.choice(len(usable), p=usable / usable.sum()))
+                cut = min(rng.uniform(low[f], high[f]), np.nextafter(high[f], low[f]))  # never the largest itself
                 side = points[own, f] <= cut
                 nodes[at][:3] = [f, cut, len(nodes)]
                 todo += [(len(nodes), own[side], level + 1), (len(nodes) + 1, own[~side], level + 1)]
@@ -173,10 +201,15 @@ class Forest:
 class RuleModel:
     forest: Forest | None
     threshold: float
+    scale: Scale | None = None
+
+    def score(self, counts: np.ndarray) -> np.ndarray:
+        """Anomaly score of each row of ``COUNTS``."""
+        return self.forest.score(self.scale.points(statistics(counts))) if self.forest else np.zeros(len(counts))
 
 
-def with_rules(docs: DataFrame, keep: list[str], text: str, into: str, forest: Forest | None) -> DataFrame:
-    """The columns ``keep`` and a struct column ``into`` of counts and, with a forest, the score."""
+def with_rules(docs: DataFrame, keep: list[str], text: str, into: str, model: RuleModel) -> DataFrame:
+    """The columns ``keep`` and a struct column ``into`` of counts and the model's score."""
     rules = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS] + [T.StructField("score", T.DoubleType())])
     fields = [docs.schema[c] for c in keep] + [T.StructField(into, rules)]
     own = pa.struct([(c, pa.int64()) for c in COUNTS] + [("score", pa.float64())])
@@ -186,7 +219,7 @@ def with_rules(docs: DataFrame, keep: list[str], text: str, into: str, forest: F
         for batch in batches:
             texts = batch.column(read.index(text))
             counts = np.array([rule_counts(x.as_py()) for x in texts], dtype=np.int64).reshape(-1, len(COUNTS))
-            scores = forest.score(statistics(counts)) if forest else np.zeros(len(counts))
+            scores = model.score(counts)
             struct = pa.StructArray.from_arrays(
                 [*(pa.array(c) for c in counts.T), pa.array(scores)], fields=list(own)
             )
@@ -209,32 +242,40 @@ def fit_rules(
     max_false_rejection: float = MAX_FALSE_REJECTION, trees: int = TREES, tree_rows: int = TREE_ROWS,
 ) -> RuleModel:
     """Grow the forest on about ``fit_rows`` documents and calibrate its threshold on about
-    ``labelled_rows`` labels; both samples are chosen by hash and both bounds are fixed."""
-    narrow = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
-    some = known.where(hash_share(known.count(), labelled_rows, "doc_id", seed=2))
-    some = some.groupBy(F.col("doc_id").alias("_labelled")).agg(F.min("quality").alias("_quality"))
+    ``labelled_rows`` labelled ones. Both samples are chosen by hash at the rate of their own count, among
+    different (id, text): no more rows than that reach the driver, however often one is repeated or one id occurs."""
+    narrow = docs.select(
+        F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.xxhash64(F.col(f"`{text}`")).alias("_hash")
+    )
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    known = known.groupBy(F.col("doc_id").alias("_labelled")).agg(F.min("quality").alias("_quality"))
+    classes = narrow.select("_id", "_hash").distinct().join(known, F.col("_id") == F.col("_labelled"), "left")
+    n, n_labelled = classes.agg(F.count("*"), F.count("_quality")).first()
     chosen = (
-        narrow.withColumn("_fit", hash_share(narrow.select("_id").count(), fit_rows, "_id", seed=1))
-        .join(F.broadcast(some), F.col("_id") == F.col("_labelled"), "left")  # about labelled_rows rows at most
-        .where(F.col("_fit") | F.col("_quality").isNotNull())
+        classes.withColumn("_fit", hash_share(n, fit_rows, "_id", "_hash", seed=1))
+        .where(F.col("_fit") | (F.col("_quality").isNotNull() & hash_share(n_labelled, labelled_rows, "_id", "_hash", seed=2)))
+        .select(F.col("_id").alias("_chosen"), F.col("_hash").alias("_chosen_hash"), "_fit", "_quality")
     )
+    own = F.col("_id").eqNullSafe(F.col("_chosen")) & (F.col("_hash") == F.col("_chosen_hash"))
+    sample = narrow.join(F.broadcast(chosen), own)  # about fit_rows + labelled_rows rows at most
     rows = (
-        with_rules(chosen, ["_fit", "_quality"], "_text", "_rules", None)
+        with_rules(sample, ["_id", "_hash", "_fit", "_quality"], "_text", "_rules", RuleModel(None, 0.0))
         .where(~base_failed("_rules"))
-        .select("_fit", "_quality", *[f"_rules.{c}" for c in COUNTS])
+        .select("_id", "_hash", "_fit", "_quality", *[f"_rules.{c}" for c in COUNTS])
+        .distinct()
         .toPandas()
     )
     # sorted, so that the order in which tasks end doesn't show in the forest
+    rows = rows.drop(columns=["_id", "_hash"])
     rows = rows.sort_values(list(rows.columns), kind="stable", na_position="last")
-    points = statistics(rows[list(COUNTS)].to_numpy(dtype=np.int64).reshape(-1, len(COUNTS)))
-    fit = points[rows["_fit"].to_numpy(dtype=bool)]
-    good = points[(rows["_quality"] == 1).to_numpy(dtype=bool)]
+    values = statistics(rows[list(COUNTS)].to_numpy(dtype=np.int64).reshape(-1, len(COUNTS)))
+    fit, good, bad = (values[(x).to_numpy(dtype=bool)] for x in (rows["_fit"], rows["_quality"] == 1, rows["_quality"] == 0))
     if not len(fit) or not len(good):
         return RuleModel(None, float("inf"))
-    forest = Forest.grow(fit, trees, tree_rows)
-    bad = points[(rows["_quality"] == 0).to_numpy(dtype=bool)]
-    return RuleModel(forest, calibrated(forest.score(good), forest.score(bad), max_false_rejection))
+    scale = Scale.fit(good)
+    fit, good, bad = scale.points(fit), scale.points(good), scale.points(bad)
+    forest = Forest.grow(fit, trees, tree_rows, weights=telling(good, bad))
+    return RuleModel(forest, calibrated(forest.score(good), forest.score(bad), max_false_rejection), scale)
 
 
 def calibrated(good: np.ndarray, bad: np.ndarray, max_false_rejection: float) -> float:
@@ -248,7 +289,7 @@ def calibrated(good: np.ndarray, bad: np.ndarray, max_false_rejection: float) ->
 def judged(docs: DataFrame, model: RuleModel, *, keep: list[str], into: str, text: str = "text") -> DataFrame:
     """``keep``, the struct ``into`` and the booleans ``<into>_base_failed`` and ``<into>_kept``."""
     return (
-        with_rules(docs, keep, text, into, model.forest)
+        with_rules(docs, keep, text, into, model)
         .withColumn(f"{into}_base_failed", base_failed(into))
         .withColumn(
             f"{into}_kept",
