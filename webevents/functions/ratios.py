@@ -40,39 +40,43 @@ def safe_ratio(n: str | Column, d: str | Column, digits: int) -> Column:
     return F.round(F.try_divide(_c(n), _c(d)), digits)
 
 
-#: Digits of a double are split off in steps of so many bits.
-PART_BITS = 62
+#: Exponents at which a value is cut into digits of 24 bits, the highest first.
+DIGITS = (36, 12, -12, -36, -60, -84)
 
 
-def money_sum(c: str | Column) -> Column:
+def money_sum(c: str) -> Column:
     """SUM of a money column (NULL when all inputs are NULL), the same bits for any order and partitioning.
 
-    A value below 2**62 is an integer plus, in units of 2**-62 and of 2**-124, two more; all three are
-    exact, and so are their sums as decimals of 38 digits, which no number of rows overflows in
-    practice. The total joins the three sums at the end. What lies outside (NaN, Infinity, values from
-    2**62 on, bits below 2**-124) is added as doubles are.
+    A value below 2**62 is rounded to multiples of 2**e for each e of ``DIGITS``, by adding and subtracting a number
+    whose last bit stands for 2**e; the differences of neighbouring roundings are whole numbers of at most 26 bits,
+    so their sums are exact as longs for 2**36 rows and more. The total joins the sums, the smallest first. What lies
+    outside (NaN, Infinity, values from 2**62 on, bits below 2**-85) is added as doubles are.
     """
-    x = _c(c).cast("double")
-    unit = float(2**PART_BITS)
-    inside = F.abs(x) < unit  # false for NaN and Infinity
+    if isinstance(c, Column):
+        raise TypeError("money_sum takes a column's name; select an expression under a name first")
+    x = f"CAST({_quoted(c)} AS DOUBLE)"
+    inside = f"abs({x}) < {float(2**62)!r}D"  # false for NaN and Infinity
 
-    def digits(v: Column) -> Column:
-        return v.cast("long")  # towards zero, so that the rest is exact and has the sign of v
+    def rounded(e: int) -> str:
+        last_bit = 1.5 * 2.0 ** (52 + e)
+        # from 2**(51 + e) on the value is a multiple of 2**(e - 1) as it is
+        return f"IF(abs({x}) < {2.0 ** (51 + e)!r}D, {x} + {last_bit!r}D - {last_bit!r}D, {x})"
 
-    def exact(v: Column) -> Column:
-        return F.sum(v.cast("decimal(28,0)")).cast("double")
+    tail = f"CASE WHEN NOT ({inside}) THEN {x} WHEN abs({x}) < {2.0**-32!r}D THEN {x} - {rounded(DIGITS[-1])} END"
+    total = f"coalesce(sum({tail}), 0D)"
+    for e, above in reversed(list(zip(DIGITS, (None, *DIGITS)))):
+        unit = 2.0 ** (e - 1)
+        part = rounded(e) if above is None else f"({rounded(e)} - {rounded(above)})"
+        digit = f"WHEN {inside} THEN CAST({part} / {unit!r}D AS BIGINT)"
+        if above is None:  # not NULL for any value, so the total is NULL without one only
+            total += f" + sum(CASE {digit} WHEN {x} IS NOT NULL THEN 0L END) * {unit!r}D"
+        else:
+            total += f" + coalesce(sum(CASE {digit} END) * {unit!r}D, 0D)"
+    return F.expr(total)  # one expression: built part by part it would cost more time than a small query
 
-    whole = F.when(inside, digits(x)).when(x.isNotNull(), F.lit(0).cast("long"))
-    fine = F.when(inside, (x - digits(x)) * unit)
-    finest = (fine - digits(fine)) * unit
-    fine_digits = F.when(fine != 0, digits(fine))
-    finest_digits = F.when(finest != 0, digits(finest))
-    tail = F.when(~inside, x).when(finest != digits(finest), (finest - digits(finest)) / unit / unit)
 
-    def present(v: Column) -> Column:
-        return F.coalesce(v, F.lit(0.0))
-
-    return exact(whole) + present(exact(fine_digits)) / unit + present(exact(finest_digits)) / unit / unit + present(F.sum(tail))
+def _quoted(name: str) -> str:
+    return name if "`" in name else ".".join(f"`{part}`" for part in name.split("."))
 
 
 def money(c: str | Column, digits: int = 2) -> Column:
@@ -80,6 +84,6 @@ def money(c: str | Column, digits: int = 2) -> Column:
     return F.round(_c(c), digits)
 
 
-def rounded_money_sum(c: str | Column, digits: int = 2) -> Column:
+def rounded_money_sum(c: str, digits: int = 2) -> Column:
     """ROUND(SUM(c), digits) for money."""
     return money(money_sum(c), digits)

@@ -95,12 +95,12 @@ def ltv_by_channel(
         .filter(F.col("_visits") > 0)
     )
     has_user = F.col(USER).isNotNull()
-    revenue = F.when(has_user, F.col("total_revenue"))
     paying = F.count_if(has_user & (F.col("total_purchases") > 0))
     users = F.count(USER)
-    channel_revenue = money_sum(revenue)
+    channel_revenue = money_sum("_of_user")
     return (
-        per_user.groupBy("first_channel")
+        per_user.withColumn("_of_user", F.when(has_user, F.col("total_revenue")))
+        .groupBy("first_channel")
         .agg(
             users.alias("total_users"),
             paying.alias("paying_users"),

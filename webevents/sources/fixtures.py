@@ -249,19 +249,24 @@ def assert_unique(table: DataFrame, key: str) -> None:
         raise ValueError(f"{key} {twice[0]} occurs {twice[1]} times; it must be unique")
 
 
-def _file_states(spark: SparkSession, path: str) -> dict[str, str]:
-    """Path and state (a hash of path, length and modification time) of every file under ``path``,
-    whatever its store; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    state = F.sha1(F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")))
-    return {r["path"]: r["state"] for r in files.select("path", state.alias("state")).collect()}
+INPUTS = ("events", "customer", "nation")
 
 
-def _dimensions_stamp(spark: SparkSession, sf_dir: str) -> str:
+def _file_states(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, str]]:
+    """Per input table the path and state (a hash of path, length and modification time) of every file, whatever
+    its store; one listing job, and no file is opened."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in INPUTS]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    states: dict[str, dict[str, str]] = {name: {} for name in INPUTS}
+    for r in files.select("path", "length", F.unix_micros("modificationTime").alias("modified")).collect():
+        table = max(INPUTS, key=lambda name: r["path"].rfind(f"/{name}.parquet"))
+        states[table][r["path"]] = hashlib.sha1(f"{r['path']}|{r['length']}|{r['modified']}".encode()).hexdigest()
+    return states
+
+
+def _dimensions_stamp(states: dict[str, dict[str, str]]) -> str:
     """Identify the mapping's version and the tables that every event is joined to."""
-    parts = [f"v{MAPPING_VERSION}"]
-    for name in ("customer", "nation"):
-        parts += sorted(_file_states(spark, f"{sf_dir}/{name}.parquet").values())
+    parts = [f"v{MAPPING_VERSION}", *sorted(states["customer"].values()), *sorted(states["nation"].values())]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -311,8 +316,9 @@ def nested_event_batches(spark: SparkSession, sf_dir: str, start: str | None = N
     whole, so readers never see a table in the making, and of two applications that derive at once
     both end with the same.
     """
-    states = _file_states(spark, f"{sf_dir}/events.parquet")
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_dimensions_stamp(spark, sf_dir)}"
+    found = _file_states(spark, sf_dir)
+    states = found["events"]
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/webevents-nested/{_dimensions_stamp(found)}"
     first, last = start or FIRST, end or LAST
     key = (session_id(spark), folder, first, last, *sorted(states.values()))
     with _LOCKS_GUARD:
@@ -372,7 +378,7 @@ def nested_event_table(spark: SparkSession, sf_dir: str, start: str | None = Non
     folder, batches = nested_event_batches(spark, sf_dir, start, end)
     if len(batches) > 1:
         _publish(
-            spark, folder, start or FIRST, end or LAST, set(_file_states(spark, f"{sf_dir}/events.parquet").values()),
+            spark, folder, start or FIRST, end or LAST, set(_file_states(spark, sf_dir)["events"].values()),
             fixture_table(spark, sf_dir, start, end),
         )
         _PUBLISHED.clear()
