@@ -111,6 +111,18 @@ def test_samples_are_bounded_and_the_pool_has_no_label(spark, monkeypatch, label
     assert pool == 0 if labels_of == "all" else n_free > 200 and 30 <= pool <= 100
 
 
+def test_a_repeated_row_is_one_row_of_the_samples(spark, monkeypatch):
+    docs = documents(spark, SF001, "doc_id", "text", "source", "lang", "n_chars")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").select("doc_id", "quality")
+    labelled = docs.join(labels, "doc_id", "left_semi").select("doc_id", "text").distinct().count()
+    hot = docs.join(labels, "doc_id", "left_semi").orderBy("doc_id").limit(1)
+    hot = hot.crossJoin(spark.range(3_000)).withColumn("source", F.concat(F.lit("s"), F.col("id") % 7)).drop("id")
+    seen, cotrain = [], quality_cotrain.cotrain
+    monkeypatch.setattr(quality_cotrain, "cotrain", lambda text, *rest: seen.append(len(text)) or cotrain(text, *rest))
+    quality_cotrain.fit_quality(docs.unionByName(hot).repartition(4), labels, labelled_rows=10**6, pool_rows=10**6)
+    assert seen == [labelled]
+
+
 def test_views_teach_each_other_only_what_they_are_sure_of():
     rng = np.random.default_rng(0)
     y = (rng.random(600) < 0.5).astype(float)

@@ -222,13 +222,11 @@ def fit_quality(
     rows = narrowed(docs, doc_id, text, source, language, length).withColumn("_hash", F.xxhash64("_text"))
     # ids and hashes alone tell what is labelled; the texts stay where they are
     told = stored(
-        rows.groupBy("_id", "_hash").agg(F.count("*").alias("_n"))
-        .join(known, F.col("_id") == F.col("_known"), "left").select("_id", "_hash", "_n", "_y"),
+        rows.select("_id", "_hash").distinct()
+        .join(known, F.col("_id") == F.col("_known"), "left").select("_id", "_hash", "_y"),
         "quality-known",
     )
-    n_known, n_free = (
-        told.agg(*[F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)) for c in (F.col("_y").isNotNull(), F.col("_y").isNull())]).first()
-    )
+    n_known, n_free = told.agg(F.count("_y"), F.count_if(F.col("_y").isNull())).first()
     some = told.where(F.col("_y").isNotNull() & hash_share(n_known, labelled_rows, "_id", "_hash", seed=11)).unionByName(
         told.where(F.col("_y").isNull() & hash_share(n_free, pool_rows, "_id", "_hash", seed=12))
     ).select(F.col("_id").alias("_some"), F.col("_hash").alias("_some_hash"), "_y")
@@ -236,7 +234,12 @@ def fit_quality(
         # about labelled_rows + pool_rows rows at most
         rows.join(F.broadcast(some), F.col("_id").eqNullSafe(F.col("_some")) & (F.col("_hash") == F.col("_some_hash")))
         .withColumn("_aside", F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(10)) < 3)
-        .select("_id", "_y", "_aside", "_text", "_source", "_language", "_length")
+        # one row for rows equal in id and text, that with the least metadata
+        .groupBy("_id", "_hash").agg(
+            F.first("_y").alias("_y"), F.first("_aside").alias("_aside"), F.first("_text").alias("_text"),
+            F.min(F.struct("_source", "_language", "_length")).alias("_rest"),
+        )
+        .select("_id", "_y", "_aside", "_text", "_rest.*")
     )
     schema = pa.schema([("id", pa.string()), ("y", pa.int32()), ("aside", pa.bool_()), ("views", pa.binary())])
 
