@@ -60,7 +60,7 @@ def test_query_matches_its_sql(spark, name, sf_dir):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 # 1 quality classifier
