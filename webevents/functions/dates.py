@@ -19,7 +19,8 @@ def event_day(c: str | Column = "event_date") -> Column:
         text = c if "`" in c else ".".join(f"`{part}`" for part in c.split("."))
         n = f"try_cast({text} AS INT)"
         return F.expr(  # a number in this range of eight characters has no sign and no space
-            f"IF(length({text}) = 8 AND {n} BETWEEN 10000101 AND 99991231, "
+            # no BETWEEN: it becomes a projection of its own, below which nested columns are read whole
+            f"IF(length({text}) = 8 AND {n} >= 10000101 AND {n} <= 99991231, "
             f"make_date(CAST({n} DIV 10000 AS INT), CAST({n} DIV 100 % 100 AS INT), {n} % 100), to_date({text}, 'yyyyMMdd'))"
         )
     return F.to_date(c, "yyyyMMdd")
