@@ -429,6 +429,27 @@ def test_components_of_long_chains(spark):
     assert {n: got.get(n, n) for n in expected} == expected
 
 
+@pytest.mark.parametrize("chunk, tables", [(1 << 18, 2), (40, None)])
+def test_links_of_one_task_take_no_turns(spark, monkeypatch, chunk, tables):
+    # a chain, a hub and separate pairs, dealt over many small partitions
+    rng = random.Random(4)
+    names = rng.sample(range(10_000), 200)
+    edges = [(a, b) for a, b in zip(names, names[1:])] + [(names[3], n) for n in range(20_000, 20_100)]
+    edges += [(-n, -n - 1) for n in range(1, 100, 2)]
+    rng.shuffle(edges)
+    made, whole = [], common.stored
+    monkeypatch.setattr("webevents.llm.components.stored", lambda df, label: made.append(label) or whole(df, label))
+    links = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        rows = [tuple(r) for r in components(links, chunk=chunk).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = brute.union(edges, {n for e in edges for n in e})
+    assert dict(rows) == expected and len(rows) == len(expected)
+    assert len(made) == tables if tables else len(made) > 4  # before, nine tables and more
+
+
 # 6 mixing
 
 
