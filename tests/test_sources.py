@@ -4,13 +4,22 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 
 import pyarrow.parquet as pq
 
 from conftest import SF001
 from webevents.operators import date_window, single_day
 from webevents.sources import SUFFIX_COLUMN, read_events, write_events
-from webevents.sources.fixtures import fixture_table, nested_event_table
+from webevents.sources.fixtures import (
+    DEVICE_CATEGORIES,
+    FIXTURE_END,
+    FIXTURE_START,
+    MEDIUM_BY_MI,
+    fixture_events,
+    fixture_table,
+    nested_event_table,
+)
 
 
 def test_writer_makes_time_sorted_day_shards(spark, tmp_path):
@@ -39,3 +48,27 @@ def test_open_ended_windows(spark):
     path = nested_event_table(spark, SF001)
     assert read_events(spark, path, None, "20240110").count() == first
     assert read_events(spark, path, "20240111").count() == total - first
+
+
+def test_the_derivation_is_code_that_the_jvm_compiles(spark):
+    # a generated method of more than 8,000 bytes is interpreted, which took most of the derivation's time
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the generated code is known before a run
+    try:
+        for window in ((None, None), (FIXTURE_START, FIXTURE_END)):
+            rows = fixture_events(spark, SF001, *window).hint("rebalance", SUFFIX_COLUMN).sortWithinPartitions(SUFFIX_COLUMN)
+            code = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+            assert sizes and max(sizes) < 6000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_parameters_and_labels_by_position(spark):
+    rows = fixture_events(spark, SF001).select("event_name", "event_params", "traffic_source", "device", "ecommerce").collect()
+    keys = {tuple(p["key"] for p in r["event_params"]) for r in rows}
+    order = ["ga_session_id", "session_engaged", "page_location", "engagement_time_msec", "medium"]
+    assert () in keys and any(k[:2] == ("ga_session_id",) * 2 for k in keys)
+    assert all([order.index(x) for x in k] == sorted(order.index(x) for x in k) for k in keys)
+    assert {r["traffic_source"]["medium"] for r in rows} == set(MEDIUM_BY_MI)
+    assert {r["device"]["category"] for r in rows} == set(DEVICE_CATEGORIES)
