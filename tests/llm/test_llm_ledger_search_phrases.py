@@ -190,3 +190,37 @@ def test_counts_beyond_64_bits_of_product(spark):
     big = 10**13
     score = spark.range(1).select(F.expr(f"cast(cast(2000000 as decimal(7,0)) * cast({big}L as decimal(20,0)) div (cast({big}L as decimal(20,0)) + cast({big + 1}L as decimal(20,0))) as bigint)"))
     assert score.first()[0] == 2_000_000 * big // (2 * big + 1)
+
+
+def test_a_phrase_is_named_a_few_times_however_often_it_occurs(spark, monkeypatch):
+    common = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(i, "en", f"{common} . d{i}") for i in range(1200)], "doc_id long, lang string, text string")
+    made, whole = [], toivonen_phrases.call_keys
+
+    def call_keys(*args):
+        calls = whole(*args)
+        made.append(calls.where("k > 0").count())
+        return calls
+
+    monkeypatch.setattr(toivonen_phrases, "call_keys", call_keys)
+    frequent, totals = toivonen_phrases.frequent_phrases(rows, least=30, block_bytes=200)  # a block per document or two
+    got = {(r["phrase"], r["n"]) for r in frequent.collect()}
+    words = common.split()
+    assert got == {(" ".join(words[i : i + k]), 1200) for k in range(1, 5) for i in range(61 - k)}
+    assert totals.collect()[0]["n"] == 61 * 1200
+    assert len(made) == 3 and made[2] == 0 and sum(made) < 0.1 * 1200 * len(got)  # before, a row per block and phrase
+
+
+def test_keys_of_two_phrases_are_counted_by_their_text(spark, monkeypatch):
+    # two phrases that share a key differ in their checks
+    keys, n = toivonen_phrases._grouped(np.array([5, 9, 5], np.uint64), np.array([1, 2, 1], np.uint64))
+    _, other = toivonen_phrases._grouped(np.array([5], np.uint64), np.array([3], np.uint64))
+    low = (1 << toivonen_phrases.COUNT_BITS) - 1
+    assert keys.tolist() == [5, 9] and (n & low).tolist() == [2, 1] and n[0] >> toivonen_phrases.COUNT_BITS != other[0] >> toivonen_phrases.COUNT_BITS
+    rows = spark.createDataFrame([(i, "en", "a b c. a b") for i in range(20)], "doc_id long, lang string, text string")
+    expected = {tuple(r) for r in toivonen_phrases.frequent_phrases(rows, least=5)[0].collect()}
+    whole = toivonen_phrases.count_keys
+    monkeypatch.setattr(toivonen_phrases, "count_keys", lambda *a, **b: whole(*a, **b).withColumn("high", F.col("low") + 1))
+    monkeypatch.setattr(toivonen_phrases, "called", None)
+    found, totals = toivonen_phrases.frequent_phrases(rows, least=5)
+    assert {tuple(r) for r in found.collect()} == expected and totals.collect()[0]["n"] == 100

@@ -7,8 +7,11 @@ a failure of the sample; a further pass counts every phrase of frequent words th
 closes the count, for any sample: of a frequent phrase that the first pass didn't count, the shortest part
 that is frequent and not proposed has all its own parts proposed, so it is a failure of the border.
 
-Most of the border is rare, so these passes count 64-bit hashes of phrases, which can only count too much; a
-last pass counts the few phrases that are left by their text. Whether a phrase is known is asked of a filter
+Most of the border is rare, so these passes count 62-bit keys of phrases, with 23 bits of a second hash whose
+smallest and largest value tell keys that stand for two phrases. What is left is given its text: by passes over a 64th
+and an eighth of the documents and one over all, each of which looks only for phrases that no pass before it has
+found, so that a phrase is named a few times however often it occurs. If two phrases share a
+key, a pass over all documents counts everything left by its text instead. Whether a phrase is known is asked of a filter
 of bounded size, which can only know too many. Counts are combined per block of text (8 MB) before their
 shuffle, so a phrase that every document holds is one row per block.
 
@@ -44,13 +47,17 @@ _TABLE = bytes.maketrans(
 _BREAK = "\n"
 _SPACE = pa.scalar(" ", pa.large_string())
 KEYED = "key long, n long"
+CHECK_BITS = 23  # of a key's second hash, above its count in a block
+COUNT_BITS = 63 - CHECK_BITS
+NAMING = (64, 8)  # of so many documents one is searched for the texts of keys, before all are
+CALLED = "lang string, k int, phrase string, key long, n long"
 NAMED = "lang string, k int, phrase string, n long"
 _KEYED = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 _NAMED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.large_string()), ("n", pa.int64())])
 
 
-def _word_hashes(words: list, lang: str) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
+def _word_hashes(words: list, lang: str, other: int = 0) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode(), other)
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
@@ -65,6 +72,20 @@ def _keys(hashes: np.ndarray, k: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) & ~np.uint64(3) | np.uint64(k - 1)
 
 
+def _checked(n: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Counts with bits of the phrases' second hashes above them."""
+    bits = (other ^ (other >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - CHECK_BITS)
+    return n.astype(np.int64) | (bits << np.uint64(COUNT_BITS)).view(np.int64)
+
+
+def _grouped(keys: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and their counts, checked."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    begins = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[begins], _checked(np.diff(begins, append=len(keys)), other[order[begins]])
+
+
 def words_in(key: Column) -> Column:
     """Number of words of a key's phrase."""
     return key.bitwiseAND(F.lit(3)) + 1
@@ -128,21 +149,23 @@ def _numbered(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
 def _key_counts(
     texts: list[bytes], lang: str, levels: range, known: Callable, fresh: Callable | None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys and counts of one language's texts, level by level, as ``count_keys`` has it."""
+    """Keys and checked counts of one language's texts, level by level, as ``count_keys`` has it."""
     codes, words = _numbered(texts)
     if not len(codes):
         return
     real = pc.not_equal(words, _BREAK).to_numpy(zero_copy_only=False)
-    word_hash = _word_hashes(words.to_pylist(), lang)
+    listed = words.to_pylist()
+    word_hash, word_other = _word_hashes(listed, lang), _word_hashes(listed, lang, 1)
     keys = _keys(word_hash, 1)
     if 1 in levels:
-        yield keys[real], np.bincount(codes, minlength=len(words))[real]
+        yield keys[real], _checked(np.bincount(codes, minlength=len(words)), word_other)[real]
     # for every place: the hash of the phrase that begins there, and whether it may be part of a longer one
     hashes, last_word = word_hash[codes], word_hash[codes]
+    others, last_other = word_other[codes], word_other[codes]
     part = known_word = (real & known(keys))[codes]
     holds_fresh = None if fresh is None else (real & fresh(keys))[codes]
     for k in range(2, levels[-1] + 1):
-        hashes = _longer(hashes[:-1], last_word[k - 1 :])
+        hashes, others = _longer(hashes[:-1], last_word[k - 1 :]), _longer(others[:-1], last_other[k - 1 :])
         at = np.flatnonzero(part[:-1] & (part[1:] if fresh is None else known_word[k - 1 :]))
         keys = _keys(hashes[at], k)
         told = np.ones(len(at), bool)
@@ -151,29 +174,39 @@ def _key_counts(
             holds_fresh = np.zeros(len(hashes), bool)
             holds_fresh[at[told]] = True
         if k in levels:
-            yield np.unique(keys[told], return_counts=True)
+            yield _grouped(keys[told], others[at[told]])
         part = np.zeros(len(hashes), bool)
         part[at if fresh is not None else at[known(keys)]] = True
 
 
-def _named_counts(texts: list[bytes], lang: str, chosen: Held) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(k, phrases, counts) of the phrases of one language's texts that ``chosen`` holds, after k = 0 and all words."""
+def _named_counts(
+    texts: list[bytes], lang: str, chosen: Held, wanted: Held | None = None
+) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """(k, phrases, keys, counts) of the phrases of one language's texts that ``chosen`` (and ``wanted``) holds, after
+    k = 0 and all words. ``chosen`` holds the parts of what it holds."""
     codes, words = _numbered(texts)
     if not len(codes):
         return
     real = pc.not_equal(words, _BREAK).to_numpy(zero_copy_only=False)
     n = np.bincount(codes, minlength=len(words))
-    yield 0, pa.array([""], pa.large_string()), np.array([n[real].sum()])
+    yield 0, pa.array([""], pa.large_string()), np.zeros(1, np.uint64), np.array([n[real].sum()])
     word_hash = _word_hashes(words.to_pylist(), lang)
-    # phrases of k words: text, hash, last word; the places where one begins, and which
-    phrases, hashes, last = words, word_hash, np.arange(len(words))
+    # phrases of k words: hash, last word, and that of all words but the last; the places where one begins, and which
+    hashes, last, before = word_hash, np.arange(len(words)), []
     at, which, n_places = np.arange(len(codes)), codes, len(codes)
-    stays = np.flatnonzero(real & chosen(_keys(word_hash, 1)))
+    keys = _keys(word_hash, 1)
+    stays, first = np.flatnonzero(real & chosen(keys)), None
     for k in range(1, LONGEST + 1):
         new = np.full(len(hashes), -1)
         new[stays] = np.arange(len(stays))
-        phrases, hashes, last, n = phrases.take(pa.array(stays)), hashes[stays], last[stays], n[stays]
-        yield k, phrases, n
+        keys, hashes, last, n = keys[stays], hashes[stays], last[stays], n[stays]
+        before.append((None if first is None else first[stays], last))
+        told = np.arange(len(stays)) if wanted is None else np.flatnonzero(wanted(keys))
+        phrase_words, row = [], told
+        for prefix, own in reversed(before):
+            phrase_words.append(words.take(pa.array(own[row])))
+            row = row if prefix is None else prefix[row]
+        yield k, pc.binary_join_element_wise(*reversed(phrase_words), _SPACE), keys[told], n[told]
         if k == LONGEST or not len(stays):
             return
         number = np.full(n_places, -1)  # at every place
@@ -183,8 +216,8 @@ def _named_counts(texts: list[bytes], lang: str, chosen: Held) -> Iterator[tuple
         n_places -= 1
         first, rest = np.divmod(pairs, len(stays))
         last, hashes = last[rest], _longer(hashes[first], word_hash[last[rest]])
-        phrases = pc.binary_join_element_wise(phrases.take(pa.array(first)), words.take(pa.array(last)), _SPACE)
-        stays = np.flatnonzero(chosen(_keys(hashes, k + 1)))
+        keys = _keys(hashes, k + 1)
+        stays = np.flatnonzero(chosen(keys))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list[bytes]]]:
@@ -207,7 +240,8 @@ def _all(keys: np.ndarray) -> np.ndarray:
 
 
 def count_keys(texts: DataFrame, levels: range, known: Held | None = None, fresh: Held | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, n): how often the phrases of ``levels`` words occur in ``texts`` (lang, text), never less than that.
+    """(key, n, low, high): how often the phrases of ``levels`` words occur in ``texts`` (lang, text), never less than
+    that, and the smallest and largest check of the key's phrases.
 
     Counted are all words, and longer phrases both of whose parts one word shorter ``known`` holds (None: all).
     With ``fresh``, instead the phrases of known words that ``fresh`` holds or that contain one which it holds."""
@@ -219,7 +253,10 @@ def count_keys(texts: DataFrame, levels: range, known: Held | None = None, fresh
 
     # a block's counts hardly meet again in their task, so they go to their key's task as they are: a
     # frequent phrase is a row per block there
-    return texts.mapInArrow(count, KEYED).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+    n, check = F.col("n").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)), F.shiftright("n", COUNT_BITS)
+    return texts.mapInArrow(count, KEYED).repartition("key").groupBy("key").agg(
+        F.sum(n).alias("n"), F.min(check).alias("low"), F.max(check).alias("high")
+    )
 
 
 def count_named(texts: DataFrame, chosen: Held, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -228,12 +265,43 @@ def count_named(texts: DataFrame, chosen: Held, block_bytes: int = BLOCK_BYTES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in _blocks(batches, block_bytes):
-            for k, phrases, n in _named_counts(block, lang, chosen):
+            for k, phrases, _, n in _named_counts(block, lang, chosen):
                 yield batch_of(_NAMED, pa.repeat(lang, len(n)), np.full(len(n), k), phrases, n)
 
     return texts.mapInArrow(count, NAMED).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
+def call_keys(texts: DataFrame, chosen: Held, wanted: Held, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(lang, k, phrase, key, n): the phrases that both hold, as often as blocks hold them, and as k = 0 a
+    block's number of words."""
+    schema = pa.schema([*_NAMED][:3] + [pa.field("key", pa.int64()), pa.field("n", pa.int64())])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, block in _blocks(batches, block_bytes):
+            for k, phrases, keys, n in _named_counts(block, lang, chosen, wanted):
+                yield batch_of(schema, pa.repeat(lang, len(n)), np.full(len(n), k), phrases, keys.view(np.int64), n)
+
+    return texts.mapInArrow(call, CALLED)
+
+
+def called(chosen: DataFrame, parts: list[DataFrame], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(lang, k, phrase, n) of ``chosen`` (key, n), none of whose keys stands for two phrases, and as k = 0 the number of
+    all words of a language. Texts are looked for in one of ``parts`` (lang, text) after the other; the last holds all."""
+    of_chosen, missing, found = held(chosen), chosen, None
+    for i, texts in enumerate(parts):
+        calls = call_keys(texts, of_chosen, held(missing), block_bytes).groupBy("lang", "k", "phrase", "key").agg(F.sum("n").alias("words"))
+        if i < len(parts) - 1:
+            calls = calls.where("k > 0")
+        calls = stored(calls, "phrases-called")
+        found = calls if found is None else found.unionByName(calls)
+        if i < len(parts) - 1:
+            missing = stored(missing.join(calls.select("key"), "key", "left_anti"), "phrases-missing")
+    names = found.where("k > 0").select("lang", "k", "phrase", "key").distinct()
+    return names.join(chosen.select("key", "n"), "key").select("lang", "k", "phrase", "n").unionByName(
+        calls.where("k = 0").select("lang", "k", "phrase", F.col("words").alias("n"))
+    )
+
+
 def mine_sample(sample: DataFrame, least: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n) of phrases that occur ``least`` times in ``sample``: words and pairs, then level by level."""
     proposed, known = None, None
@@ -259,17 +327,28 @@ def frequent_phrases(
     ]).alias("_hash"))
     rows = rows.where(F.col("_text").isNotNull())
     texts = rows.select(F.coalesce("_lang", F.lit("und")).alias("lang"), F.col("_text").alias("text"))
-    sample = rows.where(F.pmod("_hash", F.lit(share)) == 0).select(F.coalesce("_lang", F.lit("und")).alias("lang"), F.col("_text").alias("text"))
+
+    def one_of(share: int) -> DataFrame:
+        part = rows.where(F.pmod("_hash", F.lit(share)) == 0)
+        return part.select(F.coalesce("_lang", F.lit("und")).alias("lang"), F.col("_text").alias("text"))
+
+    sample = one_of(share)
     proposed = mine_sample(sample, max(2, round(lowered * least / share)), block_bytes)
 
     counted = count_keys(texts, range(1, LONGEST + 1), held(proposed), block_bytes=block_bytes)
-    chosen = stored(counted.where(F.col("n") >= least).select("key"), "phrases-keys")
+    chosen = stored(counted.where(F.col("n") >= least), "phrases-keys")
     # failures of the border: frequent, but not proposed; what has LONGEST words is part of nothing
-    fresh = stored(chosen.join(proposed.select("key"), "key", "left_anti").where(words_in(F.col("key")) < LONGEST), "phrases-fresh")
+    fresh = chosen.join(proposed.select("key"), "key", "left_anti").where(words_in(F.col("key")) < LONGEST)
+    fresh = stored(fresh.select("key"), "phrases-fresh")
     if not fresh.isEmpty():
         more = count_keys(texts, range(2, LONGEST + 1), held(chosen), held(fresh), block_bytes)
-        chosen = stored(chosen.unionByName(more.where(F.col("n") >= least).select("key")), "phrases-keys")
-    named = stored(count_named(texts, held(chosen), block_bytes).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases-frequent")
+        both = chosen.unionByName(more.where(F.col("n") >= least)).groupBy("key")
+        chosen = stored(both.agg(F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")), "phrases-keys")
+    if chosen.where("low <> high").isEmpty():
+        named = called(chosen, [*(one_of(n) for n in NAMING), texts], block_bytes)
+    else:
+        named = count_named(texts, held(chosen), block_bytes).where((F.col("k") == 0) | (F.col("n") >= least))
+    named = stored(named, "phrases-frequent")
     return named.where("k > 0"), named.where("k = 0").select("lang", "n")
 
 
