@@ -11,6 +11,7 @@ import brute_corpus as brute
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,6 +196,48 @@ def test_odd_texts_have_the_librarys_ids():
         assert own == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, text
 
 
+class Counted:
+    """A tokenizer whose calls are counted."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, 0
+
+    def __getattr__(self, name):
+        self.calls += name.startswith("encode")
+        return getattr(self.tokenizer, name)
+
+
+def test_texts_met_together_share_the_librarys_calls(monkeypatch):
+    monkeypatch.setattr(repair_grammar, "AT_ONCE", 3_000)
+    with open(TOKENIZER) as file:
+        encoder = repair_grammar.TextEncoder(file.read())
+    rng = random.Random(3)
+    words = list({"".join(rng.choices(["th", "é", "on", "日", "ing", "st", "Ra", "ñ"], k=rng.randint(2, 6))) for _ in range(20_000)})
+    texts = [" ".join(w + rng.choice(["", "", ",", ".\n", "!?"]) for w in words[i : i + 50]).replace("\n ", "\n") for i in range(0, len(words), 50)]
+    expected = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    encoder.tokenizer, encoder.model = Counted(encoder.tokenizer), Counted(encoder.model)
+    ids, counts = encoder.encode_all(pa.array(texts), np.array([0], "<u4").tobytes())
+    assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    lines = sum(t.count("\n") for t in texts)  # a line's first chunk goes through the library as a whole
+    assert encoder.model.calls <= 1 + len(words) // 3_000 and encoder.tokenizer.calls <= len(texts) + lines + 20 < len(words) / 2
+
+
+def test_texts_encoded_together_are_those_encoded_alone(monkeypatch):
+    monkeypatch.setattr(repair_grammar, "AT_ONCE", 7)
+    monkeypatch.setattr(repair_grammar, "MEMORY", 40)
+    with open(TOKENIZER) as file:
+        encoder = repair_grammar.TextEncoder(file.read())
+    rng = random.Random(8)
+    parts = ["ab", "Zé", "don't", "9", "日本", ".", ",", '("', "x1", "\n", " ", " ", " ", "\n", "\t", "\x85", "<|endoftext|>", "\x00"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3_000)] + [None, "", " ", "\n", " a", "a ", "a\n"]
+    for begin in range(0, len(texts), 500):
+        some = texts[begin : begin + 500]
+        ids, counts = encoder.encode_all(pa.array(some, pa.string()), np.array([0], "<u4").tobytes())
+        expected = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in some]
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    assert encoder.chunks.old
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_grammar_round_trip_and_random_access(seed):
     rng = np.random.default_rng(seed)

@@ -18,8 +18,8 @@ no shards; other columns are not read.
 
 from __future__ import annotations
 
+import codecs
 import os
-import re
 import struct
 import zlib
 from array import array
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -45,6 +46,9 @@ MIN_COUNT = 8
 
 #: Chunks of text in one generation of a worker's memory (about 200 bytes each).
 MEMORY = 500_000
+#: Bytes of text encoded together (a longer text by itself), and pre-tokens in one call of the library.
+TEXT_BYTES = 4_000_000
+AT_ONCE = 5_000
 
 MAGIC = b"RPG2"
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, bits per symbol, documents, symbols, ids, rules, first nonterminal
@@ -247,69 +251,130 @@ class Shard:
 
 
 # How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others from 256 on.
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-
-
-SPACE_LETTER = chr(BYTE_LETTERS[32])
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = iter(range(256, 512))
+#: The letter of every byte; but the line feed, which no pre-token of letters holds, stands between them.
+SPELLING = "".join(chr(b if b in _PRINTABLE else next(_OTHERS)) for b in range(256)).replace(chr(256 + ord("\n")), "\n")
 #: Marks that end words (an apostrophe would begin a pre-token of its own, were letters to follow).
 MARKS = ".,!?;:#%&*$|()-\""
 
 
+#: White space to Python or to the library, twice in a row.
+UNEVEN = "[" + "".join(rf"\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "]{2}"
+
+
+def strings(array: pa.StringArray) -> list[str]:
+    """The strings of an array, none of which has a space: one conversion, not one for each."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(array)], array), " ")[0].as_py().split(" ") if len(array) else []
+
+
 class TextEncoder:
     """Encodes whole texts with the tokenizers library.
 
-    Byte-level pre-tokens never cross a lone space or line feed, so text is cut there and
-    chunks met before are looked up; the library encodes the others, and every text
-    in which white space meets white space, or that holds the string of an added token, as a whole."""
-
-    UNEVEN = re.compile(r"\s\s")
+    Byte-level pre-tokens never cross a lone space or line feed, so texts are cut there. The chunks of many texts
+    are numbered together, words met before are looked up, and thousands of others go through the
+    library's model in one call; the library encodes the other chunks, and every text in which white space
+    meets white space, or that holds the string of an added token, as a whole."""
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.model = self.tokenizer.model
+        #: The model alone, for pre-tokens spelled in its letters, of which none is a line feed.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = CharDelimiterSplit("\n")
+        letters = self.model.get_vocab()
+        self.spaced = np.zeros(1 + max(letters.values()), dtype=bool)
+        self.spaced[[i for token, i in letters.items() if token.startswith(SPELLING[ord(" ")])]] = True
         self.chunks = Memory(self.chunk, MEMORY)
-        self.marks = Memory(self.letters)
+        self.marks = Memory(self.ids)
 
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def letters(self, word: str) -> bytes:
-        """Ids of a pre-token, from the library's model alone."""
-        if word[:1] == " " and word.isascii():
-            spelled = SPACE_LETTER + word[1:]  # letters and marks spell themselves
-        else:
-            spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
     def chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk. Letters, with the space before them, are one pre-token, and so are the marks
-        that follow them; anything else goes through the library as a whole."""
-        if chunk.isalpha():
-            return self.letters(" " + chunk)
-        word = chunk.rstrip(MARKS)
-        if word.isalpha():
-            return self.chunks[word] + self.marks[chunk[len(word) :]]
-        if chunk[:1] == "\n":
-            return self.marks["\n"] + self.head(chunk[1:])
-        return self.ids(" " + chunk)
+        """Ids of a chunk from the library; a line feed at its begin has no space before it."""
+        return self.marks["\n"] + self.head(chunk[1:]) if chunk[:1] == "\n" else self.ids(" " + chunk)
+
+    def words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, each with the space before it, from the library's model alone."""
+        for i in range(0, len(words), AT_ONCE):
+            spelled, _ = codecs.charmap_decode((" " + "\n ".join(words[i : i + AT_ONCE])).encode(), "strict", SPELLING)
+            ids = self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids
+            data = array("I", ids).tobytes()
+            # a pre-token has its space at its begin and nowhere else, so that space tells where its ids begin
+            begins = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            yield from map(data.__getitem__, map(slice, begins, [*begins[1:], len(data)]))
+
+    def pieces(self, chunks: list[str], bare: list[str], marked: list[int]) -> list[bytes]:
+        """Ids of different chunks. Letters, with the space before them, are one pre-token, and so are the marks that
+        follow them in the places ``marked`` (``bare``: chunks without); anything else goes through the library as a whole."""
+        memory, old, keys = self.chunks, self.chunks.old, chunks.copy()
+        memory.turn()
+        self.marks.turn()
+        for i in marked:
+            if bare[i].isalpha():
+                keys[i] = bare[i]
+        found = [*map(memory.get, keys)]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for key in dict.fromkeys(map(keys.__getitem__, missing)):
+            if (ids := old.get(key)) is not None:
+                memory[key] = ids
+            elif key.isalpha():
+                new.append(key)
+        memory.update(zip(new, self.words(new), strict=True))
+        for i in missing:
+            found[i] = memory[keys[i]]
+        for i in marked:
+            if keys[i] is not chunks[i]:
+                found[i] += self.marks[chunks[i][len(keys[i]) :]]
+        return found
 
     def head(self, text: str) -> bytes:
         """Ids of text that begins a line, without a space before it."""
-        return self.letters(text) if text.isalpha() else self.ids(text) if text else b""
+        return self.ids(text) if text else b""
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.UNEVEN.search(text) or any(t in text for t in self.added):
-            return self.ids(text)
+        """Ids of one text."""
+        return self.encode_all(pa.array([text], pa.string()), b"")[0].tobytes()
+
+    def encode_all(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, ``end`` after each, and how many each has with it."""
+        whole = pc.match_substring_regex(texts, UNEVEN)
+        for t in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, t))
+        whole = pc.fill_null(whole, True)
         # a chunk stands for itself with the space before it, or begins with its line feed
-        first, *chunks = text.replace("\n", " \n").split(" ")
-        return self.head(first) + b"".join(self.chunks.all(chunks))
+        spaced = pc.replace_substring(pc.if_else(whole, "", texts), "\n", " \n")
+        cut = pc.split_pattern(spaced, " ")
+        offsets, flat = cut.offsets.to_numpy().astype(np.int64), cut.values
+        inner = np.ones(len(flat), dtype=bool)
+        inner[offsets[:-1]] = False
+        heads = flat.take(pa.array(offsets[:-1])).to_pylist()
+        numbered = flat.filter(pa.array(inner)).dictionary_encode()
+        n, chunks = len(numbered.dictionary), numbered.dictionary
+        bare = pc.utf8_rtrim(chunks, MARKS)
+        marked = np.flatnonzero(pc.not_equal(pc.binary_length(chunks), pc.binary_length(bare)).to_numpy(zero_copy_only=False))
+        pieces = [*self.pieces(strings(chunks), strings(bare), marked.tolist()), end, *map(self.head, heads)]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            pieces[n + 1 + i] = self.head(texts[i].as_py())
+        # the number of every chunk, of each text's head and, after each text, of the end
+        codes = np.empty(len(flat), dtype=np.int32)
+        codes[inner] = numbered.indices.to_numpy()
+        codes[offsets[:-1]] = n + 1 + np.arange(len(heads))
+        codes = np.insert(codes, offsets[1:], n)
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        starts = np.cumsum(sizes) - sizes
+        taken = sizes[codes]
+        ends = np.cumsum(taken)
+        where = np.repeat(starts[codes] - ends + taken, taken)
+        where += np.arange(len(where))
+        ids = np.frombuffer(b"".join(pieces), "<u4")[where]
+        return ids, np.diff(ends[offsets[1:] + np.arange(len(heads))], prepend=0)
 
 
 _encoders: dict[int, TextEncoder] = {}
@@ -324,6 +389,15 @@ def encoder_of(tokenizer_json: str) -> TextEncoder:
     return _encoders[name]
 
 
+def together(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``batch`` whose second column has about ``most`` bytes in all, or one row."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_shards(
     docs: DataFrame, folder: str, tokenizer_json: str, terminals: int, *, doc_id: str = "doc_id",
     text: str = "text", end_id: int = END_ID, shard_ids: int = SHARD_IDS,
@@ -337,26 +411,32 @@ def write_shards(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder_of(tokenizer_json).encode
+        encoder = encoder_of(tokenizer_json)
         part, shard = TaskContext.get().partitionId(), 0
-        names, pieces, held = [], [], 0
+        names, sizes, pieces, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             path = new_file(folder, ".rpg")
-            counts = np.array([len(p) // 4 for p in pieces], dtype=np.int64)
-            data = np.frombuffer(b"".join(pieces), "<u4")
+            data = np.concatenate(pieces)
             with open_output(path) as out:
-                out.write(Shard.build(names, data, counts, terminals).to_bytes())
+                out.write(Shard.build(names, data, np.concatenate(sizes), terminals).to_bytes())
             return batch_of(schema, [part], [shard], [path], [len(names)], [len(data)])
 
         for batch in batches:
-            for name, value in zip(batch.column(0), batch.column(1)):
-                names.append(name.as_py())
-                pieces.append(encode(value.as_py()) + end)
-                held += len(pieces[-1]) // 4
-                if held >= shard_ids:
-                    yield flush()
-                    names, pieces, held, shard = [], [], 0, shard + 1
+            for some in together(batch, TEXT_BYTES):
+                ids, counts = encoder.encode_all(some.column(1).cast(pa.string()), end)
+                own, ends, at = some.column(0).to_pylist(), np.concatenate(([0], np.cumsum(counts))), 0
+                while at < len(own):
+                    # the first document that fills the shard is its last
+                    full = int(np.searchsorted(ends, ends[at] + shard_ids - held))
+                    to = min(full, len(own))
+                    names += own[at:to]
+                    sizes.append(counts[at:to])
+                    pieces.append(ids[ends[at] : ends[to]])
+                    held, at = held + int(ends[to] - ends[at]), to
+                    if held >= shard_ids:
+                        yield flush()
+                        names, sizes, pieces, held, shard = [], [], [], 0, shard + 1
         if names:
             yield flush()
 
