@@ -262,6 +262,27 @@ def test_grammar_round_trip_and_random_access(seed):
         repair_grammar.Shard.from_bytes(bytes(damaged))
 
 
+@pytest.mark.parametrize("pairs", [8192, 60])  # the second is a cap that turns meet
+def test_late_turns_look_at_few_places_and_miss_none(monkeypatch, pairs):
+    monkeypatch.setattr(repair_grammar, "PAIRS", pairs)
+    rng = np.random.default_rng(7)
+    passages = [rng.integers(1, 4000, 40) for _ in range(20)]
+    docs = [np.concatenate([passages[i], np.full(i, 9), rng.integers(1, 50000, 200), [0]]) for i in rng.integers(0, 20, 400)]
+    counts, ids = np.array([len(d) for d in docs]), np.concatenate(docs).astype(np.uint32)
+    whole, shares = repair_grammar.open_places, []
+
+    def watched(symbols, *rest):
+        places = whole(symbols, *rest)
+        shares.append(len(places) / len(symbols))
+        return places
+
+    monkeypatch.setattr(repair_grammar, "open_places", watched)
+    mine = repair_grammar.Shard.build(list(range(len(docs))), ids, counts, 50257).to_bytes()
+    monkeypatch.setattr(repair_grammar, "open_places", lambda *_: None)  # every turn looks everywhere
+    assert mine == repair_grammar.Shard.build(list(range(len(docs))), ids, counts, 50257).to_bytes()
+    assert shares and min(shares) < 0.1
+
+
 @pytest.mark.parametrize("terminals", [50257, 65000])  # the second outgrows 16 bits
 def test_pairs_are_replaced_until_none_is_frequent(terminals):
     rng = np.random.default_rng(1)

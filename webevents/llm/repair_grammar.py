@@ -54,14 +54,15 @@ MAGIC = b"RPG2"
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, bits per symbol, documents, symbols, ids, rules, first nonterminal
 
 
-def frequent_pairs(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def frequent_pairs(symbols: np.ndarray, ends: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
     """Up to PAIRS most frequent pairs within documents (``ends``: places of their last symbols), as
-    left << bits | right, sorted; bits are those of a symbol, so that a shard of 16-bit symbols sorts 32-bit numbers."""
+    left << bits | right, sorted; bits are those of a symbol, so that a shard of 16-bit symbols sorts 32-bit numbers.
+    ``places``: those of ``open_places``, if others need no look."""
     wide = np.uint32 if symbols.dtype == np.uint16 else np.uint64
-    pairs = symbols[:-1].astype(wide)
+    pairs = (symbols[:-1] if places is None else symbols[places]).astype(wide)
     pairs <<= wide(8 * symbols.itemsize)
-    pairs |= symbols[1:]
-    across = ends[ends < len(pairs)]
+    pairs |= symbols[1:] if places is None else symbols[places + 1]
+    across = ends[ends < len(pairs)] if places is None else ends[:0]
     pairs[across] = ~wide(0)  # no pair, as its symbols would be
     pairs.sort()
     pairs = pairs[: len(pairs) - len(across)]
@@ -84,7 +85,21 @@ def right_of(pairs: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return (pairs & pairs.dtype.type((1 << 8 * symbols.itemsize) - 1)).astype(np.int64)
 
 
-def occurrences(symbols: np.ndarray, ends: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def open_places(symbols: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.ndarray, new: int) -> np.ndarray:
+    """Where pairs can be frequent after a turn that took every frequent pair: at its symbols, those from ``new`` on, and
+    where its pairs' symbols meet, as overlaps leave some. Neighbours of any other kind were as many before, and too few.
+    A pair stands in all of its places here or in none."""
+    size = int(symbols.max()) + 1
+    begins, closes, fresh = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool), symbols >= new
+    begins[left[left < size]] = closes[right[right < size]] = True
+    found = fresh[:-1] | fresh[1:] | (begins.take(symbols[:-1]) & closes.take(symbols[1:]))
+    found[ends[ends < len(found)]] = False
+    return np.flatnonzero(found)
+
+
+def occurrences(
+    symbols: np.ndarray, ends: np.ndarray, pairs: np.ndarray, places: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Places where a pair is to be replaced, left to right without overlap, and which pair."""
     left, row = np.unique(left_of(pairs, symbols), return_inverse=True)
     right, column = np.unique(right_of(pairs, symbols), return_inverse=True)
@@ -94,10 +109,14 @@ def occurrences(symbols: np.ndarray, ends: np.ndarray, pairs: np.ndarray) -> tup
     size = int(symbols.max()) + 1
     of_left, of_right = np.full(size, len(left) * (len(right) + 1), dtype=np.int32), np.full(size, len(right), dtype=np.int32)
     of_left[left], of_right[right] = np.arange(len(left)) * (len(right) + 1), np.arange(len(right))
-    which = table.ravel().take(of_left.take(symbols[:-1]) + of_right.take(symbols[1:]))
-    which[ends[ends < len(which)]] = -1
-    at = np.flatnonzero(which >= 0)
-    which = which[at]
+    if places is None:
+        which = table.ravel().take(of_left.take(symbols[:-1]) + of_right.take(symbols[1:]))
+        which[ends[ends < len(which)]] = -1
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
+    else:
+        which = table.ravel().take(of_left.take(symbols[places]) + of_right.take(symbols[places + 1]))
+        at, which = places[which >= 0], which[which >= 0]
     if not len(at):
         return at, which
     # of neighbouring places (which overlap) every second one is taken, from the first
@@ -150,9 +169,11 @@ class Shard:
         # symbols fit 16 bits until the vocabulary and all rules together outgrow them
         symbols, rules = ids.astype(np.uint16 if terminals <= 1 << 16 else np.uint32), np.zeros((0, 2), dtype=np.uint32)
         lengths = np.zeros(0, dtype=np.int64)
+        places = None
         # each turn shortens the shard: of the places of its pairs at least half are taken
-        while len(pairs := frequent_pairs(symbols, ends)):
-            at, which = occurrences(symbols, ends, pairs)
+        while len(pairs := frequent_pairs(symbols, ends, places)):
+            at, which = occurrences(symbols, ends, pairs, places)
+            left, right, every = left_of(pairs, symbols), right_of(pairs, symbols), len(pairs) < PAIRS
             used = np.bincount(which, minlength=len(pairs))
             worth = used >= MIN_COUNT // 2  # overlaps may leave a pair too few places
             at, which = at[worth[which]], which[worth[which]]
@@ -168,6 +189,7 @@ class Shard:
             stays = np.ones(len(symbols), dtype=bool)
             stays[at + 1] = False
             symbols, ends = symbols[stays], ends - np.searchsorted(at, ends)  # a last symbol moves by those gone up to it
+            places = open_places(symbols, ends, left, right, terminals + len(rules)) if every else None
             rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, sizes.sum(axis=1)])
         symbol_starts = np.concatenate(([0], ends + 1))
         known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
